@@ -1,0 +1,61 @@
+from tierstat.operators.compare import (
+    compare_authorised,
+    compare_enrolment,
+    compare_school_types,
+    compare_sessions,
+    compare_sessions_wide,
+    compare_sum,
+    compare_unauthorised,
+    compare_unauthorised_wide,
+    compare_union,
+)
+from tierstat.operators.matrix import (
+    pivot_grid,
+    rate_by_type_region,
+    rate_cells,
+    rate_matrix,
+    rate_matrix_wide,
+    type_region_matrix,
+    type_region_matrix_wide,
+)
+from tierstat.operators.members import (
+    collect_members,
+    column_to_list,
+    indexed_members,
+    members,
+    members_la,
+    members_la_nonempty,
+    members_period,
+    members_period_any,
+    members_region,
+    members_school_type,
+)
+from tierstat.operators.ranking import final_ranking, mean_rank, rank_cells, rank_matrix, region_ranking
+from tierstat.operators.ratios import (
+    authorised_reason_percents,
+    percent_of,
+    percent_table,
+    percents_of,
+    persistent_absentee_percent,
+    school_type_share,
+    session_percents_wide,
+    session_split,
+    unauthorised_reason_percents,
+)
+from tierstat.operators.series import (
+    enrolment_series,
+    enrolment_series_multi,
+    rate_series,
+    rate_series_with_national,
+)
+from tierstat.operators.sink import with_formats, write_report
+from tierstat.operators.topk import top_reasons, top_reasons_long
+from tierstat.operators.totals import (
+    medical_absence_total,
+    reason_totals,
+    unauthorised_by,
+    unauthorised_by_la,
+    unauthorised_by_region,
+)
+
+__all__ = [name for name in dir() if not name.startswith("_")]
