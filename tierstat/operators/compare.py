@@ -2,16 +2,16 @@
 
 The source application runs one query per area and section and unions
 them.  Here all chosen areas are answered by one scan: rows are filtered on
-the area names (pushed into the Parquet scan), joined to a frame of
-``(side, area)`` pairs that holds one row per requested side (its size is the
-argument list, so broadcasting it is safe), and grouped by
-``side, area[, category]``.  Choosing the same area twice gives two equal
-sides; an area without rows in the period gives no row for its side.
+the area names (pushed into the Parquet scan), each row is tagged with the
+side number(s) whose area it matches by a narrow ``explode`` (no join, no
+shuffle), and the rows are grouped by ``side, area[, category]``.  Choosing
+the same area twice gives two equal sides; an area without rows in the
+period gives no row for its side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierstat.roles import (
@@ -41,17 +41,16 @@ def compare_filter(areas: list[str], period: str, roles: Roles = DEFAULT) -> Col
     )
 
 
-def sides_frame(spark: SparkSession, areas: list[str], roles: Roles = DEFAULT) -> DataFrame:
-    """``(side, area)`` with side 1..n in argument order; one row per argument."""
-    return spark.createDataFrame(
-        [(i + 1, a) for i, a in enumerate(areas)], f"side int, `{roles.area}` string"
-    )
+def side_numbers(areas: list[str], roles: Roles = DEFAULT) -> Column:
+    """Array of the sides (1..n, argument order) whose area is this row's area."""
+    area = F.col(roles.area)
+    return F.array_compact(F.array(*[F.when(area == F.lit(a), F.lit(i + 1)) for i, a in enumerate(areas)]))
 
 
 def with_sides(df: DataFrame, areas: list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
-    """The filtered rows tagged with the side(s) each belongs to."""
+    """The filtered rows tagged with the side(s) each belongs to: one row per side."""
     rows = df.where(compare_filter(areas, period, roles))
-    return rows.join(F.broadcast(sides_frame(df.sparkSession, areas, roles)), roles.area)
+    return rows.select(F.explode(side_numbers(areas, roles)).alias("side"), *df.columns)
 
 
 def compare_sum(

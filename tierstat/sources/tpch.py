@@ -177,7 +177,7 @@ def multi_level(tables: dict[str, DataFrame], roles: Roles = DEFAULT) -> DataFra
     )
 
 
-_MATERIALISED: dict[tuple[str, str], str] = {}
+_MATERIALISED: dict[tuple[str, str], DataFrame] = {}
 
 
 def stats_table(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT, materialise: bool = True) -> DataFrame:
@@ -188,12 +188,14 @@ def stats_table(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT, materi
     folder, and read back: later queries prune by period and push level and
     name filters into the scan, and the lineage to the raw tables is cut.
     """
-    stats = multi_level(read_tables(spark, sf_dir), roles)
     if not materialise:
-        return stats
+        return multi_level(read_tables(spark, sf_dir), roles)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "|" + repr(roles))
-    path = _MATERIALISED.get(key)
-    if path is None:
+    stored = _MATERIALISED.get(key)
+    if stored is None:
+        stats = multi_level(read_tables(spark, sf_dir), roles)
         path = write_partitioned(stats, scratch_path(spark, "stats"), roles)
-        _MATERIALISED[key] = path
-    return read_partitioned(spark, path).select(*stats.columns)
+        # Reusing one DataFrame keeps its file listing: later queries skip it.
+        stored = read_partitioned(spark, path).select(*stats.columns)
+        _MATERIALISED[key] = stored
+    return stored
