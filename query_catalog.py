@@ -74,12 +74,10 @@ def _load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, "report")
-    if key not in _CACHE:
-        path = scratch_path(spark, "report")
-        op.write_report(op.region_ranking(_stats(spark, sf_dir)), path)
-        _CACHE[key] = path
-    return spark.read.parquet(_CACHE[key])
+    """Write the region ranking report, then read it back (the write is the work)."""
+    path = scratch_path(spark, "report")
+    op.write_report(op.region_ranking(_stats(spark, sf_dir)), path)
+    return spark.read.parquet(path)
 
 
 def _la_rows(df: DataFrame) -> DataFrame:
@@ -96,14 +94,21 @@ QUERIES: dict[str, Query] = {
     "members_period_any": lambda s, d: op.members_period_any(_stats(s, d)),
     "members_region": lambda s, d: op.members_region(_stats(s, d)),
     "members_region_period": lambda s, d: op.members_region(_stats(s, d), PERIOD),
+    "menus": lambda s, d: op.menus(_stats(s, d)),
     "column_to_list": lambda s, d: op.indexed_members(_la_rows(_stats(s, d)), "la_name"),
     "enrolment_series": lambda s, d: op.enrolment_series(_stats(s, d), LA1),
+    "enrolment_series_formatted": lambda s, d: op.with_formats(
+        op.enrolment_series(_stats(s, d), LA1), thousands=["enrolments"]
+    ),
     "enrolment_series_multi": lambda s, d: op.enrolment_series_multi(_stats(s, d), [LA1, LA2]),
     "medical_absence_total": lambda s, d: op.medical_absence_total(_stats(s, d), CATEGORY, PERIOD),
     "sum_columns": lambda s, d: _la_rows(_stats(s, d)).select(
         "time_period", "la_name", "school_type", sum_columns(UNAUTH_REASONS).alias("unauth_sum")
     ),
     "unauthorised_by_la": lambda s, d: op.unauthorised_by_la(_stats(s, d), PERIOD),
+    "unauthorised_by_la_formatted": lambda s, d: op.with_formats(
+        op.unauthorised_by_la(_stats(s, d), PERIOD), thousands=["sess_unauthorised"]
+    ),
     "unauthorised_by_region": lambda s, d: op.unauthorised_by_region(_stats(s, d), PERIOD),
     "reason_totals": lambda s, d: op.reason_totals(_stats(s, d)),
     "top3_reasons": lambda s, d: op.top_reasons(_stats(s, d), 3),
@@ -333,6 +338,12 @@ ORACLE: dict[str, str] = {
         "region_name",
         f"geographic_level = 'Regional' AND school_type <> 'Total' AND time_period = '{PERIOD}'",
     ),
+    "menus": with_stats(
+        "SELECT 'la_name' AS menu, la_name AS value FROM stats WHERE geographic_level = 'Local authority' "
+        "UNION SELECT 'time_period', time_period FROM stats WHERE geographic_level = 'National' "
+        "UNION SELECT 'school_type', school_type FROM stats WHERE school_type <> 'Total' "
+        "AND geographic_level = 'School'"
+    ),
     "column_to_list": with_stats(
         "SELECT row_number() OVER (ORDER BY la_name) - 1 AS pos, la_name FROM "
         "(SELECT DISTINCT la_name FROM stats WHERE geographic_level = 'Local authority' "
@@ -342,6 +353,10 @@ ORACLE: dict[str, str] = {
         f"SELECT enrolments, time_period FROM stats WHERE la_name = '{LA1}' "
         "AND geographic_level = 'Local authority' AND school_type = 'Total'"
     ),
+    "enrolment_series_formatted": with_stats(
+        f"SELECT format('{{:,}}', enrolments) AS enrolments, time_period FROM stats WHERE la_name = '{LA1}' "
+        "AND geographic_level = 'Local authority' AND school_type = 'Total'"
+    ),
     "enrolment_series_multi": with_stats(
         f"SELECT la_name, time_period, enrolments FROM stats WHERE la_name IN ('{LA1}', '{LA2}') "
         "AND geographic_level = 'Local authority' AND school_type = 'Total'"
@@ -362,6 +377,10 @@ ORACLE: dict[str, str] = {
         f"SELECT la_name, sess_unauthorised FROM stats WHERE time_period = '{PERIOD}' "
         "AND geographic_level = 'Local authority' AND school_type = 'Total'"
     ),
+    "unauthorised_by_la_formatted": with_stats(
+        f"SELECT la_name, format('{{:,}}', sess_unauthorised) AS sess_unauthorised FROM stats "
+        f"WHERE time_period = '{PERIOD}' AND geographic_level = 'Local authority' AND school_type = 'Total'"
+    ),
     "unauthorised_by_region": with_stats(
         f"SELECT region_name, sess_unauthorised FROM stats WHERE time_period = '{PERIOD}' "
         "AND geographic_level = 'Regional' AND school_type = 'Total'"

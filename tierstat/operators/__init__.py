@@ -29,6 +29,7 @@ from tierstat.operators.members import (
     members_period_any,
     members_region,
     members_school_type,
+    menus,
 )
 from tierstat.operators.ranking import final_ranking, mean_rank, rank_cells, rank_matrix, region_ranking
 from tierstat.operators.ratios import (

@@ -73,7 +73,8 @@ def column_to_list(df: DataFrame, column: str, name: str = "values") -> DataFram
 
     Meant for member sets (bounded by a dimension, not by the data): values
     are deduplicated per partition and across the shuffle before they are
-    gathered, and ``collect_set`` drops nulls.
+    gathered into one row, and nulls are dropped.  :func:`indexed_members`
+    is the form that never gathers the list in one task.
     """
     return df.select(column).distinct().agg(F.sort_array(F.collect_list(column)).alias(name))
 
@@ -104,3 +105,30 @@ def collect_members(
             f"{column} has more than {limit} members; use the long form instead of a wide grid"
         )
     return [r[0] for r in rows]
+
+
+def menus(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
+    """The three menu lists (O3 areas, O6 periods, O5 categories) from one scan.
+
+    Output ``(menu, value)``, where ``menu`` names the column the value comes
+    from.  The source application fetches the three lists with three scans.
+    """
+    level, cat = F.col(roles.level), F.col(roles.category)
+
+    def entry(menu: str, column: str):
+        return F.struct(F.lit(menu).alias("menu"), F.col(column).alias("value"))
+
+    entries = F.array_compact(
+        F.array(
+            F.when(level == roles.area_level, entry(roles.area, roles.area)),
+            F.when(level == roles.national, entry(roles.period, roles.period)),
+            F.when((cat != roles.total) & (level == roles.unit_level), entry(roles.category, roles.category)),
+        )
+    )
+    return (
+        df.where(level.isin(roles.area_level, roles.national, roles.unit_level))
+        .select(F.explode(entries).alias("_e"))
+        .select("_e.menu", "_e.value")
+        .distinct()
+        .orderBy("menu", "value")
+    )

@@ -1,5 +1,5 @@
 from tierstat.sources.table import load_table, period_label, read_partitioned, typed, write_partitioned
-from tierstat.sources.tpch import multi_level, read_tables, school_rows, stats_table
+from tierstat.sources.tpch import multi_level, read_tables, school_rows, stats_table, store_stats
 
 __all__ = [
     "load_table",
@@ -9,6 +9,7 @@ __all__ = [
     "read_tables",
     "school_rows",
     "stats_table",
+    "store_stats",
     "typed",
     "write_partitioned",
 ]

@@ -56,13 +56,18 @@ def load_table(
 def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: str = "overwrite") -> str:
     """Store a multi-level table as Parquet partitioned by period.
 
-    Rows are clustered by level and names inside each file, so a query that
-    pins a period reads one folder (partition pruning) and a level / name
-    predicate skips row groups by their min/max statistics.
+    ``rebalance`` on the period lets AQE cut the output into partitions of
+    the advisory size, one period each where possible and a hot period
+    split over several, so each folder gets a few well-sized files instead
+    of one small file per task.  Rows are clustered by level and names
+    inside each file, so a query that pins a period reads one folder
+    (partition pruning) and a level / name predicate skips row groups by
+    their min/max statistics.
     """
     order = [c for c in (roles.period, roles.level, roles.region, roles.area) if c in df.columns]
     (
-        df.sortWithinPartitions(*order)
+        df.hint("rebalance", roles.period)
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy(roles.period)
         .parquet(path)

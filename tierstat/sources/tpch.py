@@ -180,22 +180,33 @@ def multi_level(tables: dict[str, DataFrame], roles: Roles = DEFAULT) -> DataFra
 _MATERIALISED: dict[tuple[str, str], DataFrame] = {}
 
 
+def store_stats(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT) -> DataFrame:
+    """Build the multi-level table, write it under the shared checkpoint folder, read it back.
+
+    The stored copy (Parquet partitioned by period) becomes the one
+    :func:`stats_table` returns for ``sf_dir`` in this application.
+    """
+    stats = multi_level(read_tables(spark, sf_dir), roles)
+    path = write_partitioned(stats, scratch_path(spark, "stats"), roles)
+    # Reusing one DataFrame keeps its file listing: later queries skip it.
+    stored = read_partitioned(spark, path).select(*stats.columns)
+    _MATERIALISED[_key(spark, sf_dir, roles)] = stored
+    return stored
+
+
+def _key(spark: SparkSession, sf_dir: str, roles: Roles) -> tuple[str, str]:
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "|" + repr(roles))
+
+
 def stats_table(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT, materialise: bool = True) -> DataFrame:
     """The multi-level table for ``sf_dir``.
 
-    With ``materialise`` (default) it is computed once per application,
-    written as Parquet partitioned by period under the shared checkpoint
-    folder, and read back: later queries prune by period and push level and
-    name filters into the scan, and the lineage to the raw tables is cut.
+    With ``materialise`` (default) it is computed once per application and
+    stored (see :func:`store_stats`): later queries prune by period and push
+    level and name filters into the scan, and the lineage to the raw tables
+    is cut.  Without it, the lazy plan over the raw tables is returned.
     """
     if not materialise:
         return multi_level(read_tables(spark, sf_dir), roles)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "|" + repr(roles))
-    stored = _MATERIALISED.get(key)
-    if stored is None:
-        stats = multi_level(read_tables(spark, sf_dir), roles)
-        path = write_partitioned(stats, scratch_path(spark, "stats"), roles)
-        # Reusing one DataFrame keeps its file listing: later queries skip it.
-        stored = read_partitioned(spark, path).select(*stats.columns)
-        _MATERIALISED[key] = stored
-    return stored
+    stored = _MATERIALISED.get(_key(spark, sf_dir, roles))
+    return stored if stored is not None else store_stats(spark, sf_dir, roles)
