@@ -59,9 +59,9 @@ def test_compare_report_is_one_scan_with_pushdown(spark):
     assert "Join" not in plan  # sides are tagged by a narrow explode
 
 
-def test_top3_uses_group_limit(spark):
+def test_top3_is_one_aggregate(spark):
     plan = plan_text(op.top_reasons(stats_table(spark, SF01), 3))
-    assert "WindowGroupLimit" in plan
+    assert "Window" not in plan and plan.count("Exchange") == 2  # the aggregate's shuffle (tree + details)
     assert scans(plan) == 1
 
 

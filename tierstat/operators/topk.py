@@ -1,21 +1,42 @@
 """Top reasons per period.
 
 Per period, reasons are ordered by their total, largest first, a null total
-counting as 0, ties by reason name; the first ``k`` are kept.  Reason totals
-are one row per period, so the window partitions by the aggregate's own key
-(no extra shuffle) and ``row_number() <= k`` is planned as a WindowGroupLimit.
+counting as 0, ties by reason name; the first ``k`` are kept.  The reasons
+are columns of one aggregated row (a fixed set, given by the schema), so the
+ranking happens inside each row: an array of ``(-total, name)`` structs is
+sorted (struct order compares the fields left to right) and sliced.  The
+plan is the per-period aggregate followed by a projection: no window, no
+pivot, no shuffle beyond the aggregate's own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierstat.functions.columns import ordinal, strip_prefix
+from tierstat.functions.columns import ordinal
 from tierstat.operators.totals import reason_totals
 from tierstat.roles import AUTH_PREFIX, AUTH_REASONS, DEFAULT, Roles
 
 
+def ranked_reasons(reasons: list[str], prefix: str = AUTH_PREFIX, k: int | None = None) -> Column:
+    """Array of ``(key, reason, total)`` structs in rank order, the first ``k`` kept.
+
+    ``key`` is ``-coalesce(total, 0)``, so ascending order is the largest total
+    first with ties broken by the reason name (prefix removed).
+    """
+    entries = [
+        F.struct(
+            (-F.coalesce(F.col(r), F.lit(0))).alias("key"),
+            F.lit(r[len(prefix):] if r.startswith(prefix) else r).alias("reason"),
+            F.col(r).alias("total"),
+        )
+        for r in reasons
+    ]
+    ordered = F.array_sort(F.array(*entries))
+    return ordered if k is None else F.slice(ordered, 1, k)
+
+
 def top_reasons_long(
     df: DataFrame,
     k: int = 3,
@@ -27,16 +48,11 @@ def top_reasons_long(
 ) -> DataFrame:
     """``(period, position, reason, total)`` for the first ``k`` reasons of each period."""
     totals = reason_totals(df, reasons, roles, level, category)
-    long = totals.unpivot([roles.period], reasons, "reason", "total").withColumn(
-        "reason", strip_prefix("reason", prefix)
-    )
-    order = Window.partitionBy(roles.period).orderBy(
-        F.coalesce(F.col("total"), F.lit(0)).desc(), F.col("reason").asc()
-    )
-    return (
-        long.withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= k)
-        .select(roles.period, F.col("position").cast("bigint").alias("position"), "reason", "total")
+    return totals.select(roles.period, F.posexplode(ranked_reasons(reasons, prefix, k)).alias("pos", "e")).select(
+        roles.period,
+        (F.col("pos") + 1).cast("bigint").alias("position"),
+        F.col("e.reason").alias("reason"),
+        F.col("e.total").alias("total"),
     )
 
 
@@ -50,7 +66,8 @@ def top_reasons(
     category: str | None = None,
 ) -> DataFrame:
     """``time_period, 1st, 2nd, 3rd, ...``: names of the top ``k`` reasons per period."""
-    ranked = top_reasons_long(df, k, reasons, prefix, roles, level, category)
-    positions = list(range(1, k + 1))
-    wide = ranked.groupBy(roles.period).pivot("position", positions).agg(F.max("reason"))
-    return wide.select(roles.period, *[F.col(str(p)).alias(ordinal(p)) for p in positions])
+    totals = reason_totals(df, reasons, roles, level, category)
+    top = ranked_reasons(reasons, prefix, k)
+    return totals.select(
+        roles.period, *[top.getItem(i).getField("reason").alias(ordinal(i + 1)) for i in range(k)]
+    )

@@ -7,7 +7,7 @@ tidy frame joining rank cells to the member's mean rank and final position.
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,23 +18,40 @@ from tierstat.operators.series import rate_series_with_national
 from tierstat.roles import DEFAULT, Roles
 
 
-class RegionPerformance(NamedTuple):
-    series: DataFrame  # period, rate, name (with the national series)
-    ranks: DataFrame  # name, period, rate, rank
-    ranking: DataFrame  # rank (best -> worst), name, mean_rank
-    table: DataFrame  # name, period, rate, rank, mean_rank, rank (best -> worst)
+class RegionPerformance:
+    """The parts of F2, each built on first use (the ranking runs a checkpoint job)."""
+
+    def __init__(self, df: DataFrame, roles: Roles, fill: float | None, level: str) -> None:
+        self._df, self._roles, self._fill, self._level = df, roles, fill, level
+        self.name = roles.level_column(level)
+
+    @cached_property
+    def series(self) -> DataFrame:
+        """period, rate, name (with the national series)."""
+        return rate_series_with_national(self._df, self._roles, level=self._level)
+
+    @cached_property
+    def ranks(self) -> DataFrame:
+        """name, period, rate, rank."""
+        grid = rate_matrix(self._df, self._roles, self._fill, self._level)
+        return rank_cells(grid, self.name, self._roles.period, self._roles.rate)
+
+    @cached_property
+    def ranking(self) -> DataFrame:
+        """rank (best -> worst), name, mean_rank."""
+        means = self.ranks.groupBy(self.name).agg(F.avg("rank").alias("mean_rank"))
+        return final_ranking(means, self.name)
+
+    @cached_property
+    def table(self) -> DataFrame:
+        """name, period, rate, rank, mean_rank, rank (best -> worst)."""
+        # One row per member on the right: an equi-join AQE broadcasts once it sees the size.
+        return self.ranks.join(self.ranking, self.name).select(
+            self.name, self._roles.period, self._roles.rate, "rank", "mean_rank", RANKING_COLUMN
+        )
 
 
 def region_performance(
     df: DataFrame, roles: Roles = DEFAULT, fill: float | None = 0.0, level: str | None = None
 ) -> RegionPerformance:
-    level = level or roles.regional
-    name = roles.level_column(level)
-    ranks = rank_cells(rate_matrix(df, roles, fill, level), name, roles.period, roles.rate)
-    means = ranks.groupBy(name).agg(F.avg("rank").alias("mean_rank"))
-    ranking = final_ranking(means, name)
-    # One row per member on the right: an equi-join AQE broadcasts once it sees the size.
-    table = ranks.join(ranking, name).select(
-        name, roles.period, roles.rate, "rank", "mean_rank", RANKING_COLUMN
-    )
-    return RegionPerformance(rate_series_with_national(df, roles, level=level), ranks, ranking, table)
+    return RegionPerformance(df, roles, fill, level or roles.regional)
