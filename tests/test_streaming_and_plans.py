@@ -95,3 +95,18 @@ def test_every_registered_query_reads_the_tables(spark):
     for key, query in entry_module.queries().items():
         plan = plan_text(query(spark, SF01))
         assert re.search(r"^\(\d+\) Scan (parquet|csv|ExistingRDD)", plan, flags=re.M), key
+
+
+def test_build_scans_lineitem_once(spark):
+    """School rows and the coarser levels share the upstream shuffles (exchange reuse)."""
+    from tierstat.sources import multi_level, read_tables
+
+    df = multi_level(read_tables(spark, SF01))
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("lineitem.parquet") == 1
