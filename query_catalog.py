@@ -28,7 +28,7 @@ from tierstat.roles import (
     UNAUTH_MEASURES_WIDE,
     UNAUTH_REASONS,
 )
-from tierstat.session import scratch_path
+from tierstat.session import app_id, scratch_path
 from tierstat.sources import load_table, period_label, stats_table, typed
 
 # Arguments used on the test tables (areas are nations, periods order years).
@@ -58,7 +58,7 @@ def _period_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_copy(spark: SparkSession, sf_dir: str) -> str:
     """The derived table written once as text CSV with raw period codes."""
-    key = (spark.sparkContext.applicationId, sf_dir, "csv")
+    key = (app_id(spark), sf_dir, "csv")
     if key not in _CACHE:
         path = scratch_path(spark, "stats-csv")
         stats = _stats(spark, sf_dir)

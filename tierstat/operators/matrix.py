@@ -39,13 +39,10 @@ def pivot_grid(
     wide = cells.groupBy(row_key).pivot(col_key, columns).agg(F.max(value))
     if rows is not None:
         wide = rows.select(row_key).distinct().join(wide, row_key, "left")
-    names = [str(c) for c in columns]
+    values = [F.col(_quoted(str(c))) for c in columns]
     if fill is not None:
-        wide = wide.select(
-            row_key,
-            *[F.coalesce(F.col(_quoted(n)), F.lit(fill)).cast("double").alias(n) for n in names],
-        )
-    return wide.select(row_key, *[F.col(_quoted(n)).cast("double").alias(n) for n in names])
+        values = [F.coalesce(v, F.lit(fill)) for v in values]
+    return wide.select(row_key, *[v.cast("double").alias(str(n)) for v, n in zip(values, columns)])
 
 
 def grid_long(wide: DataFrame, row_key: str, col_key: str, value: str) -> DataFrame:

@@ -13,9 +13,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (also for sessions without a SparkContext handle)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # e.g. a Spark Connect session
+        return spark.conf.get("spark.app.id", "app")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, setting one only in local mode."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: the server owns the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstat.roles import AUTH_REASONS, DEFAULT, UNAUTH_REASONS, Roles
-from tierstat.session import scratch_path
+from tierstat.session import app_id, scratch_path
 from tierstat.sources.table import period_label, read_partitioned, write_partitioned
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region")
@@ -221,7 +221,7 @@ def store_stats(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT) -> Dat
 
 
 def _key(spark: SparkSession, sf_dir: str, roles: Roles) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "|" + repr(roles))
+    return (app_id(spark), sf_dir.rstrip("/") + "|" + repr(roles))
 
 
 def stats_table(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT, materialise: bool = True) -> DataFrame:
