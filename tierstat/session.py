@@ -69,3 +69,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a run over ``input_bytes`` of Parquet on ``total_cores`` cores.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least three waves of tasks), so a partition of the largest
+    shuffle (the per-order line aggregate) fits in task memory without heavy
+    spilling; AQE then coalesces small partitions and splits skewed ones.
+    File splits are capped at 256 MiB so scans use every core.
+    """
+    partitions = max(3 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
