@@ -8,11 +8,11 @@ oracle query is this CTE followed by its own tail.
 
 from __future__ import annotations
 
-AUTH = [
-    "appointments", "excluded", "ext_holiday", "holiday", "illness",
-    "other", "religious", "study", "traveller",
-]
-UNAUTH = ["holiday", "late", "noyet", "other"]
+from tierstat.roles import AUTH_PREFIX, AUTH_REASONS, UNAUTH_PREFIX, UNAUTH_REASONS
+
+# Reason names without their column prefix, in schema order.
+AUTH = [r[len(AUTH_PREFIX):] for r in AUTH_REASONS]
+UNAUTH = [r[len(UNAUTH_PREFIX):] for r in UNAUTH_REASONS]
 
 
 def _auth_cols() -> str:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Roles:
+    # The defaults are the source table's column names, its
+    # category total member and its level labels.
     period: str = "time_period"
     level: str = "geographic_level"
     region: str = "region_name"
