@@ -3,7 +3,8 @@
 Cases covered: a non-numeric token, ``12.0`` in a count column, an empty and a
 null area, equal reason totals, an all-null reason, a zero denominator, a
 missing region/period cell, equal rates in one period, a rate above 10, an
-area absent in one period, a category present at Regional but not at School.
+area absent in one period, a category present at Regional but not at School,
+a period present at Regional level only.
 """
 
 from __future__ import annotations
@@ -61,6 +62,8 @@ ROWS = [
     _row(P1, "Regional", "East", sess_overall_percent="4.5", sess_unauthorised="9"),
     _row(P2, "Regional", "North", sess_overall_percent="3.9", sess_unauthorised="x"),
     _row(P2, "Regional", "East", sess_overall_percent="5.0", sess_unauthorised="11"),
+    # A period seen regionally but not nationally: never a grid column.
+    _row("200809", "Regional", "North", sess_overall_percent="1.0", sess_unauthorised="1"),
     # Regional by category in P2: Special exists only at Regional level.
     _row(P2, "Regional", "North", stype="Primary", sess_overall_percent="3.1"),
     _row(P2, "Regional", "North", stype="Special", sess_overall_percent="7.0"),

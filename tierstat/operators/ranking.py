@@ -19,7 +19,12 @@ RANKING_COLUMN = "rank (best -> worst)"  # fixed value: the source's column titl
 
 
 def rank_cells(grid: DataFrame, name: str, period: str, value: str, rank: str = "rank") -> DataFrame:
-    """Rank ``name`` within each ``period`` by ``value`` ascending, ties by name."""
+    """Rank ``name`` within each ``period`` by ``value`` ascending, ties by name.
+
+    The window holds one grid cell per member for one period, so its size is
+    the member count of the ranked level (regions, areas), whatever the
+    volume of the underlying data.
+    """
     order = Window.partitionBy(period).orderBy(F.col(value).asc(), F.col(name).asc())
     return grid.where(F.col(value).isNotNull()).withColumn(rank, F.row_number().over(order).cast("bigint"))
 
