@@ -155,7 +155,10 @@ QUERIES: dict[str, Query] = {
     "rate_matrix": lambda s, d: op.rate_matrix(_stats(s, d)),
     "rate_matrix_wide": lambda s, d: op.rate_matrix_wide(_stats(s, d)),
     "rate_matrix_la": lambda s, d: op.rate_matrix(_stats(s, d), level=LA_LEVEL),
+    "rate_series_la": lambda s, d: op.rate_series(_stats(s, d), level=LA_LEVEL),
     "rank_matrix": lambda s, d: op.rank_matrix(_stats(s, d)),
+    "rank_matrix_la": lambda s, d: op.rank_matrix(_stats(s, d), level=LA_LEVEL),
+    "mean_rank_la": lambda s, d: op.mean_rank(_stats(s, d), level=LA_LEVEL),
     "mean_rank": lambda s, d: op.mean_rank(_stats(s, d)),
     "region_ranking": lambda s, d: op.region_ranking(_stats(s, d)),
     "region_ranking_la": lambda s, d: op.region_ranking(_stats(s, d), level=LA_LEVEL),
@@ -465,7 +468,13 @@ ORACLE: dict[str, str] = {
         + " FROM grid GROUP BY region_name"
     ),
     "rate_matrix_la": with_stats(_grid("Local authority", "la_name") + "SELECT * FROM grid"),
+    "rate_series_la": with_stats(
+        "SELECT time_period, sess_overall_percent, la_name FROM stats "
+        "WHERE geographic_level = 'Local authority' AND school_type = 'Total'"
+    ),
     "rank_matrix": with_stats(_grid("Regional", "region_name") + "SELECT * FROM ranks"),
+    "rank_matrix_la": with_stats(_grid("Local authority", "la_name") + "SELECT * FROM ranks"),
+    "mean_rank_la": with_stats(_grid("Local authority", "la_name") + "SELECT * FROM means"),
     "mean_rank": with_stats(_grid("Regional", "region_name") + "SELECT * FROM means"),
     "region_ranking": with_stats(
         _grid("Regional", "region_name") + "SELECT \"rank (best -> worst)\", region_name FROM ranking"
