@@ -32,6 +32,21 @@ def test_load_casts_leniently(golden):
     assert bad.first().enrolments_pa_10_exact is None  # 'bad' -> null
 
 
+def test_ingest_round_trip(spark, golden, tmp_path):
+    from tierstat.sources import ingest_table
+
+    csv = tmp_path / "in.csv"
+    csv.write_text(csv_text())
+    stored = ingest_table(spark, str(csv), str(tmp_path / "table"))
+    cols = golden.columns
+
+    def canon(df):
+        return sorted(tuple(repr(v) for v in r) for r in df.select(*cols).collect())
+
+    assert canon(stored) == canon(golden)
+    assert dict(stored.dtypes) == dict(golden.dtypes)
+
+
 def test_period_label_other_separator(spark):
     from tierstat.sources import period_label
 

@@ -1,7 +1,15 @@
-from tierstat.sources.table import load_table, period_label, read_partitioned, typed, write_partitioned
+from tierstat.sources.table import (
+    ingest_table,
+    load_table,
+    period_label,
+    read_partitioned,
+    typed,
+    write_partitioned,
+)
 from tierstat.sources.tpch import multi_level, read_tables, school_rows, stats_table, store_stats
 
 __all__ = [
+    "ingest_table",
     "load_table",
     "multi_level",
     "period_label",

@@ -77,3 +77,20 @@ def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: st
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def ingest_table(
+    spark: SparkSession,
+    csv_path: str | list[str],
+    out_path: str,
+    roles: Roles = DEFAULT,
+    sep: str = "/",
+) -> DataFrame:
+    """Load the text CSV once (O1, O2) and store it partitioned by period; return the stored table.
+
+    The source application rereads and recasts the CSV for every query.
+    Here the cast and relabel happen once, and queries run on the typed
+    Parquet copy with partition pruning and pushdown.
+    """
+    write_partitioned(load_table(spark, csv_path, roles, sep), out_path, roles)
+    return read_partitioned(spark, out_path)
