@@ -65,9 +65,12 @@ def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: st
     their min/max statistics.
     """
     order = [c for c in (roles.period, roles.level, roles.region, roles.area) if c in df.columns]
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+        # Without AQE a rebalance is a plain hash repartition: a hot period
+        # would land in one task, so the rows are then written as they are.
+        df = df.hint("rebalance", roles.period)
     (
-        df.hint("rebalance", roles.period)
-        .sortWithinPartitions(*order)
+        df.sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy(roles.period)
         .parquet(path)
