@@ -57,6 +57,7 @@ def test_compare_report_is_one_scan_with_pushdown(spark):
     assert "PartitionFilters: [isnotnull(time_period" in plan  # period pruned by folder
     assert "In(la_name, [NATION_3,NATION_7])" in plan  # names pushed into the scan
     assert "Join" not in plan  # sides are tagged by a narrow explode
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == 1  # one shuffle in all
 
 
 def test_top3_is_one_aggregate(spark):

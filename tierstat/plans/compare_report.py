@@ -9,11 +9,12 @@ Output ``section, side, la_name, metric, value, percent``:
 * ``authorised`` / ``unauthorised``: each reason and the total, with the
   reason's share of the total
 
-One filtered scan feeds one GROUPING SETS aggregate: per side and area
-(the area rows) and per side, area and category (the category rows).  The
-area's school total reaches its category rows through a window over the
-side's few aggregated rows, and ``inline`` turns each aggregated row into its
-metrics, so the five sections share every shuffle.
+One filtered scan, one shuffle: the rows of the two areas are partitioned
+by (side, area), summed per category, and the area totals are window sums
+over the same partitions; ``inline`` turns each category row into its
+metrics, and the first category row of each side also carries the area's
+sections.  The filtered rows are the areas' category rows for one period,
+so a partition holds at most one side's categories.
 """
 
 from __future__ import annotations
@@ -90,18 +91,28 @@ def compare_report(
 ) -> DataFrame:
     """Compare two areas in ``period`` (the same area twice gives two equal sides)."""
     tagged = with_sides(df, [first, second], period, roles)
-    agg = tagged.groupingSets(
-        [["side", roles.area], ["side", roles.area, roles.category]], "side", roles.area, roles.category
-    ).agg(*[F.sum(m).alias(m) for m in _MEASURES], F.grouping(roles.category).alias("_area_row"))
-    area_schools = F.max(F.when(F.col("_area_row") == 1, F.col("num_schools"))).over(
-        Window.partitionBy("side", roles.area)
+    # One shuffle: partitioned by side and area, the rows serve both the
+    # per-category aggregate and the per-area window without moving again.
+    per_type = (
+        tagged.repartition("side", roles.area)
+        .groupBy("side", roles.area, roles.category)
+        .agg(*[F.sum(m).alias(m) for m in _MEASURES])
+    )
+    area = Window.partitionBy("side", roles.area)
+    area_totals = per_type.select(
+        "side",
+        roles.area,
+        roles.category,
+        *[F.sum(m).over(area).alias(m) for m in _MEASURES],
+        F.col("num_schools").alias("_type_schools"),
+        F.row_number().over(area.orderBy(roles.category)).alias("_first"),
     )
     type_entry = _entry(
-        "school_type", "", F.col("num_schools"), percent(F.col("num_schools"), F.col("_area_schools"))
+        "school_type", "", F.col("_type_schools"), percent(F.col("_type_schools"), F.col("num_schools"))
     ).withField("metric", F.col(roles.category))
-    entries = F.when(F.col("_area_row") == 1, F.array(*_area_entries())).otherwise(F.array(type_entry))
-    return (
-        agg.withColumn("_area_schools", area_schools)
-        .select("side", roles.area, F.inline(entries))
-        .select("section", "side", roles.area, "metric", "value", "percent")
+    entries = F.when(
+        F.col("_first") == 1, F.array(type_entry, *_area_entries())
+    ).otherwise(F.array(type_entry))
+    return area_totals.select("side", roles.area, F.inline(entries)).select(
+        "section", "side", roles.area, "metric", "value", "percent"
     )
