@@ -56,7 +56,7 @@ def school_type_share(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
     per_type = compare_school_types(df, areas, period, roles)
     area_total = F.sum("num_schools").over(Window.partitionBy("side", roles.area))
     return per_type.withColumn("num_schools_percent", percent(F.col("num_schools"), area_total)).orderBy(
-        "side", roles.category
+        "side", roles.area, roles.category
     )
 
 
