@@ -1,9 +1,9 @@
 """Dense grids: region x period rates (O37) and category x region rates.
 
 A grid cell missing from the data is filled (0 by default, as in the source
-application).  Density comes from ``pivot`` with an explicit column list:
-each row key is grouped once and every listed column is produced, so no
-cross product of member sets is ever built.  The column list is a member
+application).  Density comes from a pivot over an explicit column list
+(one conditional ``max`` per column): each row key is grouped once and every
+listed column is produced, so no cross product of member sets is ever built.  The column list is a member
 set brought to the driver under the ``pivotMaxValues`` bound; the long form
 is the wide grid unpivoted, so it has exactly rows x columns cells.
 """
@@ -36,7 +36,11 @@ def pivot_grid(
     are all ``fill``, cells of other rows are dropped.  Without it the rows
     are those present in ``cells``.
     """
-    wide = cells.groupBy(row_key).pivot(col_key, columns).agg(F.max(value))
+    # A pivot written as one conditional aggregate: a single map-side-combined
+    # shuffle (``pivot`` with ``max`` plans two aggregates, two shuffles).
+    wide = cells.groupBy(row_key).agg(
+        *[F.max(F.when(F.col(col_key) == F.lit(c), F.col(value))).alias(str(c)) for c in columns]
+    )
     if rows is not None:
         wide = rows.select(row_key).distinct().join(wide, row_key, "left")
     values = [F.col(_quoted(str(c))) for c in columns]
