@@ -95,7 +95,7 @@ QUERIES: dict[str, Query] = {
     "members_region": lambda s, d: op.members_region(_stats(s, d)),
     "members_region_period": lambda s, d: op.members_region(_stats(s, d), PERIOD),
     "menus": lambda s, d: op.menus(_stats(s, d)),
-    "column_to_list": lambda s, d: op.indexed_members(_la_rows(_stats(s, d)), "la_name"),
+    "column_to_list": lambda s, d: op.column_to_list(_la_rows(_stats(s, d)), "la_name"),
     "enrolment_series": lambda s, d: op.enrolment_series(_stats(s, d), LA1),
     "enrolment_series_formatted": lambda s, d: op.with_formats(
         op.enrolment_series(_stats(s, d), LA1), thousands=["enrolments"]

@@ -68,26 +68,22 @@ def members_region(
     return members(df, roles.region, cond)
 
 
-def column_to_list(df: DataFrame, column: str, name: str = "values") -> DataFrame:
-    """The distinct values of a member column as one sorted array.
-
-    Meant for member sets (bounded by a dimension, not by the data): values
-    are deduplicated per partition and across the shuffle before they are
-    gathered into one row, and nulls are dropped.  :func:`indexed_members`
-    is the form that never gathers the list in one task.
-    """
-    return df.select(column).distinct().agg(F.sort_array(F.collect_list(column)).alias(name))
-
-
-def indexed_members(df: DataFrame, column: str, pos: str = "pos") -> DataFrame:
-    """The flattened member list as rows ``(pos, value)``, ``pos`` from 0, in value order.
-
-    The distributed form of :func:`column_to_list`: no single task holds the list.
+def column_to_list(df: DataFrame, column: str, pos: str = "pos") -> DataFrame:
+    """The flattened member list of a column (O9) as rows ``(pos, value)``.
+
+    ``pos`` counts from 0 in value order and nulls are dropped, like the
+    source's flattened list.  The list stays distributed: values are
+    deduplicated per partition and across one shuffle, and positions come
+    from :func:`~tierstat.functions.global_row_number`, so no task and no
+    driver ever holds the whole list.
     """
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct()
     return global_row_number(distinct, [column], pos).select((F.col(pos) - 1).alias(pos), column)
 
 
+indexed_members = column_to_list
+
+
 def collect_members(
     df: DataFrame, column: str, limit: int | None = None, spark: SparkSession | None = None
 ) -> list:
