@@ -65,12 +65,17 @@ def main() -> None:
         builds.append(time.perf_counter() - t)
     times["build_stats"], cold["build_stats"] = min(builds), builds[0]
 
+    errors: dict[str, str] = {}
     for key, query in QUERIES.items():
         runs = []
-        for _ in range(REPEAT):
-            t = time.perf_counter()
-            run(query(spark, sf_dir))  # building the query is timed too (pivot lists, checkpoints)
-            runs.append(time.perf_counter() - t)
+        try:
+            for _ in range(REPEAT):
+                t = time.perf_counter()
+                run(query(spark, sf_dir))  # building the query is timed too (pivot lists, checkpoints)
+                runs.append(time.perf_counter() - t)
+        except Exception as exc:  # keep timing the rest; report the failure
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            continue
         cold[key] = runs[0]
         times[key] = min(runs)
 
@@ -105,6 +110,7 @@ def main() -> None:
                 "cold": {k: round(v, 3) for k, v in cold.items()},
                 "scans": plan_scans,
                 "n_queries": len(QUERIES),
+                "errors": errors,
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "cpus": cpus,
             }
