@@ -81,37 +81,37 @@ def compare_sum(
     )
 
 
-def compare_enrolment(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_enrolment(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """O19."""
     return compare_sum(df, ENROLMENT_MEASURES, areas, period, roles=roles)
 
 
-def compare_school_types(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_school_types(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Schools per category."""
     return compare_sum(df, SCHOOL_MEASURES, areas, period, by=roles.category, roles=roles)
 
 
-def compare_authorised(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_authorised(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """O21."""
     return compare_sum(df, AUTH_MEASURES, areas, period, roles=roles)
 
 
-def compare_sessions(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_sessions(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """O22."""
     return compare_sum(df, SESSION_MEASURES, areas, period, roles=roles)
 
 
-def compare_sessions_wide(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_sessions_wide(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """The seven session measures of the older interface."""
     return compare_sum(df, SESSION_MEASURES_WIDE, areas, period, roles=roles)
 
 
-def compare_unauthorised(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_unauthorised(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """O24."""
     return compare_sum(df, UNAUTH_MEASURES, areas, period, roles=roles)
 
 
-def compare_unauthorised_wide(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def compare_unauthorised_wide(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """O24 plus the overall unauthorised counts."""
     return compare_sum(df, UNAUTH_MEASURES_WIDE, areas, period, roles=roles)
 

@@ -27,7 +27,7 @@ def percents_of(df: DataFrame, numers: list[str], denom: str, digits: int = 3) -
     return df.withColumns({f"{n}_percent": percent(n, denom, digits) for n in numers})
 
 
-def persistent_absentee_percent(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def persistent_absentee_percent(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Share of enrolments that are persistent absentees, per side."""
     return percent_of(compare_enrolment(df, areas, period, roles), "enrolments_pa_10_exact", "enrolments")
 
@@ -37,17 +37,17 @@ def _reason_percents(compared: DataFrame, total: str, roles: Roles) -> DataFrame
     return percents_of(compared, [c for c in compared.columns if c not in keys], total)
 
 
-def authorised_reason_percents(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def authorised_reason_percents(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Each authorised reason as a share of their total, per side."""
     return _reason_percents(compare_authorised(df, areas, period, roles), AUTH_TOTAL, roles)
 
 
-def unauthorised_reason_percents(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def unauthorised_reason_percents(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Each unauthorised reason as a share of their total, per side."""
     return _reason_percents(compare_unauthorised(df, areas, period, roles), UNAUTH_TOTAL, roles)
 
 
-def school_type_share(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def school_type_share(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Each category's share of the area's schools, per side.
 
     The area total is a window sum over the side's few category rows, so
@@ -60,7 +60,7 @@ def school_type_share(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
     )
 
 
-def session_split(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def session_split(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Attended, absent (not persistent) and persistent-absent shares of possible sessions."""
     sess = compare_sessions(df, areas, period, roles).withColumns(
         {
@@ -72,7 +72,7 @@ def session_split(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
     return percent_table(sess, roles, keep=("side", roles.area))
 
 
-def session_percents_wide(df, areas, period, roles: Roles = DEFAULT) -> DataFrame:
+def session_percents_wide(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Older interface: persistent-absentee and authorised shares of possible sessions."""
     sess = compare_sessions_wide(df, areas, period, roles)
     return percents_of(sess, ["sess_possible_pa_10_exact", "sess_authorised"], "sess_possible")
