@@ -83,3 +83,22 @@ def test_global_row_number_is_a_total_order(spark):
     got = [(r.v, r.k, r.pos) for r in global_row_number(df, ["v", "k"]).orderBy("pos").collect()]
     expected = [(v, k, i + 1) for i, (v, k) in enumerate(sorted(data))]
     assert got == expected
+
+
+def test_percent_rounds_half_up_and_nulls_zero_denominators(spark):
+    """percent(n, d) = round(n / d * 100, 3) HALF_UP on the double's shortest decimal form."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tierstat.functions import percent
+
+    rng = random.Random(11)
+    pairs = [(rng.randint(0, 10**7), rng.choice([0, 1, 3, 7, 8, 16, 2000, rng.randint(1, 10**7)])) for _ in range(2000)]
+    pairs += [(1, 2000), (5, 8000), (1, 16), (0, 0), (3, 0)]  # exact ties at the 4th place; zero denominators
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(percent("n", "d")).collect()]
+    for (n, d), value in zip(pairs, got):
+        if d == 0:
+            assert value is None
+        else:
+            expected = float(Decimal(repr(n / d * 100)).quantize(Decimal("0.001"), rounding=ROUND_HALF_UP))
+            assert value == expected, (n, d, value, expected)
