@@ -16,10 +16,11 @@ from tierstat.operators.ranking import RANKING_COLUMN, final_ranking, rank_cells
 from tierstat.operators.matrix import rate_matrix
 from tierstat.operators.series import rate_series_with_national
 from tierstat.roles import DEFAULT, Roles
+from tierstat.session import checkpoint_root
 
 
 class RegionPerformance:
-    """The parts of F2, each built on first use (the ranking runs a checkpoint job)."""
+    """The parts of F2, each built on first use (rank cells and ranking are checkpointed)."""
 
     def __init__(self, df: DataFrame, roles: Roles, fill: float | None, level: str) -> None:
         self._df, self._roles, self._fill, self._level = df, roles, fill, level
@@ -32,9 +33,14 @@ class RegionPerformance:
 
     @cached_property
     def ranks(self) -> DataFrame:
-        """name, period, rate, rank."""
+        """name, period, rate, rank, checkpointed to the shared folder.
+
+        The grid holds one row per member and period; the ranking and the
+        joined table both read it, so the input is not computed again.
+        """
+        checkpoint_root(self._df.sparkSession)
         grid = rate_matrix(self._df, self._roles, self._fill, self._level)
-        return rank_cells(grid, self.name, self._roles.period, self._roles.rate)
+        return rank_cells(grid, self.name, self._roles.period, self._roles.rate).checkpoint(eager=True)
 
     @cached_property
     def ranking(self) -> DataFrame:
