@@ -200,3 +200,17 @@ def test_formats(spark):
     df = spark.createDataFrame([(1234567.9, 6.25)], "n double, p double")
     assert rows(df.select(format_thousands("n"), format_percent("p"))) == [("1,234,567", "6.25%")]
     assert rows(op.with_formats(df, ["n"], ["p"])) == [("1,234,567", "6.25%")]
+
+
+def test_top_reasons_long(golden):
+    got = rows(op.top_reasons_long(golden, 3).where(F.col("time_period") == P1).orderBy("position"))
+    assert got == [(P1, 1, "holiday", 50), (P1, 2, "illness", 50), (P1, 3, "appointments", 10)]
+    # k beyond the number of reasons keeps every reason once
+    assert op.top_reasons_long(golden, 20).where(F.col("time_period") == P1).count() == 9
+
+
+def test_write_report_csv(spark, golden, tmp_path):
+    report = op.region_ranking(golden)
+    path = op.write_report(report, str(tmp_path / "ranking"), fmt="csv")
+    back = spark.read.option("header", "true").csv(path)
+    assert sorted((int(r[0]), r[1]) for r in back.collect()) == [(1, "South"), (2, "East"), (3, "North")]
