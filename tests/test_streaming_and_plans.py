@@ -111,3 +111,25 @@ def test_build_scans_lineitem_once(spark):
     final = buf.getvalue().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("lineitem.parquet") == 1
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
+def test_no_cross_join_and_no_python_in_any_query(spark):
+    """No registered query pairs all rows, runs Python per row, or gathers rows into one task."""
+    for key, query in entry_module.queries().items():
+        df = query(spark, SF01)
+        plan = plan_text(df)
+        for node in FORBIDDEN:
+            assert node not in plan, (key, node)
+        # A single-partition exchange may only carry one row per map partition:
+        # partial aggregate buffers of a global aggregate, or the per-partition
+        # sizes of global_row_number. Never raw rows or grid cells.
+        for block in plan.split("\n\n"):
+            if re.match(r"^\(\d+\) Exchange", block.strip()) and "SinglePartition" in block:
+                inputs = re.search(r"Input \[\d+\]: \[(.*)\]", block).group(1).split(", ")
+                offsets = "_ts_part" in block and "_ts_n" in block
+                partials = all(re.match(r"^(sum|count|max|min|avg|isEmpty)#", c) for c in inputs)
+                assert offsets or partials, (key, block)
