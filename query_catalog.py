@@ -176,6 +176,7 @@ QUERIES: dict[str, Query] = {
     "report_sink": _report_sink,
     "compare_report": lambda s, d: compare_report(_stats(s, d), LA1, LA2, PERIOD),
     "region_performance": lambda s, d: region_performance(_stats(s, d)).table,
+    "region_performance_la": lambda s, d: region_performance(_stats(s, d), level=LA_LEVEL).table,
     "region_performance_series": lambda s, d: region_performance(_stats(s, d)).series,
     "absence_location_school": lambda s, d: absence_location_school(_stats(s, d), PERIOD).grid,
 }
@@ -506,6 +507,11 @@ ORACLE: dict[str, str] = {
         + "SELECT r.region_name, r.time_period, r.sess_overall_percent, r.rank, k.mean_rank, "
         "k.\"rank (best -> worst)\" FROM ranks r JOIN ranking k ON r.region_name = k.region_name"
     ),
+    "region_performance_la": with_stats(
+        _grid("Local authority", "la_name")
+        + "SELECT r.la_name, r.time_period, r.sess_overall_percent, r.rank, k.mean_rank, "
+        "k.\"rank (best -> worst)\" FROM ranks r JOIN ranking k ON r.la_name = k.la_name"
+    ),
     "region_performance_series": with_stats(
         "SELECT time_period, sess_overall_percent, "
         "CASE WHEN geographic_level = 'National' THEN 'Nation Wide' ELSE region_name END AS region_name "
