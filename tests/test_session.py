@@ -19,3 +19,21 @@ def test_scale_conf_sizes_partitions_by_input():
     big = scale_conf(100 << 40, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_stats_table_reuses_a_stored_path(spark, tmp_path):
+    import os
+
+    from conftest import SF001
+    from tierstat.sources import tpch
+
+    path = str(tmp_path / "stats")
+    tpch._MATERIALISED.clear()
+    built = tpch.stats_table(spark, SF001, path=path)  # nothing there yet: built and written
+    marker = os.path.join(path, "_SUCCESS")
+    stamp = os.stat(marker).st_mtime_ns
+    tpch._MATERIALISED.clear()
+    again = tpch.stats_table(spark, SF001, path=path)  # a later application: read, not rebuilt
+    assert os.stat(marker).st_mtime_ns == stamp
+    assert again.count() == built.count() == 1763
+    tpch._MATERIALISED.clear()

@@ -206,14 +206,18 @@ def multi_level(tables: dict[str, DataFrame], roles: Roles = DEFAULT) -> DataFra
 _MATERIALISED: dict[tuple[str, str], DataFrame] = {}
 
 
-def store_stats(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT) -> DataFrame:
-    """Build the multi-level table, write it under the shared checkpoint folder, read it back.
+def store_stats(
+    spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT, path: str | None = None
+) -> DataFrame:
+    """Build the multi-level table, write it, read it back.
 
-    The stored copy (Parquet partitioned by period) becomes the one
+    ``path`` names a shared location to keep it across applications; by
+    default a fresh folder under the shared checkpoint folder is used.  The
+    stored copy (Parquet partitioned by period) becomes the one
     :func:`stats_table` returns for ``sf_dir`` in this application.
     """
     stats = multi_level(read_tables(spark, sf_dir), roles)
-    path = write_partitioned(stats, scratch_path(spark, "stats"), roles)
+    path = write_partitioned(stats, path or scratch_path(spark, "stats"), roles)
     # Reusing one DataFrame keeps its file listing: later queries skip it.
     stored = read_partitioned(spark, path).select(*stats.columns)
     _MATERIALISED[_key(spark, sf_dir, roles)] = stored
@@ -224,15 +228,38 @@ def _key(spark: SparkSession, sf_dir: str, roles: Roles) -> tuple[str, str]:
     return (app_id(spark), sf_dir.rstrip("/") + "|" + repr(roles))
 
 
-def stats_table(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT, materialise: bool = True) -> DataFrame:
+def stats_table(
+    spark: SparkSession,
+    sf_dir: str,
+    roles: Roles = DEFAULT,
+    materialise: bool = True,
+    path: str | None = None,
+) -> DataFrame:
     """The multi-level table for ``sf_dir``.
 
     With ``materialise`` (default) it is computed once per application and
     stored (see :func:`store_stats`): later queries prune by period and push
     level and name filters into the scan, and the lineage to the raw tables
-    is cut.  Without it, the lazy plan over the raw tables is returned.
+    is cut.  With ``path``, a table already stored there (by an earlier
+    application) is read instead of built.  Without ``materialise``, the
+    lazy plan over the raw tables is returned.
     """
     if not materialise:
         return multi_level(read_tables(spark, sf_dir), roles)
     stored = _MATERIALISED.get(_key(spark, sf_dir, roles))
-    return stored if stored is not None else store_stats(spark, sf_dir, roles)
+    if stored is not None:
+        return stored
+    if path is not None and _exists(spark, path):
+        stored = read_partitioned(spark, path)
+        _MATERIALISED[_key(spark, sf_dir, roles)] = stored
+        return stored
+    return store_stats(spark, sf_dir, roles, path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished Parquet table is at ``path`` (its commit marker is there)."""
+    try:
+        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
+        return True
+    except Exception:
+        return False
