@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from tierstat.functions.columns import sum_columns
 from tierstat.roles import AUTH_REASONS, DEFAULT, Roles
 
-MEDICAL_REASONS = ["sess_auth_appointments", "sess_auth_illness"]  # fixed value
+# The medical reasons and the period the source's medical feature uses.
+MEDICAL_REASONS = ["sess_auth_appointments", "sess_auth_illness"]
+MEDICAL_PERIOD = "2017/18"
 
 
 def medical_absence_total(
     df: DataFrame,
     category: str | list[str],
-    period: str = "2017/18",
+    period: str = MEDICAL_PERIOD,
     roles: Roles = DEFAULT,
     reasons: list[str] = MEDICAL_REASONS,
 ) -> DataFrame:

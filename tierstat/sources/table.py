@@ -9,9 +9,12 @@ from tierstat.functions.columns import col_of, lenient_double, lenient_long
 from tierstat.roles import COUNT_MEASURES, DEFAULT, RATE_MEASURES, Roles
 
 
+PERIOD_PATTERN = "(..$)"  # fixed value: the source's pattern (the last two characters)
+
+
 def period_label(c: str | Column, sep: str = "/") -> Column:
     """Put ``sep`` before the last two characters: '201718' -> '2017/18' (O2)."""
-    return F.regexp_replace(col_of(c), "(..$)", sep + "$1")
+    return F.regexp_replace(col_of(c), PERIOD_PATTERN, sep + "$1")
 
 
 def typed(
