@@ -19,10 +19,9 @@ so a partition holds at most one side's categories.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierstat.functions.columns import percent
 from tierstat.operators.compare import with_sides
 from tierstat.roles import (
     AUTH_REASONS,
@@ -48,42 +47,41 @@ _MEASURES = [
 ]
 
 
-def _entry(section: str, metric: str, value: Column, pct: Column | None) -> Column:
-    return F.struct(
-        F.lit(section).alias("section"),
-        F.lit(metric).alias("metric"),
-        value.cast("bigint").alias("value"),
-        (pct if pct is not None else F.lit(None)).cast("double").alias("percent"),
+def _pct_sql(numer: str, denom: str) -> str:
+    """SQL text of :func:`tierstat.functions.percent`."""
+    return f"round(try_divide({numer}, {denom}) * 100, 3)"
+
+
+def _entry_sql(section: str, metric: str, value: str, pct: str | None) -> str:
+    return (
+        f"named_struct('section', '{section}', 'metric', '{metric}', "
+        f"'value', CAST({value} AS BIGINT), 'percent', CAST({pct or 'NULL'} AS DOUBLE))"
     )
 
 
-def _area_entries() -> list[Column]:
-    c = F.col
-    normal = c("sess_possible") - c("sess_overall")
-    exc_pa = c("sess_overall") - c("sess_overall_pa_10_exact")
+def _area_entries_sql() -> str:
+    """The area sections as one SQL array (a single expression for the JVM to parse)."""
+    normal = "(sess_possible - sess_overall)"
+    exc_pa = "(sess_overall - sess_overall_pa_10_exact)"
     entries = [
-        _entry("enrolment", "enrolments", c("enrolments"), None),
-        _entry(
-            "enrolment",
-            "enrolments_pa_10_exact",
-            c("enrolments_pa_10_exact"),
-            percent("enrolments_pa_10_exact", "enrolments"),
+        _entry_sql("enrolment", "enrolments", "enrolments", None),
+        _entry_sql(
+            "enrolment", "enrolments_pa_10_exact", "enrolments_pa_10_exact",
+            _pct_sql("enrolments_pa_10_exact", "enrolments"),
         ),
-        _entry("sessions", "sess_possible", c("sess_possible"), None),
-        _entry("sessions", "sess_normal", normal, percent(normal, "sess_possible")),
-        _entry("sessions", "sess_overall_exc_pa", exc_pa, percent(exc_pa, "sess_possible")),
-        _entry(
-            "sessions",
-            "sess_overall_pa_10_exact",
-            c("sess_overall_pa_10_exact"),
-            percent("sess_overall_pa_10_exact", "sess_possible"),
+        _entry_sql("sessions", "sess_possible", "sess_possible", None),
+        _entry_sql("sessions", "sess_normal", normal, _pct_sql(normal, "sess_possible")),
+        _entry_sql("sessions", "sess_overall_exc_pa", exc_pa, _pct_sql(exc_pa, "sess_possible")),
+        _entry_sql(
+            "sessions", "sess_overall_pa_10_exact", "sess_overall_pa_10_exact",
+            _pct_sql("sess_overall_pa_10_exact", "sess_possible"),
         ),
     ]
-    entries += [_entry("authorised", r, c(r), percent(r, AUTH_TOTAL)) for r in AUTH_REASONS]
-    entries.append(_entry("authorised", AUTH_TOTAL, c(AUTH_TOTAL), None))
-    entries += [_entry("unauthorised", r, c(r), percent(r, UNAUTH_TOTAL)) for r in UNAUTH_REASONS]
-    entries.append(_entry("unauthorised", UNAUTH_TOTAL, c(UNAUTH_TOTAL), None))
-    return entries
+    entries += [_entry_sql("authorised", r, r, _pct_sql(r, AUTH_TOTAL)) for r in AUTH_REASONS]
+    entries.append(_entry_sql("authorised", AUTH_TOTAL, AUTH_TOTAL, None))
+    entries += [_entry_sql("unauthorised", r, r, _pct_sql(r, UNAUTH_TOTAL)) for r in UNAUTH_REASONS]
+    entries.append(_entry_sql("unauthorised", UNAUTH_TOTAL, UNAUTH_TOTAL, None))
+    return "array(" + ", ".join(entries) + ")"
 
 
 def compare_report(
@@ -107,12 +105,16 @@ def compare_report(
         F.col("num_schools").alias("_type_schools"),
         F.row_number().over(area.orderBy(roles.category)).alias("_first"),
     )
-    type_entry = _entry(
-        "school_type", "", F.col("_type_schools"), percent(F.col("_type_schools"), F.col("num_schools"))
-    ).withField("metric", F.col(roles.category))
-    entries = F.when(
-        F.col("_first") == 1, F.array(type_entry, *_area_entries())
-    ).otherwise(F.array(type_entry))
+    category = "`" + roles.category.replace("`", "``") + "`"
+    type_entry = (
+        f"named_struct('section', 'school_type', 'metric', {category}, "
+        f"'value', CAST(_type_schools AS BIGINT), "
+        f"'percent', CAST({_pct_sql('_type_schools', 'num_schools')} AS DOUBLE))"
+    )
+    entries = F.expr(
+        f"CASE WHEN _first = 1 THEN concat(array({type_entry}), {_area_entries_sql()}) "
+        f"ELSE array({type_entry}) END"
+    )
     return area_totals.select("side", roles.area, F.inline(entries)).select(
         "section", "side", roles.area, "metric", "value", "percent"
     )
