@@ -214,3 +214,16 @@ def test_write_report_csv(spark, golden, tmp_path):
     path = op.write_report(report, str(tmp_path / "ranking"), fmt="csv")
     back = spark.read.option("header", "true").csv(path)
     assert sorted((int(r[0]), r[1]) for r in back.collect()) == [(1, "South"), (2, "East"), (3, "North")]
+
+
+def test_load_several_files(spark, tmp_path):
+    """A table delivered in parts: every file is read with the same header and casts."""
+    parts = []
+    for i in range(3):
+        p = tmp_path / f"part{i}.csv"
+        p.write_text(csv_text())
+        parts.append(str(p))
+    both = load_table(spark, parts)
+    assert both.count() == 3 * len(ROWS)
+    assert load_table(spark, str(tmp_path)).count() == 3 * len(ROWS)  # a folder works too
+    assert dict(both.dtypes)["enrolments"] == "bigint"
