@@ -38,3 +38,17 @@ def test_entry_smoke(spark):
     df = entry_module.entry(spark)
     assert df.columns == ["time_period", "1st", "2nd", "3rd"]
     assert df.count() >= 1
+
+
+def test_columns_unique_and_equal_to_the_oracle(spark, con01):
+    """The driver sorts columns by name before hashing: names must be unique and the same."""
+    canon = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    for key, query in QUERIES.items():
+        df = query(spark, SF01)
+        names = df.columns
+        assert len(names) == len(set(names)), key
+        rel = con01.sql(ORACLE[key])
+        assert sorted(names) == sorted(rel.columns), key
+        duck_types = dict(zip(rel.columns, map(str, rel.types)))
+        for name, dtype in df.dtypes:
+            assert canon.get(dtype, dtype) == duck_types[name], (key, name, dtype, duck_types[name])
