@@ -20,7 +20,7 @@ def con01():
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
-def test_query_matches_oracle_sf001(spark, con01, key):
+def test_query_matches_oracle_sf0_01(spark, con01, key):
     ok, msg = compare(QUERIES[key](spark, SF01), con01, ORACLE[key])
     assert ok, msg
 
@@ -28,7 +28,7 @@ def test_query_matches_oracle_sf001(spark, con01, key):
 @pytest.mark.parametrize(
     "key", ["rate_matrix_la", "region_ranking_la", "load_table", "top3_reasons", "compare_report"]
 )
-def test_query_matches_oracle_sf0001(spark, key):
+def test_query_matches_oracle_sf0_001(spark, key):
     """sf0.001 has one missing area/period cell and null sums at small levels."""
     ok, msg = compare(QUERIES[key](spark, SF001), duck(SF001), ORACLE[key])
     assert ok, msg
