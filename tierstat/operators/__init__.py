@@ -21,7 +21,6 @@ from tierstat.operators.matrix import (
 from tierstat.operators.members import (
     collect_members,
     column_to_list,
-    indexed_members,
     members,
     members_la,
     members_la_nonempty,

@@ -81,8 +81,6 @@ def column_to_list(df: DataFrame, column: str, pos: str = "pos") -> DataFrame:
     return global_row_number(distinct, [column], pos).select((F.col(pos) - 1).alias(pos), column)
 
 
-indexed_members = column_to_list
-
 
 def collect_members(
     df: DataFrame, column: str, limit: int | None = None, spark: SparkSession | None = None
