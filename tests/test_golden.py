@@ -227,3 +227,19 @@ def test_load_several_files(spark, tmp_path):
     assert both.count() == 3 * len(ROWS)
     assert load_table(spark, str(tmp_path)).count() == 3 * len(ROWS)  # a folder works too
     assert dict(both.dtypes)["enrolments"] == "bigint"
+
+
+def test_not_total_also_drops_null_categories(golden):
+    """`category != 'Total'` is null for a null category, so the row is dropped, as in the source."""
+    school = golden.where(F.col("geographic_level") == "School").limit(1)
+    with_null = golden.unionByName(school.withColumn("school_type", F.lit(None).cast("string")))
+    assert [r[0] for r in op.members_school_type(with_null).collect()] == ["Primary", "Secondary"]
+    same = rows(op.compare_school_types(with_null, ["Leeds"], P2))
+    assert same == rows(op.compare_school_types(golden, ["Leeds"], P2))
+
+
+def test_percent_table_keeps_any_percent_column(golden):
+    """A source rate ending in `percent` passes through, renamed like the others."""
+    regional = golden.where(F.col("geographic_level") == "Regional").select("la_name", "sess_overall_percent")
+    table = op.percent_table(regional, keep=("la_name",))
+    assert table.columns == ["la_name", "overall_percent"]
