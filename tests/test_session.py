@@ -36,4 +36,5 @@ def test_stats_table_reuses_a_stored_path(spark, tmp_path):
     again = tpch.stats_table(spark, SF001, path=path)  # a later application: read, not rebuilt
     assert os.stat(marker).st_mtime_ns == stamp
     assert again.count() == built.count() == 1763
+    assert again.columns == built.columns
     tpch._MATERIALISED.clear()

@@ -250,7 +250,9 @@ def stats_table(
     if stored is not None:
         return stored
     if path is not None and _exists(spark, path):
-        stored = read_partitioned(spark, path)
+        read = read_partitioned(spark, path)
+        # The partition column comes last in a partitioned read; the table has it first.
+        stored = read.select(roles.period, *[c for c in read.columns if c != roles.period])
         _MATERIALISED[_key(spark, sf_dir, roles)] = stored
         return stored
     return store_stats(spark, sf_dir, roles, path)
