@@ -44,7 +44,7 @@ def test_ingest_round_trip(spark, golden, tmp_path):
         return sorted(tuple(repr(v) for v in r) for r in df.select(*cols).collect())
 
     assert canon(stored) == canon(golden)
-    assert dict(stored.dtypes) == dict(golden.dtypes)
+    assert stored.dtypes == golden.dtypes  # same columns, same order, same types
 
 
 def test_period_label_other_separator(spark):

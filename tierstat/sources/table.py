@@ -81,8 +81,12 @@ def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: st
     return path
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_partitioned(spark: SparkSession, path: str, roles: Roles = DEFAULT) -> DataFrame:
+    """Read a table stored by :func:`write_partitioned`, period column first as in the source."""
+    df = spark.read.parquet(path)
+    if roles.period not in df.columns:
+        return df
+    return df.select(roles.period, *[c for c in df.columns if c != roles.period])
 
 
 def ingest_table(
@@ -99,4 +103,4 @@ def ingest_table(
     Parquet copy with partition pruning and pushdown.
     """
     write_partitioned(load_table(spark, csv_path, roles, sep), out_path, roles)
-    return read_partitioned(spark, out_path)
+    return read_partitioned(spark, out_path, roles)

@@ -219,7 +219,7 @@ def store_stats(
     stats = multi_level(read_tables(spark, sf_dir), roles)
     path = write_partitioned(stats, path or scratch_path(spark, "stats"), roles)
     # Reusing one DataFrame keeps its file listing: later queries skip it.
-    stored = read_partitioned(spark, path).select(*stats.columns)
+    stored = read_partitioned(spark, path, roles).select(*stats.columns)
     _MATERIALISED[_key(spark, sf_dir, roles)] = stored
     return stored
 
@@ -250,9 +250,7 @@ def stats_table(
     if stored is not None:
         return stored
     if path is not None and _exists(spark, path):
-        read = read_partitioned(spark, path)
-        # The partition column comes last in a partitioned read; the table has it first.
-        stored = read.select(roles.period, *[c for c in read.columns if c != roles.period])
+        stored = read_partitioned(spark, path, roles)
         _MATERIALISED[_key(spark, sf_dir, roles)] = stored
         return stored
     return store_stats(spark, sf_dir, roles, path)
