@@ -243,3 +243,14 @@ def test_percent_table_keeps_any_percent_column(golden):
     regional = golden.where(F.col("geographic_level") == "Regional").select("la_name", "sess_overall_percent")
     table = op.percent_table(regional, keep=("la_name",))
     assert table.columns == ["la_name", "overall_percent"]
+
+
+def test_given_member_lists_skip_the_collect(spark, golden):
+    """With the grid columns given, building a ranking or grid runs no job before its action."""
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    ranks = op.rank_matrix(golden, periods=[P1, P2])
+    grid = op.type_region_matrix_wide(golden, P2, regions=["East", "North", "South"])
+    assert len(tracker.getJobIdsForGroup()) == before
+    assert rows(grid) == [("Primary", 0.0, 3.1, 4.2), ("Secondary", 5.5, 0.0, 0.0)]
+    assert ranks.count() == 6

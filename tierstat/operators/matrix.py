@@ -117,7 +117,11 @@ def rate_by_type_region(df: DataFrame, period: str | list[str], roles: Roles = D
 
 
 def type_region_matrix_wide(
-    df: DataFrame, period: str, roles: Roles = DEFAULT, fill: float | None = 0.0
+    df: DataFrame,
+    period: str,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    regions: list[str] | None = None,
 ) -> DataFrame:
     """Category x region grid of the rate in a period (O42, wide).
 
@@ -129,7 +133,7 @@ def type_region_matrix_wide(
         & (F.col(roles.level) == roles.regional)
         & (F.col(roles.category) != roles.total)
     ).select(roles.region, roles.rate, roles.category)
-    regions = collect_members(cells, roles.region)
+    regions = collect_members(cells, roles.region) if regions is None else regions
     rows = df.where(
         (F.col(roles.category) != roles.total) & (F.col(roles.level) == roles.unit_level)
     ).select(roles.category)
@@ -139,8 +143,13 @@ def type_region_matrix_wide(
 
 
 def type_region_matrix(
-    df: DataFrame, period: str, roles: Roles = DEFAULT, fill: float | None = 0.0
+    df: DataFrame,
+    period: str,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    regions: list[str] | None = None,
 ) -> DataFrame:
     """O42 in long form: ``category, region, rate`` for every cell."""
-    long = grid_long(type_region_matrix_wide(df, period, roles, fill), roles.category, roles.region, roles.rate)
+    wide = type_region_matrix_wide(df, period, roles, fill, regions)
+    long = grid_long(wide, roles.category, roles.region, roles.rate)
     return long.where(F.col(roles.rate).isNotNull()) if fill is None else long

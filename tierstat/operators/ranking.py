@@ -30,21 +30,33 @@ def rank_cells(grid: DataFrame, name: str, period: str, value: str, rank: str =
 
 
 def rank_matrix(
-    df: DataFrame, roles: Roles = DEFAULT, fill: float | None = 0.0, level: str | None = None
+    df: DataFrame,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    level: str | None = None,
+    periods: list[str] | None = None,
 ) -> DataFrame:
-    """Per period, members ranked 1..n by rate (O38): ``name, period, rate, rank``."""
+    """Per period, members ranked 1..n by rate (O38): ``name, period, rate, rank``.
+
+    ``periods`` (the grid's columns) may be given to skip collecting them.
+    """
     level = level or roles.regional
     name = roles.level_column(level)
-    return rank_cells(rate_matrix(df, roles, fill, level), name, roles.period, roles.rate)
+    return rank_cells(rate_matrix(df, roles, fill, level, periods), name, roles.period, roles.rate)
 
 
 def mean_rank(
-    df: DataFrame, roles: Roles = DEFAULT, fill: float | None = 0.0, level: str | None = None
+    df: DataFrame,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    level: str | None = None,
+    periods: list[str] | None = None,
 ) -> DataFrame:
     """Mean of each member's ranks over the periods (O39): ``name, mean_rank``."""
     level = level or roles.regional
     name = roles.level_column(level)
-    return rank_matrix(df, roles, fill, level).groupBy(name).agg(F.avg("rank").alias("mean_rank"))
+    ranks = rank_matrix(df, roles, fill, level, periods)
+    return ranks.groupBy(name).agg(F.avg("rank").alias("mean_rank"))
 
 
 def final_ranking(means: DataFrame, name: str, column: str = RANKING_COLUMN) -> DataFrame:
@@ -54,9 +66,13 @@ def final_ranking(means: DataFrame, name: str, column: str = RANKING_COLUMN) ->
 
 
 def region_ranking(
-    df: DataFrame, roles: Roles = DEFAULT, fill: float | None = 0.0, level: str | None = None
+    df: DataFrame,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    level: str | None = None,
+    periods: list[str] | None = None,
 ) -> DataFrame:
     """Members from best (lowest mean rank) to worst (O40): ``rank (best -> worst), name``."""
     level = level or roles.regional
     name = roles.level_column(level)
-    return final_ranking(mean_rank(df, roles, fill, level), name).select(RANKING_COLUMN, name)
+    return final_ranking(mean_rank(df, roles, fill, level, periods), name).select(RANKING_COLUMN, name)

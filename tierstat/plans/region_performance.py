@@ -22,8 +22,10 @@ from tierstat.session import checkpoint_root
 class RegionPerformance:
     """The parts of F2, each built on first use (rank cells and ranking are checkpointed)."""
 
-    def __init__(self, df: DataFrame, roles: Roles, fill: float | None, level: str) -> None:
-        self._df, self._roles, self._fill, self._level = df, roles, fill, level
+    def __init__(
+        self, df: DataFrame, roles: Roles, fill: float | None, level: str, periods: list[str] | None = None
+    ) -> None:
+        self._df, self._roles, self._fill, self._level, self._periods = df, roles, fill, level, periods
         self.name = roles.level_column(level)
 
     @cached_property
@@ -39,7 +41,7 @@ class RegionPerformance:
         joined table both read it, so the input is not computed again.
         """
         checkpoint_root(self._df.sparkSession)
-        grid = rate_matrix(self._df, self._roles, self._fill, self._level)
+        grid = rate_matrix(self._df, self._roles, self._fill, self._level, self._periods)
         return rank_cells(grid, self.name, self._roles.period, self._roles.rate).checkpoint(eager=True)
 
     @cached_property
@@ -58,6 +60,11 @@ class RegionPerformance:
 
 
 def region_performance(
-    df: DataFrame, roles: Roles = DEFAULT, fill: float | None = 0.0, level: str | None = None
+    df: DataFrame,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    level: str | None = None,
+    periods: list[str] | None = None,
 ) -> RegionPerformance:
-    return RegionPerformance(df, roles, fill, level or roles.regional)
+    """F2; ``periods`` (the grid's columns) may be given to skip collecting them."""
+    return RegionPerformance(df, roles, fill, level or roles.regional, periods)
