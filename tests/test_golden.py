@@ -254,3 +254,20 @@ def test_given_member_lists_skip_the_collect(spark, golden):
     assert len(tracker.getJobIdsForGroup()) == before
     assert rows(grid) == [("Primary", 0.0, 3.1, 4.2), ("Secondary", 5.5, 0.0, 0.0)]
     assert ranks.count() == 6
+
+
+def test_example_writes_every_feature(spark, tmp_path):
+    import importlib.util
+    import os
+
+    spec = importlib.util.spec_from_file_location("report_example", os.path.join(os.path.dirname(__file__), "..", "examples", "report.py"))
+    example = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(example)
+    csv = tmp_path / "absence.csv"
+    csv.write_text(csv_text())
+    out = tmp_path / "out"
+    written = example.main([str(csv), str(out), "--areas", "Leeds", "York", "--period", P2, "--category", "Primary"])
+    assert len(written) == 11
+    ranking = spark.read.parquet(written["region_ranking"]).orderBy("rank (best -> worst)")
+    assert [r.region_name for r in ranking.collect()] == ["South", "East", "North"]
+    assert spark.read.parquet(written["compare"]).count() > 0
