@@ -3,6 +3,8 @@
 Usage: python explain_plans.py [sf_dir]  (default /root/testdata/sf0.1)
 """
 
+from __future__ import annotations
+
 import contextlib
 import io
 import os
@@ -11,43 +13,75 @@ import sys
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
-from tierstat.session import local_session
-from tierstat.sources import multi_level, read_tables
-import query_catalog as C
-spark = local_session(8)
-d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
 
-def plan(df):
+import query_catalog  # noqa: E402
+from tierstat.session import local_session  # noqa: E402
+from tierstat.sources import multi_level, read_tables  # noqa: E402
+
+HEADLINE = [
+    "compare_report", "top3_reasons", "region_ranking", "rank_matrix", "rate_matrix_wide",
+    "members_la", "menus", "unauthorised_by_region", "school_type_share", "type_region_matrix_wide",
+]
+
+
+def explained(df, mode: str | None = "formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    text = buf.getvalue()
+        df.explain(mode) if mode else df.explain()
+    return buf.getvalue()
+
+
+def tree_and_scans(df) -> tuple[str, list[str]]:
+    """The operator tree, and for each Parquet scan its filters and read schema."""
+    text = explained(df)
     tree = text.split("\n\n\n")[0].strip()
     scans = []
     for block in text.split("\n\n"):
         if re.match(r"^\(\d+\) Scan parquet", block.strip()):
-            keep = [l for l in block.strip().splitlines() if l.startswith(("(", "PartitionFilters", "PushedFilters", "ReadSchema"))]
+            keep = [
+                line for line in block.strip().splitlines()
+                if line.startswith(("(", "PartitionFilters", "PushedFilters", "ReadSchema"))
+            ]
             scans.append("\n".join(k if len(k) < 400 else k[:400] + " ..." for k in keep))
     return tree, scans
 
-out = ["# PLANS", "", "Physical plans (`explain(\"formatted\")`, before AQE re-planning) of the headline queries at sf0.1, generated by the build. Each shows the operator tree and, for each Parquet scan, the partition filters, pushed filters and read schema.", ""]
-build = multi_level(read_tables(spark, d))
-build.collect()  # executed: the final adaptive plan shows the reused exchanges
-buf = io.StringIO()
-with contextlib.redirect_stdout(buf):
-    build.explain()
-final = buf.getvalue().split("== Initial Plan ==")[0].strip()
-final = "\n".join(l if len(l) < 160 else l[:160] + " ..." for l in final.splitlines())
-out += ["## build: multi_level from the raw tables (executed, final adaptive plan)", "",
-        "The School block reads the same shuffle and broadcasts as the aggregated block (`ReusedExchange`), so each raw table is scanned once.", "",
-        "```", final, "```", ""]
-items = []
-for key in ["compare_report", "top3_reasons", "region_ranking", "rank_matrix", "rate_matrix_wide", "members_la", "menus", "unauthorised_by_region", "school_type_share", "type_region_matrix_wide"]:
-    items.append((key, C.QUERIES[key](spark, d)))
-for title, df in items:
-    tree, scans = plan(df)
-    out += [f"## {title}", "", "```", tree, "```", ""]
-    for s in scans:
-        out += ["```", s, "```", ""]
-open(os.path.join(HERE, "PLANS.md"), "w").write("\n".join(out))
-spark.stop()
+
+def final_build_plan(spark, sf_dir: str) -> str:
+    """The build's final adaptive plan, which shows the reused exchanges once it has run."""
+    build = multi_level(read_tables(spark, sf_dir))
+    build.collect()  # runs the same query execution that explain() then reports (a doc tool, sf0.1)
+    final = explained(build, None).split("== Initial Plan ==")[0].strip()
+    return "\n".join(line if len(line) < 160 else line[:160] + " ..." for line in final.splitlines())
+
+
+def main(sf_dir: str) -> None:
+    spark = local_session(8)
+    out = [
+        "# PLANS",
+        "",
+        "Physical plans (`explain(\"formatted\")`, before AQE re-planning) of the headline queries "
+        f"at {os.path.basename(sf_dir)}, generated by `explain_plans.py`. Each shows the operator tree "
+        "and, for each Parquet scan, the partition filters, pushed filters and read schema.",
+        "",
+        "## build: multi_level from the raw tables (executed, final adaptive plan)",
+        "",
+        "The School block reads the same shuffle and broadcasts as the aggregated block "
+        "(`ReusedExchange`), so each raw table is scanned once.",
+        "",
+        "```",
+        final_build_plan(spark, sf_dir),
+        "```",
+        "",
+    ]
+    for key in HEADLINE:
+        tree, scans = tree_and_scans(query_catalog.QUERIES[key](spark, sf_dir))
+        out += [f"## {key}", "", "```", tree, "```", ""]
+        for scan in scans:
+            out += ["```", scan, "```", ""]
+    with open(os.path.join(HERE, "PLANS.md"), "w") as fh:
+        fh.write("\n".join(out))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
