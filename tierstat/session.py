@@ -85,6 +85,9 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # On a shared cluster, coalesce to the advisory size instead of keeping
+        # many small tasks for parallelism (Spark's own advice for busy clusters).
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.shuffle.partitions": str(int(partitions)),
