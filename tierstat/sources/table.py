@@ -56,37 +56,38 @@ def load_table(
     return typed(raw, counts, rates)
 
 
+def partition_columns(df: DataFrame, roles: Roles = DEFAULT) -> list[str]:
+    """The folder layout of a stored table: period, then level (both low-cardinality)."""
+    return [c for c in (roles.period, roles.level) if c in df.columns]
+
+
 def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: str = "overwrite") -> str:
-    """Store a multi-level table as Parquet partitioned by period.
-
-    ``rebalance`` on the period lets AQE cut the output into partitions of
-    the advisory size, one period each where possible and a hot period
-    split over several, so each folder gets a few well-sized files instead
-    of one small file per task.  Rows are clustered by level and names
-    inside each file, so a query that pins a period reads one folder
-    (partition pruning) and a level / name predicate skips row groups by
-    their min/max statistics.
+    """Store a multi-level table as Parquet partitioned by period and level.
+
+    Nearly every query pins a level and many pin a period, so they open only
+    their folders: a Regional query never touches the School files, which
+    hold most of the rows.  ``rebalance`` on the folder columns lets AQE cut
+    the output into partitions of the advisory size, a large folder (the
+    School rows of a period, or a hot period) split over several tasks, so
+    each folder gets a few well-sized files instead of one small file per
+    task.  Inside a file rows are clustered by region and area, so a name
+    predicate skips row groups by their min/max statistics.
     """
-    order = [c for c in (roles.period, roles.level, roles.region, roles.area) if c in df.columns]
+    parts = partition_columns(df, roles)
+    order = parts + [c for c in (roles.region, roles.area) if c in df.columns]
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         # Without AQE a rebalance is a plain hash repartition: a hot period
         # would land in one task, so the rows are then written as they are.
-        df = df.hint("rebalance", roles.period)
-    (
-        df.sortWithinPartitions(*order)
-        .write.mode(mode)
-        .partitionBy(roles.period)
-        .parquet(path)
-    )
+        df = df.hint("rebalance", *parts)
+    df.sortWithinPartitions(*order).write.mode(mode).partitionBy(*parts).parquet(path)
     return path
 
 
 def read_partitioned(spark: SparkSession, path: str, roles: Roles = DEFAULT) -> DataFrame:
-    """Read a table stored by :func:`write_partitioned`, period column first as in the source."""
+    """Read a table stored by :func:`write_partitioned`, its folder columns first as in the source."""
     df = spark.read.parquet(path)
-    if roles.period not in df.columns:
-        return df
-    return df.select(roles.period, *[c for c in df.columns if c != roles.period])
+    first = [c for c in (roles.period, roles.level) if c in df.columns]
+    return df.select(*first, *[c for c in df.columns if c not in first])
 
 
 def ingest_table(
@@ -96,7 +97,7 @@ def ingest_table(
     roles: Roles = DEFAULT,
     sep: str = "/",
 ) -> DataFrame:
-    """Load the text CSV once (O1, O2) and store it partitioned by period; return the stored table.
+    """Load the text CSV once (O1, O2) and store it partitioned by period and level; return it.
 
     The source application rereads and recasts the CSV for every query.
     Here the cast and relabel happen once, and queries run on the typed

@@ -213,7 +213,7 @@ def store_stats(
 
     ``path`` names a shared location to keep it across applications; by
     default a fresh folder under the shared checkpoint folder is used.  The
-    stored copy (Parquet partitioned by period) becomes the one
+    stored copy (Parquet partitioned by period and level) becomes the one
     :func:`stats_table` returns for ``sf_dir`` in this application.
     """
     stats = multi_level(read_tables(spark, sf_dir), roles)

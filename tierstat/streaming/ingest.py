@@ -50,7 +50,7 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str = "1 minute",
 ) -> StreamingQuery:
-    """Append newly arrived files to the Parquet table at ``output_path``, partitioned by period.
+    """Append newly arrived files to the Parquet table at ``output_path``, partitioned by period and level.
 
     ``available_now`` processes what is there and stops (a scheduled job);
     otherwise the query polls every ``processing_time``.  The checkpoint
@@ -62,7 +62,7 @@ def start_ingest(
         .writeStream.format("parquet")
         .option("path", output_path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(roles.period)
+        .partitionBy(*[c for c in (roles.period, roles.level) if c in columns])
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
