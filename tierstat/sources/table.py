@@ -70,11 +70,12 @@ def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: st
     the output into partitions of the advisory size, a large folder (the
     School rows of a period, or a hot period) split over several tasks, so
     each folder gets a few well-sized files instead of one small file per
-    task.  Inside a file rows are clustered by region and area, so a name
-    predicate skips row groups by their min/max statistics.
+    task.  Inside a file rows are clustered by region, area, category and
+    unit, so name and category predicates skip row groups by their min/max
+    statistics.
     """
     parts = partition_columns(df, roles)
-    order = parts + [c for c in (roles.region, roles.area) if c in df.columns]
+    order = parts + [c for c in (roles.region, roles.area, roles.category, roles.unit) if c in df.columns]
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         # Without AQE a rebalance is a plain hash repartition: a hot period
         # would land in one task, so the rows are then written as they are.
