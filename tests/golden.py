@@ -13,6 +13,7 @@ COLUMNS = [
     "time_period", "geographic_level", "region_name", "la_name", "school_type",
     "num_schools", "enrolments", "enrolments_pa_10_exact",
     "sess_possible", "sess_overall", "sess_overall_pa_10_exact", "sess_overall_percent",
+    "sess_unauthorised_percent",
     "sess_unauthorised",
     "sess_authorised", "sess_authorised_pa_10_exact", "sess_overall_totalreasons",
     "sess_possible_pa_10_exact", "sess_unauthorised_pa_10_exact",
@@ -57,7 +58,8 @@ ROWS = [
     _row(P2, "National", stype="Secondary", **_auth("6", "", "", "", "", "", "", "", "")),
     # Regional totals: equal rates in P1 (East = South = 4.5), a rate above 10
     # (North 10.1, which sorts first as text), and South missing in P2.
-    _row(P1, "Regional", "North", sess_overall_percent="10.1", sess_unauthorised="7"),
+    _row(P1, "Regional", "North", sess_overall_percent="10.1", sess_unauthorised="7",
+         sess_unauthorised_percent="1.25"),
     _row(P1, "Regional", "South", sess_overall_percent="4.5", sess_unauthorised="8"),
     _row(P1, "Regional", "East", sess_overall_percent="4.5", sess_unauthorised="9"),
     _row(P2, "Regional", "North", sess_overall_percent="3.9", sess_unauthorised="x"),

@@ -28,6 +28,10 @@ def test_load_casts_leniently(golden):
     got = {r.time_period: (r.enrolments, r.sess_unauthorised) for r in leeds.collect()}
     assert got == {P1: (12, 3), P2: (15, None)}  # '12.0' -> 12, 'abc' -> null
     assert dict(golden.dtypes)["sess_overall_percent"] == "double"
+    assert dict(golden.dtypes)["sess_unauthorised_percent"] == "double"  # any *percent column
+    north = golden.where((F.col("region_name") == "North") & (F.col("time_period") == P1)
+                         & (F.col("geographic_level") == "Regional"))
+    assert north.first().sess_unauthorised_percent == 1.25
     bad = golden.where((F.col("la_name") == "Leeds") & (F.col("school_type") == "Secondary"))
     assert bad.first().enrolments_pa_10_exact is None  # 'bad' -> null
 

@@ -25,11 +25,13 @@ def typed(
     """Cast text measures once, leniently, so operators see typed columns.
 
     Count columns become bigint ('12.0' -> 12, a bad token -> null), rate
-    columns double; other columns are left as text.  Columns not present
-    in ``df`` are ignored.
+    columns double; other columns are left as text.  By default the rates
+    are the known rate plus every column whose name ends in ``percent``.
+    Columns not present in ``df`` are ignored.
     """
     counts = COUNT_MEASURES if counts is None else counts
-    rates = RATE_MEASURES if rates is None else rates
+    if rates is None:
+        rates = RATE_MEASURES + [c for c in df.columns if c.endswith("percent") and c not in RATE_MEASURES]
     present = set(df.columns)
     casts = {c: lenient_long(c) for c in counts if c in present}
     casts.update({c: lenient_double(c) for c in rates if c in present})
