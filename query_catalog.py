@@ -4,7 +4,11 @@
 DuckDB SQL over the driver's tables for the same result (column names
 equal).  Every query reads the whole derived multi-level table of
 ``sf_dir`` (itself computed from lineitem, orders, customer, nation and
-region), so its work grows with the tables.
+region), so its work grows with the tables; ``period_label`` reads
+``orders`` directly, and ``load_table`` reads a text CSV copy of the
+derived table (the source application's input format).  The arguments
+stand for the choices a user makes in the source application: two areas,
+a period and a category.
 """
 
 from __future__ import annotations
