@@ -38,3 +38,29 @@ def test_stats_table_reuses_a_stored_path(spark, tmp_path):
     assert again.count() == built.count() == 1763
     assert again.columns == built.columns
     tpch._MATERIALISED.clear()
+
+
+def test_refresh_replaces_only_the_given_periods(spark, tmp_path):
+    import glob
+    import os
+
+    from conftest import SF001
+    from tierstat.sources import tpch
+
+    path = str(tmp_path / "stats")
+    full = tpch.store_stats(spark, SF001, path=path)
+    before = sorted(tuple(repr(v) for v in r) for r in full.collect())
+
+    def files(period):
+        return {
+            f: os.stat(f).st_mtime_ns
+            for f in glob.glob(os.path.join(path, f"time_period={period.replace('/', '%2F')}", "*", "*.parquet"))
+        }
+
+    old_1995, old_1997 = files("1995/96"), files("1997/98")
+    refreshed = tpch.refresh_periods(spark, SF001, path, years=[1997])
+    after = sorted(tuple(repr(v) for v in r) for r in refreshed.collect())
+    assert after == before  # same table, row for row
+    assert files("1995/96") == old_1995  # other periods untouched
+    assert set(files("1997/98")).isdisjoint(old_1997)  # this period's files replaced
+    tpch._MATERIALISED.clear()

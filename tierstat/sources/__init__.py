@@ -6,7 +6,14 @@ from tierstat.sources.table import (
     typed,
     write_partitioned,
 )
-from tierstat.sources.tpch import multi_level, read_tables, school_rows, stats_table, store_stats
+from tierstat.sources.tpch import (
+    multi_level,
+    read_tables,
+    refresh_periods,
+    school_rows,
+    stats_table,
+    store_stats,
+)
 
 __all__ = [
     "ingest_table",
@@ -15,6 +22,7 @@ __all__ = [
     "period_label",
     "read_partitioned",
     "read_tables",
+    "refresh_periods",
     "school_rows",
     "stats_table",
     "store_stats",

@@ -63,7 +63,9 @@ def partition_columns(df: DataFrame, roles: Roles = DEFAULT) -> list[str]:
     return [c for c in (roles.period, roles.level) if c in df.columns]
 
 
-def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: str = "overwrite") -> str:
+def write_partitioned(
+    df: DataFrame, path: str, roles: Roles = DEFAULT, mode: str = "overwrite", dynamic: bool = False
+) -> str:
     """Store a multi-level table as Parquet partitioned by period and level.
 
     Nearly every query pins a level and many pin a period, so they open only
@@ -75,6 +77,9 @@ def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: st
     task.  Inside a file rows are clustered by region, area, category and
     unit, so name and category predicates skip row groups by their min/max
     statistics.
+
+    With ``dynamic``, an overwrite replaces only the folders present in
+    ``df`` (new or restated periods) and keeps every other folder.
     """
     parts = partition_columns(df, roles)
     order = parts + [c for c in (roles.region, roles.area, roles.category, roles.unit) if c in df.columns]
@@ -82,7 +87,10 @@ def write_partitioned(df: DataFrame, path: str, roles: Roles = DEFAULT, mode: st
         # Without AQE a rebalance is a plain hash repartition: a hot period
         # would land in one task, so the rows are then written as they are.
         df = df.hint("rebalance", *parts)
-    df.sortWithinPartitions(*order).write.mode(mode).partitionBy(*parts).parquet(path)
+    writer = df.sortWithinPartitions(*order).write.mode(mode).partitionBy(*parts)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
     return path
 
 
@@ -99,12 +107,15 @@ def ingest_table(
     out_path: str,
     roles: Roles = DEFAULT,
     sep: str = "/",
+    replace_periods: bool = False,
 ) -> DataFrame:
     """Load the text CSV once (O1, O2) and store it partitioned by period and level; return it.
 
     The source application rereads and recasts the CSV for every query.
     Here the cast and relabel happen once, and queries run on the typed
-    Parquet copy with partition pruning and pushdown.
+    Parquet copy with partition pruning and pushdown.  With
+    ``replace_periods``, the files (say, a newly published year) replace only
+    their own periods' folders in an existing table.
     """
-    write_partitioned(load_table(spark, csv_path, roles, sep), out_path, roles)
+    write_partitioned(load_table(spark, csv_path, roles, sep), out_path, roles, dynamic=replace_periods)
     return read_partitioned(spark, out_path, roles)

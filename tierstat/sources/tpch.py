@@ -86,15 +86,26 @@ def _line_measures(lineitem: DataFrame) -> list[Column]:
     return [F.sum(out[m]).alias(m) for m in _LINE_MEASURES]
 
 
-def school_rows(tables: dict[str, DataFrame], roles: Roles = DEFAULT) -> DataFrame:
-    """One row per (customer, order year): the School level, before labelling."""
-    per_order = tables["lineitem"].groupBy("l_orderkey").agg(*_line_measures(tables["lineitem"]))
+def school_rows(
+    tables: dict[str, DataFrame], roles: Roles = DEFAULT, years: list[int] | None = None
+) -> DataFrame:
+    """One row per (customer, order year): the School level, before labelling.
+
+    With ``years``, only those order years are built: orders are filtered
+    first and lineitem is reduced to their lines by a semi-join, so a yearly
+    refresh does not aggregate the whole history.
+    """
     orders = tables["orders"].select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_custkey",
         F.year("o_orderdate").alias("_year"),
         (F.col("o_orderstatus") == F.lit("F")).cast("bigint").alias("_final"),
     )
+    lineitem = tables["lineitem"]
+    if years is not None:
+        orders = orders.where(F.col("_year").isin(list(years)))
+        lineitem = lineitem.join(orders.select("l_orderkey"), "l_orderkey", "left_semi")
+    per_order = lineitem.groupBy("l_orderkey").agg(*_line_measures(lineitem))
     per_customer_year = (
         per_order.join(orders, "l_orderkey")
         .groupBy("o_custkey", "_year")
@@ -161,7 +172,9 @@ def _finish(rows: DataFrame, level: Column, roles: Roles, unit: Column, category
     )
 
 
-def multi_level(tables: dict[str, DataFrame], roles: Roles = DEFAULT) -> DataFrame:
+def multi_level(
+    tables: dict[str, DataFrame], roles: Roles = DEFAULT, years: list[int] | None = None
+) -> DataFrame:
     """The multi-level table: National, Regional, Local authority and School rows.
 
     School rows are the (customer, year) rows themselves; the six coarser
@@ -170,7 +183,7 @@ def multi_level(tables: dict[str, DataFrame], roles: Roles = DEFAULT) -> DataFra
     tables are scanned once and the School rows, the bulk of the output, are
     not shuffled again.
     """
-    schools = school_rows(tables, roles)
+    schools = school_rows(tables, roles, years)
     p, r, a, t = roles.period, roles.region, roles.area, roles.category
     sets = [[p], [p, t], [p, r], [p, r, t], [p, r, a], [p, r, a, t]]
     sums = [F.sum(m).alias(m) for m in ["enrolments", "enrolments_pa_10_exact", *_LINE_MEASURES]]
@@ -263,3 +276,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return True
     except Exception:
         return False
+
+
+def refresh_periods(
+    spark: SparkSession, sf_dir: str, path: str, years: list[int], roles: Roles = DEFAULT
+) -> DataFrame:
+    """Rebuild only the periods of ``years`` in the table stored at ``path``.
+
+    A period's rows depend only on that year's orders and their lines, so
+    the new rows are built from those alone and written with dynamic
+    partition overwrite: the folders of these periods are replaced, every
+    other period's files stay as they are.
+    """
+    fresh = multi_level(read_tables(spark, sf_dir), roles, years)
+    write_partitioned(fresh, path, roles, dynamic=True)
+    stored = read_partitioned(spark, path, roles)
+    _MATERIALISED[_key(spark, sf_dir, roles)] = stored
+    return stored
