@@ -275,3 +275,32 @@ def test_example_writes_every_feature(spark, tmp_path):
     ranking = spark.read.parquet(written["region_ranking"]).orderBy("rank (best -> worst)")
     assert [r.region_name for r in ranking.collect()] == ["South", "East", "North"]
     assert spark.read.parquet(written["compare"]).count() > 0
+
+
+def test_ingest_replaces_only_restated_periods(spark, tmp_path):
+    from tierstat.sources import ingest_table
+
+    first = tmp_path / "first.csv"
+    first.write_text(csv_text())
+    table_path = str(tmp_path / "table")
+    ingest_table(spark, str(first), table_path)
+    # A restated delivery for 2007/08 only, with every enrolment doubled.
+    lines = csv_text().splitlines()
+    header, body = lines[0], [line for line in lines[1:] if line.startswith("200708,")]
+    idx = header.split(",").index("enrolments")
+
+    def doubled(line):
+        cells = line.split(",")
+        if cells[idx] not in ("", "12.0"):
+            cells[idx] = str(int(cells[idx]) * 2)
+        return ",".join(cells)
+
+    restated = tmp_path / "restated.csv"
+    restated.write_text("\n".join([header] + [doubled(line) for line in body]) + "\n")
+    table = ingest_table(spark, str(restated), table_path, replace_periods=True)
+    leeds = {
+        r.time_period: r.enrolments
+        for r in table.where((F.col("la_name") == "Leeds") & (F.col("school_type") == "Total")).collect()
+    }
+    assert leeds == {P1: 12, P2: 30}  # 2006/07 kept as it was, 2007/08 replaced
+    assert table.where(F.col("time_period") == "2008/09").count() == 1  # untouched period still there
