@@ -1,7 +1,8 @@
 """Time the registered queries at one scale factor; print one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8).  Steps:
+(default 8), ``BENCH_REPEAT`` (default 3), ``BENCH_EVENT_LOG`` (a folder for
+Spark's event log; off by default).  Steps:
 
 * ``build_stats``: raw tables -> multi-level table, written as Parquet
   partitioned by period (what ingesting the source CSV once costs);
@@ -53,7 +54,10 @@ def scans(df) -> int:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    # Optional: Spark's event log (stage and task times) into a folder of the caller's choice.
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log} if event_log else None
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, extra=extra)
     times: dict[str, float] = {}
 
     # Warm the JVM (class loading, codegen caches) on a tiny unrelated read.

@@ -52,10 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tierstat/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session configured like the tests and the bench."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, extra: dict[str, str] | None = None
+) -> SparkSession:
+    """A local session configured like the tests and the bench (``extra``: more settings)."""
+    builder = SparkSession.builder
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("tierstat")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
