@@ -102,3 +102,32 @@ def test_percent_rounds_half_up_and_nulls_zero_denominators(spark):
         else:
             expected = float(Decimal(repr(n / d * 100)).quantize(Decimal("0.001"), rounding=ROUND_HALF_UP))
             assert value == expected, (n, d, value, expected)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_compare_sum_matches_pandas(spark, seed):
+    import pandas as pd
+
+    rng = random.Random(100 + seed)
+    rows = []
+    for period in ("2001/02", "2002/03"):
+        for area in ("A", "B", "C"):
+            for cat in ("Total", "P", "S", "X"):
+                for _ in range(rng.randint(0, 2)):  # duplicates and gaps
+                    rows.append((period, "Local authority", area, cat,
+                                 rng.choice([None, 0, 1, 5, 9]), rng.choice([None, 2, 3])))
+    rows.append(("2001/02", "Regional", "A", "P", 100, 100))  # other levels never count
+    schema = "time_period string, geographic_level string, la_name string, school_type string, m1 long, m2 long"
+    df = spark.createDataFrame(rows, schema)
+    areas = [rng.choice("ABC"), rng.choice("ABC")]
+    got = sorted(tuple(r) for r in op.compare_sum(df, ["m1", "m2"], areas, "2001/02").collect())
+
+    pdf = pd.DataFrame(rows, columns=["time_period", "geographic_level", "la_name", "school_type", "m1", "m2"])
+    pick = pdf[(pdf.time_period == "2001/02") & (pdf.geographic_level == "Local authority") & (pdf.school_type != "Total")]
+    expected = []
+    for side, area in enumerate(areas, start=1):
+        part = pick[pick.la_name == area]
+        if len(part):
+            sums = [part[m].dropna() for m in ("m1", "m2")]
+            expected.append((side, area, *[int(s.sum()) if len(s) else None for s in sums]))
+    assert got == sorted(expected)
