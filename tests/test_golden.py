@@ -211,6 +211,8 @@ def test_top_reasons_long(golden):
     assert got == [(P1, 1, "holiday", 50), (P1, 2, "illness", 50), (P1, 3, "appointments", 10)]
     # k beyond the number of reasons keeps every reason once
     assert op.top_reasons_long(golden, 20).where(F.col("time_period") == P1).count() == 9
+    wide = op.top_reasons(golden, 11).where(F.col("time_period") == P1).first()
+    assert wide["9th"] is not None and wide["10th"] is None and wide["11th"] is None
 
 
 def test_write_report_csv(spark, golden, tmp_path):

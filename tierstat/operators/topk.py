@@ -68,6 +68,7 @@ def top_reasons(
     """``time_period, 1st, 2nd, 3rd, ...``: names of the top ``k`` reasons per period."""
     totals = reason_totals(df, reasons, roles, level, category)
     top = ranked_reasons(reasons, prefix, k)
+    # get() is null past the end, so k may exceed the number of reasons.
     return totals.select(
-        roles.period, *[top.getItem(i).getField("reason").alias(ordinal(i + 1)) for i in range(k)]
+        roles.period, *[F.get(top, i).getField("reason").alias(ordinal(i + 1)) for i in range(k)]
     )
