@@ -204,6 +204,8 @@ def test_formats(spark):
     df = spark.createDataFrame([(1234567.9, 6.25)], "n double, p double")
     assert rows(df.select(format_thousands("n"), format_percent("p"))) == [("1,234,567", "6.25%")]
     assert rows(op.with_formats(df, ["n"], ["p"])) == [("1,234,567", "6.25%")]
+    odd = spark.createDataFrame([(float("nan"),), (1e30,), (None,)], "n double")
+    assert rows(odd.select(format_thousands("n"))) == [(None,), (None,), (None,)]
 
 
 def test_top_reasons_long(golden):

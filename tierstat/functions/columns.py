@@ -38,8 +38,11 @@ def percent(numer: str | Column, denom: str | Column, digits: int = 3) -> Column
 
 
 def format_thousands(c: str | Column) -> Column:
-    """Whole number with thousands separators; fractions are truncated first."""
-    return F.format_number(col_of(c).cast("bigint"), 0)
+    """Whole number with thousands separators; fractions are truncated first.
+
+    A value that is not a finite number in bigint range gives null, not an error.
+    """
+    return F.format_number(col_of(c).try_cast("bigint"), 0)
 
 
 def format_percent(c: str | Column) -> Column:
