@@ -36,6 +36,8 @@ def pivot_grid(
     are all ``fill``, cells of other rows are dropped.  Without it the rows
     are those present in ``cells``.
     """
+    if not columns:  # no columns (e.g. no national period): the row keys, no cells
+        return (rows if rows is not None else cells).select(row_key).distinct()
     # A pivot written as one conditional aggregate: a single map-side-combined
     # shuffle (``pivot`` with ``max`` plans two aggregates, two shuffles).
     wide = cells.groupBy(row_key).agg(
