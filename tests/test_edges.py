@@ -49,3 +49,23 @@ def test_operator_on_empty_table(empty, name):
 
 def test_global_aggregate_on_empty_table_is_one_null_row(empty):
     assert [tuple(r) for r in op.medical_absence_total(empty, "Primary", P).collect()] == [(None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def null_measures(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("nulls") / "absence.csv"
+    path.write_text(csv_text())
+    df = load_table(spark, str(path))
+    dims = {"time_period", "geographic_level", "region_name", "la_name", "school_type"}
+    return df.withColumns({c: F.lit(None).cast(t) for c, t in df.dtypes if c not in dims})
+
+
+@pytest.mark.parametrize("name", sorted(CALLS))
+def test_operator_on_all_null_measures(null_measures, name):
+    assert CALLS[name](null_measures).count() >= 0
+
+
+def test_all_null_rates_rank_by_name(null_measures):
+    """Every cell counts as 0, so every period is a full tie and names decide."""
+    ranking = [tuple(r) for r in op.region_ranking(null_measures).collect()]
+    assert ranking == [(1, "East"), (2, "North"), (3, "South")]
