@@ -154,3 +154,21 @@ def test_no_cross_join_and_no_python_in_any_query(spark):
                 offsets = "_ts_part" in block and "_ts_n" in block
                 partials = all(re.match(r"^(sum|count|max|min|avg|isEmpty)#", c) for c in inputs)
                 assert offsets or partials, (key, block)
+
+
+def test_continuous_ingest_picks_up_new_files(spark, tmp_path):
+    inbox, table = tmp_path / "inbox", tmp_path / "table"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text(csv_text())
+    q = start_ingest(
+        spark, str(inbox), str(table), COLUMNS, checkpoint=str(tmp_path / "ckpt"),
+        available_now=False, processing_time="1 second",
+    )
+    try:
+        q.processAllAvailable()
+        assert spark.read.parquet(str(table)).count() == len(ROWS)
+        (inbox / "b.csv").write_text(csv_text())
+        q.processAllAvailable()
+        assert spark.read.parquet(str(table)).count() == 2 * len(ROWS)
+    finally:
+        q.stop()
