@@ -64,3 +64,25 @@ def test_refresh_replaces_only_the_given_periods(spark, tmp_path):
     assert files("1995/96") == old_1995  # other periods untouched
     assert set(files("1997/98")).isdisjoint(old_1997)  # this period's files replaced
     tpch._MATERIALISED.clear()
+
+
+def test_local_fallback_when_no_checkpoint_folder_is_configured(tmp_path):
+    """Without spark.checkpoint.dir (and a local master) a temporary folder is set."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from tierstat.session import local_session, checkpoint_root\n"
+        "from tierstat.functions import global_row_number\n"
+        "s = local_session(2)\n"
+        "assert not s.conf.get('spark.checkpoint.dir', None)\n"
+        "print(checkpoint_root(s))\n"
+        "print(global_row_number(s.range(5).toDF('v'), ['v']).count())\n"
+    ) % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, SPARK_CONF_DIR=str(tmp_path))  # no spark-defaults.conf there
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    lines = out.stdout.strip().splitlines()
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "tierstat-ckpt-" in lines[-2] and lines[-1] == "5"
