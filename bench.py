@@ -99,6 +99,11 @@ def main() -> None:
             runs.append(time.perf_counter() - t)
         times[key] = min(runs)
 
+    files = stats.inputFiles()  # from the table's file index; no job
+    per_level: dict[str, int] = {}
+    for f in files:
+        level = next((part.split("=", 1)[1] for part in f.split("/") if part.startswith("geographic_level=")), "?")
+        per_level[level.replace("%20", " ")] = per_level.get(level.replace("%20", " "), 0) + 1
     plan_scans = {
         "compare_report": scans(compare_report(stats, LA1, LA2, PERIOD)),
         "region_performance": scans(region_performance(stats).table),
@@ -115,6 +120,7 @@ def main() -> None:
                 "cold_total_sec": round(sum(cold.values()), 3),
                 "cold": {k: round(v, 3) for k, v in cold.items()},
                 "parquet_scans_in_final_plan": plan_scans,
+                "stored_table_files_per_level": per_level,
                 "n_queries": len(QUERIES),
                 "errors": errors,
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
