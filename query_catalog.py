@@ -261,6 +261,9 @@ def _grid(level: str, name: str) -> str:
     )
 
 
+# Columns of the wide grids in the oracle: the national periods and the regions
+# of 1997/98 in the test tables (the same at every sf).  The Spark side does not
+# use these lists; it reads the columns from the data.
 _PERIOD_LIST = ["1995/96", "1996/97", "1997/98", "1998/99", "1999/00", "2000/01", "2001/02"]
 _REGION_LIST = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
