@@ -86,3 +86,18 @@ def test_local_fallback_when_no_checkpoint_folder_is_configured(tmp_path):
     lines = out.stdout.strip().splitlines()
     assert out.returncode == 0, out.stderr[-2000:]
     assert "tierstat-ckpt-" in lines[-2] and lines[-1] == "5"
+
+
+def test_stats_table_rebuilds_when_its_files_are_gone(spark, tmp_path):
+    from conftest import SF001
+    from tierstat.sources import tpch
+
+    tpch._MATERIALISED.clear()
+    first = tpch.stats_table(spark, SF001)
+    key = tpch._key(spark, SF001, tpch.DEFAULT)
+    # Simulate a cleaned-up scratch folder: the remembered path no longer exists.
+    tpch._MATERIALISED[key] = (str(tmp_path / "gone"), first)
+    again = tpch.stats_table(spark, SF001)
+    assert again.count() == 1763
+    assert tpch._MATERIALISED[key][0] != str(tmp_path / "gone")  # rebuilt at a new path
+    tpch._MATERIALISED.clear()

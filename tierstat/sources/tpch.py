@@ -216,7 +216,8 @@ def multi_level(
     return coarse.unionByName(units)
 
 
-_MATERIALISED: dict[tuple[str, str], DataFrame] = {}
+# (application, tables folder and roles) -> (stored path, stored table)
+_MATERIALISED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def store_stats(
@@ -233,7 +234,7 @@ def store_stats(
     path = write_partitioned(stats, path or scratch_path(spark, "stats"), roles)
     # Reusing one DataFrame keeps its file listing: later queries skip it.
     stored = read_partitioned(spark, path, roles).select(*stats.columns)
-    _MATERIALISED[_key(spark, sf_dir, roles)] = stored
+    _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
     return stored
 
 
@@ -259,12 +260,12 @@ def stats_table(
     """
     if not materialise:
         return multi_level(read_tables(spark, sf_dir), roles)
-    stored = _MATERIALISED.get(_key(spark, sf_dir, roles))
-    if stored is not None:
-        return stored
+    known = _MATERIALISED.get(_key(spark, sf_dir, roles))
+    if known is not None and _exists(spark, known[0]):  # still there (not cleaned up since)
+        return known[1]
     if path is not None and _exists(spark, path):
         stored = read_partitioned(spark, path, roles)
-        _MATERIALISED[_key(spark, sf_dir, roles)] = stored
+        _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
         return stored
     return store_stats(spark, sf_dir, roles, path)
 
@@ -291,5 +292,5 @@ def refresh_periods(
     fresh = multi_level(read_tables(spark, sf_dir), roles, years)
     write_partitioned(fresh, path, roles, dynamic=True)
     stored = read_partitioned(spark, path, roles)
-    _MATERIALISED[_key(spark, sf_dir, roles)] = stored
+    _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
     return stored
