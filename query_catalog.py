@@ -33,7 +33,7 @@ from tierstat.roles import (
     UNAUTH_REASONS,
 )
 from tierstat.session import app_id, scratch_path
-from tierstat.sources import load_table, period_label, stats_table, typed
+from tierstat.sources import load_table, period_label, stats_table, table_exists, typed
 
 # Arguments used on the test tables (areas are nations, periods order years).
 LA1, LA2 = "NATION_3", "NATION_7"
@@ -63,7 +63,7 @@ def _period_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_copy(spark: SparkSession, sf_dir: str) -> str:
     """The derived table written once as text CSV with raw period codes."""
     key = (app_id(spark), sf_dir, "csv")
-    if key not in _CACHE:
+    if key not in _CACHE or not table_exists(spark, _CACHE[key]):
         path = scratch_path(spark, "stats-csv")
         stats = _stats(spark, sf_dir)
         raw = stats.withColumn("time_period", F.regexp_replace("time_period", "/", ""))

@@ -3,6 +3,7 @@ from tierstat.sources.table import (
     load_table,
     period_label,
     read_partitioned,
+    table_exists,
     typed,
     write_partitioned,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "school_rows",
     "stats_table",
     "store_stats",
+    "table_exists",
     "typed",
     "write_partitioned",
 ]

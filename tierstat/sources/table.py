@@ -94,6 +94,15 @@ def write_partitioned(
     return path
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is at ``path``: its commit marker is there (no job runs)."""
+    try:
+        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
+        return True
+    except Exception:
+        return False
+
+
 def read_partitioned(spark: SparkSession, path: str, roles: Roles = DEFAULT) -> DataFrame:
     """Read a table stored by :func:`write_partitioned`, its folder columns first as in the source."""
     df = spark.read.parquet(path)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tierstat.roles import AUTH_REASONS, DEFAULT, UNAUTH_REASONS, Roles
 from tierstat.session import app_id, scratch_path
-from tierstat.sources.table import period_label, read_partitioned, write_partitioned
+from tierstat.sources.table import period_label, read_partitioned, table_exists, write_partitioned
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region")
 
@@ -261,23 +261,15 @@ def stats_table(
     if not materialise:
         return multi_level(read_tables(spark, sf_dir), roles)
     known = _MATERIALISED.get(_key(spark, sf_dir, roles))
-    if known is not None and _exists(spark, known[0]):  # still there (not cleaned up since)
+    if known is not None and table_exists(spark, known[0]):  # still there (not cleaned up since)
         return known[1]
-    if path is not None and _exists(spark, path):
+    if path is not None and table_exists(spark, path):
         stored = read_partitioned(spark, path, roles)
         _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
         return stored
     return store_stats(spark, sf_dir, roles, path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished Parquet table is at ``path`` (its commit marker is there)."""
-    try:
-        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
-        return True
-    except Exception:
-        return False
-
 
 def refresh_periods(
     spark: SparkSession, sf_dir: str, path: str, years: list[int], roles: Roles = DEFAULT
