@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,8 +98,13 @@ def write_partitioned(
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished table is at ``path``: its commit marker is there (no job runs)."""
+    marker = path.rstrip("/") + "/_SUCCESS"
+    if "://" not in marker or marker.startswith("file://"):
+        # A local folder: ask the file system directly.
+        local = marker[len("file://"):] if marker.startswith("file://") else marker
+        return os.path.exists(local.removeprefix("file:"))
     try:
-        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
+        spark.read.format("text").load(marker)  # shared storage: Spark's own file system access
         return True
     except Exception:
         return False
