@@ -72,3 +72,13 @@ def test_same_values_under_other_names(both, call):
 def test_global_row_number_on_empty_input(spark):
     empty = spark.createDataFrame([], "v int")
     assert global_row_number(empty, ["v"]).count() == 0
+
+
+def test_load_table_types_the_roles_rate_column(spark, tmp_path):
+    header, *body = csv_text().splitlines()
+    renamed = ",".join(RENAMES.get(c, c) for c in header.split(","))
+    path = tmp_path / "renamed.csv"
+    path.write_text("\n".join([renamed, *body]) + "\n")
+    df = load_table(spark, str(path), roles=ROLES)
+    assert dict(df.dtypes)["rate"] == "double"
+    assert df.where(F.col("year") == "2006/07").count() > 0  # period relabelled under its own name

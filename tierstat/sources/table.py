@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tierstat.functions.columns import col_of, lenient_double, lenient_long
 from tierstat.roles import COUNT_MEASURES, DEFAULT, RATE_MEASURES, Roles
 
-
 PERIOD_PATTERN = "(..$)"  # fixed value: the source's pattern (the last two characters)
 
 
@@ -23,17 +22,19 @@ def typed(
     df: DataFrame,
     counts: list[str] | None = None,
     rates: list[str] | None = None,
+    roles: Roles = DEFAULT,
 ) -> DataFrame:
     """Cast text measures once, leniently, so operators see typed columns.
 
     Count columns become bigint ('12.0' -> 12, a bad token -> null), rate
     columns double; other columns are left as text.  By default the rates
-    are the known rate plus every column whose name ends in ``percent``.
-    Columns not present in ``df`` are ignored.
+    are the roles' rate column, the known rate and every column whose name
+    ends in ``percent``.  Columns not present in ``df`` are ignored.
     """
     counts = COUNT_MEASURES if counts is None else counts
     if rates is None:
-        rates = RATE_MEASURES + [c for c in df.columns if c.endswith("percent") and c not in RATE_MEASURES]
+        known = [roles.rate, *RATE_MEASURES]
+        rates = known + [c for c in df.columns if c.endswith("percent") and c not in known]
     present = set(df.columns)
     casts = {c: lenient_long(c) for c in counts if c in present}
     casts.update({c: lenient_double(c) for c in rates if c in present})
@@ -57,7 +58,7 @@ def load_table(
     raw = spark.read.option("header", "true").csv(path)
     if relabel:
         raw = raw.withColumn(roles.period, period_label(roles.period, sep))
-    return typed(raw, counts, rates)
+    return typed(raw, counts, rates, roles)
 
 
 def partition_columns(df: DataFrame, roles: Roles = DEFAULT) -> list[str]:

@@ -37,7 +37,7 @@ def stream_table(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(input_dir)
-    return typed(raw.withColumn(roles.period, period_label(roles.period, sep)))
+    return typed(raw.withColumn(roles.period, period_label(roles.period, sep)), roles=roles)
 
 
 def start_ingest(
