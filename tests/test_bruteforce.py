@@ -131,3 +131,14 @@ def test_compare_sum_matches_pandas(spark, seed):
             sums = [part[m].dropna() for m in ("m1", "m2")]
             expected.append((side, area, *[int(s.sum()) if len(s) else None for s in sums]))
     assert got == sorted(expected)
+
+
+def test_period_label_matches_its_rule(spark):
+    """A separator before the last two characters; shorter strings stay as they are."""
+    from tierstat.sources import period_label
+
+    rng = random.Random(5)
+    codes = ["".join(rng.choice("0123456789") for _ in range(rng.randint(0, 8))) for _ in range(300)]
+    df = spark.createDataFrame([(c,) for c in codes], "c string")
+    got = [r[0] for r in df.select(period_label("c", "-")).collect()]
+    assert got == [c[:-2] + "-" + c[-2:] if len(c) >= 2 else c for c in codes]
