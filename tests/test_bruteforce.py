@@ -142,3 +142,26 @@ def test_period_label_matches_its_rule(spark):
     df = spark.createDataFrame([(c,) for c in codes], "c string")
     got = [r[0] for r in df.select(period_label("c", "-")).collect()]
     assert got == [c[:-2] + "-" + c[-2:] if len(c) >= 2 else c for c in codes]
+
+
+def test_lenient_long_matches_its_rule(spark):
+    """Text to bigint as the lenient load reads it: a decimal number is truncated, else null."""
+    import math
+
+    from tierstat.functions import lenient_long
+
+    def rule(s):
+        try:
+            x = float(s)
+        except ValueError:
+            return None
+        if "_" in s or not math.isfinite(x) or not (-(2**63) <= x < 2**63):
+            return None
+        return int(x)
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("0123456789.-e x") for _ in range(rng.randint(0, 6))) for _ in range(500)]
+    texts += ["12.0", "-1.9", "1e3", " 12 ", "1e19", "1e400", "x", "", "5.", ".5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(lenient_long("t")).collect()]
+    assert got == [rule(t) for t in texts]
