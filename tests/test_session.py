@@ -101,3 +101,15 @@ def test_stats_table_rebuilds_when_its_files_are_gone(spark, tmp_path):
     assert again.count() == 1763
     assert tpch._MATERIALISED[key][0] != str(tmp_path / "gone")  # rebuilt at a new path
     tpch._MATERIALISED.clear()
+
+
+def test_ordinal_and_percent_names():
+    from tierstat.functions import ordinal
+    from tierstat.operators.ratios import percent_name
+
+    assert [ordinal(n) for n in (1, 2, 3, 4, 11, 12, 13, 21, 22, 23, 101, 111, 112)] == [
+        "1st", "2nd", "3rd", "4th", "11th", "12th", "13th", "21st", "22nd", "23rd", "101st", "111th", "112th"
+    ]
+    assert percent_name("sess_auth_illness_percent") == "illness_percent"
+    assert percent_name("sess_unauth_late_percent") == "unauth_late_percent"
+    assert percent_name("enrolments_pa_10_exact_percent") == "enrolments_pa_10_exact_percent"

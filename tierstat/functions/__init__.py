@@ -5,7 +5,6 @@ from tierstat.functions.columns import (
     lenient_long,
     ordinal,
     percent,
-    strip_prefix,
     sum_columns,
 )
 from tierstat.functions.ordering import global_row_number
@@ -18,6 +17,5 @@ __all__ = [
     "lenient_long",
     "ordinal",
     "percent",
-    "strip_prefix",
     "sum_columns",
 ]

@@ -57,10 +57,3 @@ def ordinal(n: int) -> str:
     else:
         suffix = {1: "st", 2: "nd", 3: "rd"}.get(n % 10, "th")
     return f"{n}{suffix}"
-
-
-def strip_prefix(c: str | Column, prefix: str) -> Column:
-    """Drop a leading literal prefix from a string column."""
-    return F.when(
-        col_of(c).startswith(prefix), F.substring(col_of(c), len(prefix) + 1, 1 << 30)
-    ).otherwise(col_of(c))
