@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle, as the driver checks them."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -52,3 +54,18 @@ def test_columns_unique_and_equal_to_the_oracle(spark, con01):
         duck_types = dict(zip(rel.columns, map(str, rel.types)))
         for name, dtype in df.dtypes:
             assert canon.get(dtype, dtype) == duck_types[name], (key, name, dtype, duck_types[name])
+
+
+@pytest.mark.skipif(
+    not os.environ.get("TIERSTAT_ORACLE_SF0_1"), reason="opt-in: set TIERSTAT_ORACLE_SF0_1=1 (about 2 min)"
+)
+def test_every_query_matches_oracle_sf0_1(spark):
+    """The bench's own scale: every registered query against its oracle."""
+    sf = "/root/testdata/sf0.1"
+    con = duck(sf)
+    bad = {}
+    for key, query in QUERIES.items():
+        ok, msg = compare(query(spark, sf), con, ORACLE[key])
+        if not ok:
+            bad[key] = msg
+    assert not bad, bad
