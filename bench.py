@@ -132,4 +132,9 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    except Exception as exc:  # still one JSON line, so the failure is recorded
+        print(json.dumps({"metric": "total_sec_build_plus_all_queries", "value": None, "unit": "sec",
+                          "queries": {}, "error": f"{type(exc).__name__}: {str(exc)[:500]}"}))
+        raise
