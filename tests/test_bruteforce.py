@@ -165,3 +165,74 @@ def test_lenient_long_matches_its_rule(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(lenient_long("t")).collect()]
     assert got == [rule(t) for t in texts]
+
+
+def _pct(n, d):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    if n is None or d is None or d == 0:
+        return None
+    return float(Decimal(repr(n / d * 100)).quantize(Decimal("0.001"), rounding=ROUND_HALF_UP))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_compare_report_matches_a_python_restatement(spark, seed):
+    from tierstat.plans import compare_report
+    from tierstat.plans.compare_report import _MEASURES
+    from tierstat.roles import AUTH_REASONS, AUTH_TOTAL, UNAUTH_REASONS, UNAUTH_TOTAL
+
+    rng = random.Random(300 + seed)
+    cols = ["time_period", "geographic_level", "la_name", "school_type", *_MEASURES]
+    rows = []
+    for area in ("A", "B"):
+        for cat in ("Total", "P", "S", "X"):
+            for _ in range(rng.randint(0, 2)):
+                rows.append(("2001/02", "Local authority", area, cat,
+                             *[rng.choice([None, 0, 1, 4, 7, 20]) for _ in _MEASURES]))
+    schema = ", ".join(f"`{c}` string" if i < 4 else f"`{c}` long" for i, c in enumerate(cols))
+    df = spark.createDataFrame(rows, schema)
+    first, second = rng.choice("AB"), rng.choice("AB")
+    got = [
+        (r.section, r.side, r.la_name, r.metric, r.value, r.percent)
+        for r in compare_report(df, first, second, "2001/02").collect()
+    ]
+
+    def total(values):
+        present = [v for v in values if v is not None]
+        return sum(present) if present else None
+
+    expected = []
+    for side, area in ((1, first), (2, second)):
+        picked = [dict(zip(cols, r)) for r in rows if r[2] == area and r[3] != "Total"]
+        if not picked:
+            continue
+        per_cat = {}
+        for r in picked:
+            per_cat.setdefault(r["school_type"], []).append(r)
+        a = {m: total([r[m] for r in picked]) for m in _MEASURES}
+
+        def sub(x, y):
+            return None if x is None or y is None else x - y
+
+        normal = sub(a["sess_possible"], a["sess_overall"])
+        exc_pa = sub(a["sess_overall"], a["sess_overall_pa_10_exact"])
+        entries = [
+            ("enrolment", "enrolments", a["enrolments"], None),
+            ("enrolment", "enrolments_pa_10_exact", a["enrolments_pa_10_exact"],
+             _pct(a["enrolments_pa_10_exact"], a["enrolments"])),
+            ("sessions", "sess_possible", a["sess_possible"], None),
+            ("sessions", "sess_normal", normal, _pct(normal, a["sess_possible"])),
+            ("sessions", "sess_overall_exc_pa", exc_pa, _pct(exc_pa, a["sess_possible"])),
+            ("sessions", "sess_overall_pa_10_exact", a["sess_overall_pa_10_exact"],
+             _pct(a["sess_overall_pa_10_exact"], a["sess_possible"])),
+        ]
+        entries += [("authorised", m, a[m], _pct(a[m], a[AUTH_TOTAL])) for m in AUTH_REASONS]
+        entries.append(("authorised", AUTH_TOTAL, a[AUTH_TOTAL], None))
+        entries += [("unauthorised", m, a[m], _pct(a[m], a[UNAUTH_TOTAL])) for m in UNAUTH_REASONS]
+        entries.append(("unauthorised", UNAUTH_TOTAL, a[UNAUTH_TOTAL], None))
+        for cat, cat_rows in per_cat.items():
+            n = total([r["num_schools"] for r in cat_rows])
+            entries.append(("school_type", cat, n, _pct(n, a["num_schools"])))
+        expected += [(s, side, area, m, v, p) for s, m, v, p in entries]
+    key = lambda t: tuple("" if x is None else str(x) for x in t)
+    assert sorted(got, key=key) == sorted(expected, key=key)
