@@ -236,3 +236,33 @@ def test_compare_report_matches_a_python_restatement(spark, seed):
         expected += [(s, side, area, m, v, p) for s, m, v, p in entries]
     key = lambda t: tuple("" if x is None else str(x) for x in t)
     assert sorted(got, key=key) == sorted(expected, key=key)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_type_region_grid_matches_its_rule(spark, seed):
+    rng = random.Random(400 + seed)
+    period = "2001/02"
+    rows = []
+    for cat in ("P", "S", "X", "Y"):  # Y only ever appears regionally
+        if cat != "Y" and rng.random() < 0.8:
+            rows.append((rng.choice([period, "2002/03"]), "School", None, cat, None))
+    for region in ("R1", "R2", "R3"):
+        for cat in ("Total", "P", "S", "X", "Y"):
+            if rng.random() < 0.6:
+                rows.append((rng.choice([period, period, "2002/03"]), "Regional", region, cat,
+                             rng.choice([None, 1.5, 2.25, 10.1])))
+    schema = "time_period string, geographic_level string, region_name string, school_type string, sess_overall_percent double"
+    df = spark.createDataFrame(rows, schema)
+    cats = sorted({r[3] for r in rows if r[1] == "School"})
+    cells = [r for r in rows if r[0] == period and r[1] == "Regional" and r[3] != "Total"]
+    regions = sorted({r[2] for r in cells})
+    if not regions:
+        assert op.type_region_matrix(df, period).count() == 0
+        return
+    expected = []
+    for cat in cats:
+        for region in regions:
+            vals = [r[4] for r in cells if r[3] == cat and r[2] == region and r[4] is not None]
+            expected.append((cat, region, max(vals) if vals else 0.0))
+    got = sorted(tuple(r) for r in op.type_region_matrix(df, period).collect())
+    assert got == sorted(expected)
