@@ -38,13 +38,25 @@ def pivot_grid(
     """
     if not columns:  # no columns (e.g. no national period): the row keys, no cells
         return (rows if rows is not None else cells).select(row_key).distinct()
+    cells = cells.select(row_key, col_key, value)
+    if rows is not None:
+        # The row keys join the cells as marker rows, so one aggregate yields
+        # both the cells and whether the key is a row: no distinct, no join.
+        types = dict(cells.dtypes)
+        markers = rows.select(
+            row_key,
+            F.lit(None).cast(types[col_key]).alias(col_key),
+            F.lit(None).cast(types[value]).alias(value),
+        ).withColumn("_is_row", F.lit(1))
+        cells = cells.withColumn("_is_row", F.lit(0)).unionByName(markers)
     # A pivot written as one conditional aggregate: a single map-side-combined
     # shuffle (``pivot`` with ``max`` plans two aggregates, two shuffles).
-    wide = cells.groupBy(row_key).agg(
-        *[F.max(F.when(F.col(col_key) == F.lit(c), F.col(value))).alias(str(c)) for c in columns]
-    )
+    sums = [F.max(F.when(F.col(col_key) == F.lit(c), F.col(value))).alias(str(c)) for c in columns]
     if rows is not None:
-        wide = rows.select(row_key).distinct().join(wide, row_key, "left")
+        wide = cells.groupBy(row_key).agg(F.max("_is_row").alias("_is_row"), *sums)
+        wide = wide.where(F.col("_is_row") == 1).drop("_is_row")
+    else:
+        wide = cells.groupBy(row_key).agg(*sums)
     values = [F.col(_quoted(str(c))) for c in columns]
     if fill is not None:
         values = [F.coalesce(v, F.lit(fill)) for v in values]
