@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,11 @@ BLANK = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
+def ship(module: str) -> None:
+    """Send the functions of ``module`` to the executors by value: the library need not be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
