@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tierstat.llm.common import components, fresh, ship, text_or_empty, written
 
@@ -55,7 +56,7 @@ def fingerprint_text(text: str | None, width: int = WIDTH) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _fingerprint_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield pd.Series(np.array([fingerprint_text(t) for t in texts], np.uint64).view(np.int64))
