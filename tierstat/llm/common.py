@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tierstat.session import scratch_path
 
-# Space, tab, line feed, vertical tab, form feed, carriage return.
-BLANK = r"[\x20\x09-\x0D]+"
+# A run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
+WORD = r"[^\x20\x09-\x0D]+"
 # A table is broadcast by hint only after its rows were counted and are at most this many
 # (narrow rows of about 100 bytes, so about 20 MB).
 BROADCAST_ROWS = 200_000
@@ -49,8 +49,7 @@ def lower_ascii(c: Column) -> Column:
 
 def word_count(c: str | Column) -> Column:
     """Number of maximal runs of characters other than ASCII white space (null: 0)."""
-    trimmed = F.regexp_replace(text_or_empty(c), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, BLANK))).cast("long")
+    return F.regexp_count(text_or_empty(c), F.lit(WORD)).cast("long")
 
 
 def fresh(columns: list[str], name: str) -> str:
