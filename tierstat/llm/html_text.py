@@ -414,12 +414,13 @@ def _extractor(weights: Weights):
 
 
 def labelled_sample(pages: DataFrame, html: str = "html", rows: int = TRAINING_PAGES) -> list[str]:
-    """At most ``rows`` pages with an ``article`` or ``main`` element, the first by a hash of the page."""
+    """At most ``rows`` different pages with an ``article`` or ``main`` element, the first by a hash of the page."""
     source = pages.select(F.col(html).alias("html")).where(F.col("html").rlike(r"(?i)<(article|main)[\s>]"))
     # Very long pages would make the driver's part of learning unbounded; scoring has no such limit.
-    source = source.where(F.length("html") <= 200_000)
-    picked = source.select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(rows)
-    return [r["html"] for r in picked.collect()]
+    source = source.where(F.length("html") <= 200_000).select("html", F.xxhash64("html").alias("h"))
+    first = F.broadcast(source.select("h").distinct().orderBy("h").limit(rows))  # ``rows`` rows at most
+    picked = source.join(first, "h", "left_semi").groupBy("h").agg(F.min("html").alias("html"))
+    return [r["html"] for r in picked.orderBy("h").collect()]
 
 
 def main_texts(
