@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstat.llm.common import ship, written
@@ -27,9 +27,9 @@ PARTS = 128  # parts, at most
 ROWS_PER_PART = 1024
 CALIBRATION = 200  # queries whose true neighbours set ``probes``
 RECALL = 0.95
-BLOCK = 4096  # candidates compared at once; larger parts are split
+BLOCK = 16384  # candidates compared at once: small parts are searched together, larger ones split
 QUERY_BLOCK = 8192
-_SCORES = "query_id long, vec_id long, score double, part int"
+_SCORES = "query_id long, vec_id long, score double"
 ship(__name__)
 
 
@@ -135,34 +135,79 @@ def _matrix(column) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def _routed(router: Router | None, probes: int):
-    """Rows (id, v) to rows (id, v, part, turn) for each of the ``probes`` most probable parts."""
+def _orders(router: Router | None, v: np.ndarray) -> np.ndarray:
+    """The parts of each row of ``v``, most probable first."""
+    if router is None:
+        return np.zeros((len(v), 1), np.int64)
+    return np.argsort(-router.probabilities(v), axis=1, kind="stable")
+
+
+def _homes(router: Router | None):
+    """Rows (id, v) to rows (id, v, part): the most probable part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                part = pa.array(_orders(router, _matrix(batch.column(1)))[:, 0], pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), part], names=["id", "v", "part"])
+
+    return run
+
+
+def _turns(router: Router, parts: int):
+    """Rows (id, v) to rows (query_id, part, turn): all parts in the order they would be searched."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                order = _orders(router, _matrix(batch.column(1)))
+                ids = np.repeat(batch.column(0).to_numpy(), parts)
+                turn = np.tile(np.arange(parts, dtype=np.int32), len(order))
+                columns = [pa.array(ids), pa.array(order.ravel(), pa.int32()), pa.array(turn)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "part", "turn"])
+
+    return run
+
+
+def _routes(router: Router | None, probes: int, groups: list[int]):
+    """Rows (id, v) to rows (id, v, grp, parts) for each group with one of the ``probes`` most probable parts.
+
+    ``groups`` has the group of each part; ``parts`` the wanted parts as a bit set.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, names = np.array(groups), ["id", "v", "grp", "parts"]
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            if router is None:
-                order = np.zeros((n, 1), np.int64)
-            else:
-                order = np.argsort(-router.probabilities(_matrix(batch.column(1))), axis=1, kind="stable")[:, :probes]
-            for turn in range(order.shape[1]):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(order[:, turn], pa.int32()), pa.array(np.full(n, turn), pa.int32())],
-                    names=["id", "v", "part", "turn"],
-                )
+            wanted = np.zeros((n, len(of)), bool)
+            np.put_along_axis(wanted, _orders(router, _matrix(batch.column(1)))[:, :probes], True, axis=1)
+            bits = np.packbits(wanted, axis=1)
+            for group in range(int(of.max()) + 1):
+                rows = np.flatnonzero(wanted[:, of == group].any(axis=1))
+                some = batch.take(pa.array(rows))
+                sets = pa.array([bits[i].tobytes() for i in rows.tolist()], pa.binary())
+                columns = [some.column(0), some.column(1), pa.array(np.full(len(rows), group), pa.int32()), sets]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def nearest_in_block(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> list[np.ndarray]:
-    """Query row, candidate row and score of the ``k`` nearest candidates of each query, its own id left out."""
+def nearest_in_block(
+    qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int, wanted: np.ndarray | None = None, part: np.ndarray | None = None
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Query row, candidate row and score of the ``k`` nearest candidates of each query, its own id left out.
+
+    ``wanted`` (queries, parts) and ``part`` (of each candidate) leave out parts that a query is not routed to.
+    """
     found = []
-    for at in range(0, len(qid), 512):
-        ids, block = qid[at : at + 512], q[at : at + 512]
+    for at in range(0, len(qid), 256):
+        ids, block = qid[at : at + 256], q[at : at + 256]
         s = block @ v.T
         s[ids[:, None] == vid[None, :]] = -np.inf
+        if wanted is not None:
+            s[~wanted[at : at + 256][:, part]] = -np.inf
         kth = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
         # The product's rounding depends on the block's shape: take what is close and compute it again, row by row.
         slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(kth), kth, 0.0)))
@@ -170,23 +215,21 @@ def nearest_in_block(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndar
         score = (block[row] * v[col]).sum(axis=1)
         order = np.lexsort((vid[col], -score, row))
         row, col, score = row[order], col[order], score[order]
-        first = np.searchsorted(row, np.arange(len(s)))
-        keep = np.arange(len(row)) - first[row] < k
-        found.append(np.array([row[keep] + at, col[keep], score[keep]], dtype=object))
+        keep = np.arange(len(row)) - np.searchsorted(row, np.arange(len(s)))[row] < k
+        found.append((row[keep] + at, col[keep], score[keep]))
     return found
 
 
-def _search(k: int):
+def _search(k: int, parts: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "part": []})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         qid, vid = queries["id"].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
         q, v = (np.stack(c.to_numpy()).astype(np.float64) for c in (queries["v"], rows["v"]))
-        out = [
-            pd.DataFrame({"query_id": qid[r.astype(np.int64)], "vec_id": vid[c.astype(np.int64)], "score": s.astype(np.float64)})
-            for r, c, s in nearest_in_block(qid, q, vid, v, k)
-        ]
-        return pd.concat(out).assign(part=int(rows["part"].iloc[0]))
+        sets = np.frombuffer(b"".join(queries["parts"]), np.uint8).reshape(len(queries), -1)
+        wanted = np.unpackbits(sets, axis=1)[:, :parts].astype(bool)
+        found = nearest_in_block(qid, q, vid, v, k, wanted, rows["part"].to_numpy())
+        return pd.concat([pd.DataFrame({"query_id": qid[r], "vec_id": vid[c], "score": x}) for r, c, x in found])
 
     return run
 
@@ -195,24 +238,41 @@ def _blocks(size: int, most: int) -> int:
     return max(1, -(-size // most))
 
 
-def _pairs(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest of ``rows`` for each of ``queries`` (both id, v, part), within the part, block by block."""
-    cand = {r["part"]: r["count"] for r in rows.groupBy("part").count().collect()}  # PARTS rows at most
-    asked = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}
-
-    def lookup(sizes: dict, most: int):
-        known = F.create_map(*[F.lit(int(x)) for p, n in sizes.items() for x in (p, _blocks(n, most))]) if sizes else None
-        return F.coalesce(known[F.col("part")], F.lit(1)) if sizes else F.lit(1)
-
-    row_blocks, query_blocks = lookup(cand, BLOCK), lookup(asked, QUERY_BLOCK)
+def part_groups(sizes: dict[int, int], parts: int) -> list[int]:
+    """The group of each part: neighbouring parts together as long as they have at most ``BLOCK`` rows."""
+    groups, group, held = [], 0, 0
+    for p in range(parts):
+        n = sizes.get(p, 0)
+        if held and held + n > BLOCK:
+            group, held = group + 1, 0
+        groups.append(group)
+        held += n
+    return groups
+
+
+def _lookup(key: str, values: dict[int, int]) -> Column:
+    """``values`` by the column ``key``, 1 where it has none."""
+    if not values:
+        return F.lit(1)
+    table = F.create_map(*[F.lit(int(x)) for pair in values.items() for x in pair])
+    return F.coalesce(table[F.col(key)], F.lit(1))
+
+
+def _pairs(queries: DataFrame, rows: DataFrame, k: int, groups: list[int]) -> DataFrame:
+    """The ``k`` nearest of ``rows`` (id, v, part) for each of ``queries`` (id, v, grp, parts) among the parts it wants."""
+    rows = rows.withColumn("grp", F.element_at(F.array(*[F.lit(g) for g in groups]), F.col("part") + 1))
+    counts = [{r["grp"]: r["count"] for r in df.groupBy("grp").count().collect()} for df in (rows, queries)]  # PARTS rows at most
+    row_blocks, query_blocks = (
+        _lookup("grp", {g: _blocks(n, most) for g, n in c.items()}) for c, most in zip(counts, (BLOCK, QUERY_BLOCK), strict=True)
+    )
     rows = rows.withColumn("rb", F.pmod(F.xxhash64("id"), row_blocks).cast("int")).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), query_blocks - 1))
     )
     queries = queries.withColumn("qb", F.pmod(F.xxhash64("id"), query_blocks).cast("int")).withColumn(
         "rb", F.explode(F.sequence(F.lit(0), row_blocks - 1))
     )
-    key = ["part", "rb", "qb"]
-    found = queries.groupBy(*key).cogroup(rows.groupBy(*key)).applyInPandas(_search(k), _SCORES)
+    key = ["grp", "rb", "qb"]
+    found = queries.groupBy(*key).cogroup(rows.groupBy(*key)).applyInPandas(_search(k, len(groups)), _SCORES)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -250,24 +310,29 @@ def nearest(
     if parts > 1:
         sample = indexed.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()  # bounded by SAMPLE
         router = learn(np.stack(sample["v"].to_numpy()).astype(np.float64), parts)
-    schema = f"id long, v {indexed.schema['v'].dataType.simpleString()}, part int, turn int"
-    index = written(indexed.mapInArrow(_routed(router, 1), schema).drop("turn"), "index")
+    row = f"id long, v {indexed.schema['v'].dataType.simpleString()}"
+    index = written(indexed.mapInArrow(_homes(router), f"{row}, part int"), "index")
+    sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
     if parts > 1:
-        probes = _probes(queries, index, router, parts, k, recall, schema)
-    routed = written(queries.mapInArrow(_routed(router, probes), schema).drop("turn"), "routed")
-    return _pairs(routed, index, k).select("query_id", "rank", "vec_id", "score")
+        probes = _probes(queries, index, router, sizes, parts, k, recall)
+    groups = part_groups(sizes, parts)
+    routed = written(queries.mapInArrow(_routes(router, probes, groups), f"{row}, grp int, parts binary"), "routed")
+    return _pairs(routed, index, k, groups).select("query_id", "rank", "vec_id", "score")
 
 
 def true_neighbours(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest of all ``index`` rows for each of ``queries`` (id, v): query_id, vec_id, score, part, rank."""
-    found = _pairs(*[rows.select("id", "v", F.lit(0).alias("part")) for rows in (queries, index)], k)
-    return found.drop("part").join(index.select(F.col("id").alias("vec_id"), "part").distinct(), "vec_id")
+    """The ``k`` nearest of all ``index`` rows (id, v, part) for each of ``queries`` (id, v), with the part each is in."""
+    asked = queries.select("id", "v", F.lit(0).alias("grp"), F.lit(b"\x80").alias("parts"))
+    found = _pairs(asked, index.select("id", "v", F.lit(0).alias("part")), k, [0])
+    return found.join(index.select(F.col("id").alias("vec_id"), "part").distinct(), "vec_id")
 
 
-def _probes(queries: DataFrame, index: DataFrame, router: Router, parts: int, k: int, recall: float, schema: str) -> int:
+def _probes(
+    queries: DataFrame, index: DataFrame, router: Router, sizes: dict[int, int], parts: int, k: int, recall: float
+) -> int:
     """The fewest parts that hold ``recall`` of the calibration queries' true neighbours, and k + 1 rows for each."""
     some = written(queries.orderBy(F.xxhash64("id"), "id").limit(CALIBRATION), "calibration")
-    order = some.mapInArrow(_routed(router, parts), schema).select(F.col("id").alias("query_id"), "part", "turn")
+    order = some.mapInArrow(_turns(router, parts), "query_id long, part int, turn int")
     turns = true_neighbours(some, index, k).join(order, ["query_id", "part"])
     hits = {r["turn"]: r["count"] for r in turns.groupBy("turn").count().collect()}
     total, seen = sum(hits.values()), 0
@@ -278,7 +343,6 @@ def _probes(queries: DataFrame, index: DataFrame, router: Router, parts: int, k:
             probes = turn + 1
             break
     # Even the smallest parts together must hold enough rows.
-    sizes = sorted([r["count"] for r in index.groupBy("part").count().collect()])
-    sizes = [0] * (parts - len(sizes)) + sizes
-    enough = next((i + 1 for i in range(parts) if sum(sizes[: i + 1]) > k), parts)
+    least = sorted(sizes.get(p, 0) for p in range(parts))
+    enough = next((i + 1 for i in range(parts) if sum(least[: i + 1]) > k), parts)
     return max(probes, enough)
