@@ -33,6 +33,7 @@ from tierstat.llm.common import ship
 
 TRAINING_PAGES = 240
 STEPS = 60
+PULL = 2.0  # towards the plain rules; little against a hundred pages, much against two
 ship(__name__)
 
 # Element names of the HTML standard, by the role they have here.
@@ -358,7 +359,7 @@ def train(sources: list[str]) -> Weights:
         np.add.at(expected, features.ravel(), np.repeat(marginal, features.shape[1], axis=0))
         expected_edges = np.zeros_like(weights.edge)
         np.add.at(expected_edges, kinds[inner], edges[inner])
-        grads = [(seen - expected) - 0.5 * (weights.own - own0), (seen_edges - expected_edges) - 0.5 * (weights.edge - edge0)]
+        grads = [(seen - expected) - PULL * (weights.own - own0), (seen_edges - expected_edges) - PULL * (weights.edge - edge0)]
         for i, (w, g) in enumerate(zip((weights.own, weights.edge), grads, strict=True)):  # Adagrad
             sums[i] += g * g
             w += 0.5 * g / np.sqrt(sums[i] + 1e-8)
