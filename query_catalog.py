@@ -2,8 +2,8 @@
 
 ``QUERIES[key](spark, sf_dir)`` returns a DataFrame; ``ORACLE[key]`` is
 DuckDB SQL over the driver's tables for the same result (column names
-equal).  Every query reads the whole derived multi-level table of
-``sf_dir`` (itself computed from lineitem, orders, customer, nation and
+equal).  Every query reads the derived multi-level table of ``sf_dir``,
+cut only by the level, period or area rule of its own operator (the table is itself computed from lineitem, orders, customer, nation and
 region), so its work grows with the tables; ``period_label`` reads
 ``orders`` directly, and ``load_table`` reads a text CSV copy of the
 derived table (the source application's input format).  The arguments
@@ -106,8 +106,9 @@ QUERIES: dict[str, Query] = {
     ),
     "enrolment_series_multi": lambda s, d: op.enrolment_series_multi(_stats(s, d), [LA1, LA2]),
     "medical_absence_total": lambda s, d: op.medical_absence_total(_stats(s, d), CATEGORY, PERIOD),
-    "sum_columns": lambda s, d: _la_rows(_stats(s, d)).select(
-        "time_period", "la_name", "school_type", sum_columns(UNAUTH_REASONS).alias("unauth_sum")
+    "sum_columns": lambda s, d: _stats(s, d).select(
+        "time_period", "geographic_level", "region_name", "la_name", "school_id", "school_type",
+        sum_columns(UNAUTH_REASONS).alias("unauth_sum"),
     ),
     "unauthorised_by_la": lambda s, d: op.unauthorised_by_la(_stats(s, d), PERIOD),
     "unauthorised_by_la_formatted": lambda s, d: op.with_formats(
@@ -133,9 +134,9 @@ QUERIES: dict[str, Query] = {
     ),
     "compare_union": lambda s, d: op.compare_union(_stats(s, d), ENROLMENT_MEASURES, LA1, LA1, PERIOD),
     "percent_of": lambda s, d: op.percent_of(
-        _la_rows(_stats(s, d))
-        .where(F.col("school_type") == "Total")
-        .select("time_period", "la_name", "sess_unauthorised", "sess_overall"),
+        _stats(s, d).select(
+            "time_period", "geographic_level", "region_name", "la_name", "school_id", "school_type", "sess_unauthorised", "sess_overall"
+        ),
         "sess_unauthorised",
         "sess_overall",
     ),
@@ -161,6 +162,7 @@ QUERIES: dict[str, Query] = {
     "rate_matrix_la": lambda s, d: op.rate_matrix(_stats(s, d), level=LA_LEVEL),
     "rate_series_la": lambda s, d: op.rate_series(_stats(s, d), level=LA_LEVEL),
     "rank_matrix": lambda s, d: op.rank_matrix(_stats(s, d)),
+    "rank_matrix_wide": lambda s, d: op.rank_matrix_wide(_stats(s, d)),
     "rank_matrix_la": lambda s, d: op.rank_matrix(_stats(s, d), level=LA_LEVEL),
     "mean_rank_la": lambda s, d: op.mean_rank(_stats(s, d), level=LA_LEVEL),
     "mean_rank": lambda s, d: op.mean_rank(_stats(s, d)),
@@ -182,7 +184,7 @@ QUERIES: dict[str, Query] = {
     "region_performance": lambda s, d: region_performance(_stats(s, d)).table,
     "region_performance_la": lambda s, d: region_performance(_stats(s, d), level=LA_LEVEL).table,
     "region_performance_series": lambda s, d: region_performance(_stats(s, d)).series,
-    "absence_location_school": lambda s, d: absence_location_school(_stats(s, d), PERIOD).grid,
+    "absence_location_school": lambda s, d: absence_location_school(_stats(s, d), PERIOD).table,
 }
 
 
@@ -285,8 +287,8 @@ def _type_grid() -> str:
 
 def _compare_report() -> str:
     area_measures = [
-        "num_schools", "enrolments", "enrolments_pa_10_exact", "sess_possible", "sess_overall",
-        "sess_overall_pa_10_exact", *_AUTH_COLS, "sess_auth_totalreasons", *_UNAUTH_COLS,
+        "num_schools", "enrolments", "enrolments_pa_10_exact", "sess_possible", "sess_possible_pa_10_exact",
+        "sess_authorised", "sess_overall", "sess_overall_pa_10_exact", *_AUTH_COLS, "sess_auth_totalreasons", *_UNAUTH_COLS,
         "sess_unauth_totalreasons",
     ]
     head = with_stats(
@@ -305,6 +307,7 @@ def _compare_report() -> str:
         ("sessions", "sess_overall_exc_pa", "sess_overall - sess_overall_pa_10_exact", "sess_possible"),
         ("sessions", "sess_overall_pa_10_exact", "sess_overall_pa_10_exact", "sess_possible"),
     ]
+    rows += [("session_shares", c, c, "sess_possible") for c in ("sess_possible_pa_10_exact", "sess_authorised")]
     rows += [("authorised", c, c, "sess_auth_totalreasons") for c in _AUTH_COLS]
     rows.append(("authorised", "sess_auth_totalreasons", "sess_auth_totalreasons", None))
     rows += [("unauthorised", c, c, "sess_unauth_totalreasons") for c in _UNAUTH_COLS]
@@ -380,9 +383,9 @@ ORACLE: dict[str, str] = {
         "SELECT *, sess_auth_appointments + sess_auth_illness AS total FROM m"
     ),
     "sum_columns": with_stats(
-        "SELECT time_period, la_name, school_type, "
+        "SELECT time_period, geographic_level, region_name, la_name, school_id, school_type, "
         + " + ".join(_UNAUTH_COLS)
-        + " AS unauth_sum FROM stats WHERE geographic_level = 'Local authority'"
+        + " AS unauth_sum FROM stats"
     ),
     "unauthorised_by_la": with_stats(
         f"SELECT la_name, sess_unauthorised FROM stats WHERE time_period = '{PERIOD}' "
@@ -420,9 +423,9 @@ ORACLE: dict[str, str] = {
     )
     + "SELECT * FROM cmp",
     "percent_of": with_stats(
-        "SELECT time_period, la_name, sess_unauthorised, sess_overall, "
+        "SELECT time_period, geographic_level, region_name, la_name, school_id, school_type, sess_unauthorised, sess_overall, "
         + _pct("sess_unauthorised", "sess_overall")
-        + " FROM stats WHERE geographic_level = 'Local authority' AND school_type = 'Total'"
+        + " FROM stats"
     ),
     "persistent_absentee_percent": _compare(ENROLMENT_MEASURES)
     + "SELECT *, " + _pct("enrolments_pa_10_exact", "enrolments") + " FROM cmp",
@@ -481,6 +484,12 @@ ORACLE: dict[str, str] = {
         "WHERE geographic_level = 'Local authority' AND school_type = 'Total'"
     ),
     "rank_matrix": with_stats(_grid("Regional", "region_name") + "SELECT * FROM ranks"),
+    "rank_matrix_wide": with_stats(
+        _grid("Regional", "region_name")
+        + "SELECT region_name, "
+        + ", ".join(f"max(CASE WHEN time_period = '{p}' THEN rank END) AS \"{p}\"" for p in _PERIOD_LIST)
+        + " FROM ranks GROUP BY region_name"
+    ),
     "rank_matrix_la": with_stats(_grid("Local authority", "la_name") + "SELECT * FROM ranks"),
     "mean_rank_la": with_stats(_grid("Local authority", "la_name") + "SELECT * FROM means"),
     "mean_rank": with_stats(_grid("Regional", "region_name") + "SELECT * FROM means"),
@@ -524,5 +533,9 @@ ORACLE: dict[str, str] = {
         "CASE WHEN geographic_level = 'National' THEN 'Nation Wide' ELSE region_name END AS region_name "
         "FROM stats WHERE geographic_level IN ('National', 'Regional') AND school_type = 'Total'"
     ),
-    "absence_location_school": _type_grid() + "SELECT * FROM wide",
+    "absence_location_school": _type_grid()
+    + "SELECT t.school_type, r.region_name, COALESCE(max(c.sess_overall_percent), 0.0) AS sess_overall_percent, "
+    "CASE WHEN max(c.sess_overall_percent) IS NULL THEN 0 ELSE 1 END AS known "
+    "FROM types t CROSS JOIN (SELECT DISTINCT region_name FROM cells) r LEFT JOIN cells c "
+    "ON c.school_type = t.school_type AND c.region_name = r.region_name GROUP BY 1, 2",
 }

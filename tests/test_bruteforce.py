@@ -147,10 +147,13 @@ def test_period_label_matches_its_rule(spark):
 def test_lenient_long_matches_its_rule(spark):
     """Text to bigint as the lenient load reads it: a decimal number is truncated, else null."""
     import math
+    import re
 
     from tierstat.functions import lenient_long
 
     def rule(s):
+        if re.fullmatch(r"\s*[+-]?\d+\s*", s):  # a whole number is read exactly
+            return int(s) if -(2**63) <= int(s) < 2**63 else None
         try:
             x = float(s)
         except ValueError:
@@ -161,7 +164,7 @@ def test_lenient_long_matches_its_rule(spark):
 
     rng = random.Random(9)
     texts = ["".join(rng.choice("0123456789.-e x") for _ in range(rng.randint(0, 6))) for _ in range(500)]
-    texts += ["12.0", "-1.9", "1e3", " 12 ", "1e19", "1e400", "x", "", "5.", ".5"]
+    texts += ["9007199254740993", "-9223372036854775808", "9223372036854775808", "12.0", "-1.9", "1e3", " 12 ", "1e19", "1e400", "x", "", "5.", ".5"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(lenient_long("t")).collect()]
     assert got == [rule(t) for t in texts]
@@ -226,6 +229,8 @@ def test_compare_report_matches_a_python_restatement(spark, seed):
             ("sessions", "sess_overall_pa_10_exact", a["sess_overall_pa_10_exact"],
              _pct(a["sess_overall_pa_10_exact"], a["sess_possible"])),
         ]
+        shares = ("sess_possible_pa_10_exact", "sess_authorised")
+        entries += [("session_shares", m, a[m], _pct(a[m], a["sess_possible"])) for m in shares]
         entries += [("authorised", m, a[m], _pct(a[m], a[AUTH_TOTAL])) for m in AUTH_REASONS]
         entries.append(("authorised", AUTH_TOTAL, a[AUTH_TOTAL], None))
         entries += [("unauthorised", m, a[m], _pct(a[m], a[UNAUTH_TOTAL])) for m in UNAUTH_REASONS]

@@ -197,7 +197,7 @@ def test_compare_report(golden):
     assert got[("sessions", 1, "sess_normal")] == (1520, 95.0)
     assert got[("sessions", 2, "sess_normal")] == (0, None)
     assert got[("authorised", 1, "sess_auth_appointments")] == (2, 3.704)
-    assert {k[0] for k in got} == {"enrolment", "school_type", "sessions", "authorised", "unauthorised"}
+    assert {k[0] for k in got} == {"enrolment", "school_type", "sessions", "session_shares", "authorised", "unauthorised"}
 
 
 def test_formats(spark):

@@ -7,9 +7,8 @@ import pytest
 import __spark_entry__ as entry_module
 from conftest import SF01, SF001
 from oracle_compare import compare, duck
+from query_catalog import ORACLE, QUERIES
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
 
 
 def test_every_query_has_an_oracle():

@@ -94,12 +94,12 @@ def test_stats_table_rebuilds_when_its_files_are_gone(spark, tmp_path):
 
     tpch._MATERIALISED.clear()
     first = tpch.stats_table(spark, SF001)
-    key = tpch._key(spark, SF001, tpch.DEFAULT)
+    key = tpch._key(spark, SF001, tpch.DEFAULT, None)
     # Simulate a cleaned-up scratch folder: the remembered path no longer exists.
-    tpch._MATERIALISED[key] = (str(tmp_path / "gone"), first)
+    tpch._MATERIALISED[key] = (tpch.inputs_mark(spark, SF001), str(tmp_path / "gone"), first)
     again = tpch.stats_table(spark, SF001)
     assert again.count() == 1763
-    assert tpch._MATERIALISED[key][0] != str(tmp_path / "gone")  # rebuilt at a new path
+    assert tpch._MATERIALISED[key][1] != str(tmp_path / "gone")  # rebuilt at a new path
     tpch._MATERIALISED.clear()
 
 

@@ -1,0 +1,139 @@
+"""Loading and storing: nothing is lost, mixed up or taken from other inputs."""
+
+import shutil
+
+import pytest
+from conftest import SF001, SF01
+from golden import COLUMNS, ROWS, csv_text
+from pyspark.sql import functions as F
+from query_catalog import ORACLE, PERIOD, QUERIES
+from tierstat import operators as op
+from tierstat.plans import compare_report
+from tierstat.sources import ingest_table, load_table, stats_table, tpch
+from tierstat.sources.table import read_partitioned, table_exists, write_partitioned
+from tierstat.streaming import start_ingest
+
+
+def _copy(tmp_path, name="raw"):
+    raw = tmp_path / name
+    raw.mkdir()
+    for t in tpch.TABLES:
+        shutil.copy(f"{SF001}/{t}.parquet", raw / f"{t}.parquet")
+    return raw
+
+
+def test_two_default_ingests_load_every_file(spark, tmp_path):
+    inbox, table = tmp_path / "inbox", str(tmp_path / "table")
+    inbox.mkdir()
+    for i in (1, 2):
+        (inbox / f"part{i}.csv").write_text(csv_text())
+        start_ingest(spark, str(inbox), table, COLUMNS).awaitTermination(120)
+        assert spark.read.parquet(table).count() == i * len(ROWS)
+    assert table_exists(spark, table)
+
+
+def test_batch_and_stream_do_not_share_a_table(spark, tmp_path):
+    inbox, table, batch = tmp_path / "inbox", str(tmp_path / "table"), str(tmp_path / "batch")
+    inbox.mkdir()
+    (inbox / "a.csv").write_text(csv_text())
+    start_ingest(spark, str(inbox), table, COLUMNS).awaitTermination(120)
+    with pytest.raises(ValueError, match="streaming ingest"):
+        ingest_table(spark, str(inbox / "a.csv"), table, replace_periods=True)
+    ingest_table(spark, str(inbox / "a.csv"), batch)
+    with pytest.raises(ValueError, match="written in batch"):
+        start_ingest(spark, str(inbox), batch, COLUMNS)
+
+
+def test_files_with_swapped_columns_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time_period,enrolments,sess_overall_percent\n201718,5,2.5\n")
+    (tmp_path / "b.csv").write_text("time_period,sess_overall_percent,enrolments\n201718,2.5,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_table(spark, str(tmp_path)).collect()
+    assert load_table(spark, str(tmp_path / "b.csv")).first().enrolments == 5
+
+
+def test_large_counts_are_exact(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time_period,enrolments\n201718,9007199254740993\n201718,12.0\n201718,x\n")
+    assert [r.enrolments for r in load_table(spark, str(tmp_path / "a.csv")).collect()] == [9007199254740993, 12, None]
+
+
+def test_folder_columns_stay_text(spark, tmp_path):
+    df = spark.createDataFrame([("000102", "National", 1)], "time_period string, geographic_level string, n long")
+    write_partitioned(df, str(tmp_path / "t"))
+    assert read_partitioned(spark, str(tmp_path / "t")).first().time_period == "000102"
+
+
+def test_changed_inputs_are_built_again(spark, tmp_path):
+    raw = _copy(tmp_path)
+    before = stats_table(spark, str(raw)).count()
+    few = spark.read.parquet(f"{SF001}/orders.parquet").where(F.year("o_orderdate") < 1997)
+    few.coalesce(1).write.parquet(str(tmp_path / "few"))
+    part = next((tmp_path / "few").glob("part-*.parquet"))
+    shutil.copy(part, raw / "orders.parquet")
+    after = stats_table(spark, str(raw))
+    assert after.count() < before and after.agg(F.max("time_period")).first()[0] == "1996/97"
+
+
+def test_a_given_path_is_written_and_guarded(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    stats_table(spark, SF001)  # a copy elsewhere is known already
+    stats_table(spark, SF001, path=path)
+    assert table_exists(spark, path)
+    with pytest.raises(ValueError, match="other inputs"):
+        stats_table(spark, SF01, path=path)
+
+
+def test_refresh_drops_emptied_folders(spark, tmp_path):
+    raw, path = _copy(tmp_path), str(tmp_path / "stats")
+    tpch.store_stats(spark, str(raw), path=path)
+    rest = spark.read.parquet(f"{SF001}/orders.parquet").where(F.year("o_orderdate") != 1997)
+    rest.coalesce(1).write.parquet(str(tmp_path / "rest"))
+    shutil.copy(next((tmp_path / "rest").glob("part-*.parquet")), raw / "orders.parquet")
+    done = tpch.refresh_periods(spark, str(raw), path, years=[1997])
+    assert done.where("time_period = '1997/98'").count() == 0
+    whole = tpch.multi_level(tpch.read_tables(spark, str(raw)))
+    assert done.count() == whole.count()
+
+
+def test_grids_have_no_member_bound(spark):
+    stats = stats_table(spark, SF001)
+    want = sorted(map(repr, op.rate_matrix(stats).collect())), [tuple(r) for r in op.region_ranking(stats).collect()]
+    spark.conf.set("spark.sql.pivotMaxValues", "2")
+    try:
+        assert sorted(map(repr, op.rate_matrix(stats).collect())) == want[0]
+        assert [tuple(r) for r in op.region_ranking(stats).collect()] == want[1]
+        with pytest.raises(ValueError, match="long form"):
+            op.rate_matrix_wide(stats)
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_grid_columns_named_alike_or_like_the_key(spark):
+    names = ["London", "LONDON", "school_type"]
+    rows = [(PERIOD, "Regional", n, "T1", float(i)) for i, n in enumerate(names)] + [(PERIOD, "School", "London", "T1", None), (PERIOD, "School", "x", "T2", None)]
+    df = spark.createDataFrame(rows, "time_period string, geographic_level string, region_name string, school_type string, sess_overall_percent double")
+    long = {(r.school_type, r.region_name): r.sess_overall_percent for r in op.type_region_matrix(df, PERIOD).collect()}
+    assert long == {(t, n): (float(i) if t == "T1" else 0.0) for t in ("T1", "T2") for i, n in enumerate(names)}
+    wide = op.type_region_matrix_wide(df, PERIOD)
+    assert sorted(wide.columns) == sorted(["school_type", *names])
+    assert [list(r) for r in wide.collect()] == [["T1", 1.0, 0.0, 2.0], ["T2", 0.0, 0.0, 0.0]]
+    given = op.type_region_matrix(df, PERIOD, regions=["London"], categories=["T2"])
+    assert [tuple(r) for r in given.collect()] == [("T2", "London", 0.0)]
+
+
+@pytest.mark.parametrize("key", [k for k in QUERIES if k.startswith("compare_") and k != "compare_report"])
+def test_compare_sums_before_it_shuffles(spark, key, capsys):
+    QUERIES[key](spark, SF001).explain("formatted")
+    plan = capsys.readouterr().out
+    at = plan.find(") Exchange")
+    assert "partial_sum" in plan[plan.find("(1) Scan") : plan.find("Exchange", plan.find("(1) Scan"))], plan
+    assert at > 0 and plan.count("Scan parquet") == 2  # one scan, in the tree and in the details
+
+
+def test_report_has_the_first_area_first(spark):
+    sides = [r.side for r in compare_report(stats_table(spark, SF001), "NATION_3", "NATION_7", PERIOD).collect()]
+    assert sides == sorted(sides) and set(sides) == {1, 2}
+
+
+def test_new_keys_have_oracles():
+    assert "rank_matrix_wide" in QUERIES and "rank_matrix_wide" in ORACLE

@@ -16,9 +16,14 @@ def col_of(c: str | Column) -> Column:
 def lenient_long(c: str | Column) -> Column:
     """Text to bigint the way a non-ANSI cast reads it: '12.0' -> 12, 'x' -> null.
 
-    A direct ``try_cast('12.0' as bigint)`` is null, so go through double first.
+    Whole numbers are read exactly; only other texts, for which
+    ``try_cast('12.0' as bigint)`` is null, go through double, and their
+    fraction is dropped: counts are whole.
     """
-    return col_of(c).try_cast("double").try_cast("bigint")
+    number = col_of(c).try_cast("double")
+    # A cast of 2**63 would give the largest bigint instead of null.
+    truncated = F.when(number < F.lit(float(1 << 63)), number.try_cast("bigint"))
+    return F.coalesce(col_of(c).try_cast("bigint"), truncated)
 
 
 def lenient_double(c: str | Column) -> Column:

@@ -30,7 +30,7 @@ from tierstat.operators.members import (
     members_school_type,
     menus,
 )
-from tierstat.operators.ranking import final_ranking, mean_rank, rank_cells, rank_matrix, region_ranking
+from tierstat.operators.ranking import final_ranking, mean_rank, rank_cells, rank_matrix, rank_matrix_wide, region_ranking
 from tierstat.operators.ratios import (
     authorised_reason_percents,
     percent_of,
@@ -91,6 +91,7 @@ __all__ = [
     "pivot_grid",
     "rank_cells",
     "rank_matrix",
+    "rank_matrix_wide",
     "rate_by_type_region",
     "rate_cells",
     "rate_matrix",

@@ -70,11 +70,9 @@ def compare_sum(
     keys = [roles.area] if by is None else _as_list(by)
     if roles.area not in keys:
         keys = [roles.area, *keys]
-    # Range-partitioned by (side, area), the rows already satisfy the
-    # aggregate, any window over a side's area and the final order: one shuffle.
+    # Summed in each task before the shuffle: what moves is one row per task, side and key.
     return (
         with_sides(df, areas, period, roles)
-        .repartitionByRange("side", roles.area)
         .groupBy("side", *keys)
         .agg(*[F.sum(m).alias(m) for m in measures])
         .orderBy("side", *keys)

@@ -1,26 +1,23 @@
 """Dense grids: region x period rates (O37) and category x region rates.
 
 A grid cell missing from the data is filled (0 by default, as in the source
-application).  Density comes from a pivot over an explicit column list
-(one conditional ``max`` per column): each row key is grouped once and every
-listed column is produced, so no cross product of member sets is ever built.  The column list is a member
-set brought to the driver under the ``pivotMaxValues`` bound; the long form
-is the wide grid unpivoted, so it has exactly rows x columns cells.
+application).  The long form stays lazy and has no bound: the column members
+are one array from a scalar subquery, each distinct row key is exploded over
+it into marker rows, and markers and cells meet in one aggregate (no join).
+The wide form needs its column names when the query is built: a member list
+brought to the driver under the ``pivotMaxValues`` bound.  Of two cells for
+one key the larger value is taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierstat.operators.members import collect_members
 from tierstat.roles import DEFAULT, Roles
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def pivot_grid(
     cells: DataFrame,
     row_key: str,
@@ -29,12 +26,14 @@ def pivot_grid(
     columns: list,
     fill: float | None = 0.0,
     rows: DataFrame | None = None,
+    kind: str = "double",
+    ordered: bool = False,
 ) -> DataFrame:
     """Wide grid ``row_key, <one column per value of columns>``.
 
     ``rows`` (one column ``row_key``) fixes the row set: rows without cells
     are all ``fill``, cells of other rows are dropped.  Without it the rows
-    are those present in ``cells``.
+    are those present in ``cells``.  ``ordered`` sorts by the row key.
     """
     if not columns:  # no columns (e.g. no national period): the row keys, no cells
         return (rows if rows is not None else cells).select(row_key).distinct()
@@ -51,24 +50,43 @@ def pivot_grid(
         cells = cells.withColumn("_is_row", F.lit(0)).unionByName(markers)
     # A pivot written as one conditional aggregate: a single map-side-combined
     # shuffle (``pivot`` with ``max`` plans two aggregates, two shuffles).
-    sums = [F.max(F.when(F.col(col_key) == F.lit(c), F.col(value))).alias(str(c)) for c in columns]
+    # Columns go by position until the last step: members may be equal but for
+    # their case, or named like the row key.
+    places = [f"_c{i}" for i in range(len(columns))]
+    found = [F.max(F.when(F.col(col_key) == F.lit(c), F.col(value))).alias(p) for p, c in zip(places, columns)]
     if rows is not None:
-        wide = cells.groupBy(row_key).agg(F.max("_is_row").alias("_is_row"), *sums)
+        wide = cells.groupBy(row_key).agg(F.max("_is_row").alias("_is_row"), *found)
         wide = wide.where(F.col("_is_row") == 1).drop("_is_row")
     else:
-        wide = cells.groupBy(row_key).agg(*sums)
-    values = [F.col(_quoted(str(c))) for c in columns]
-    if fill is not None:
-        values = [F.coalesce(v, F.lit(fill)) for v in values]
-    return wide.select(row_key, *[v.cast("double").alias(str(n)) for v, n in zip(values, columns)])
+        wide = cells.groupBy(row_key).agg(*found)
+    if ordered:
+        wide = wide.orderBy(row_key)
+    values = [F.col(p) if fill is None else F.coalesce(p, F.lit(fill)) for p in places]
+    return wide.select(row_key, *[v.cast(kind).alias(str(n)) for v, n in zip(values, columns)])
+
+
+def long_grid(
+    cells: DataFrame, row_key: str, col_key: str, value: str, columns: Column, fill: float | None, rows: DataFrame
+) -> DataFrame:
+    """``row_key, col_key, value`` for every pair of a row of ``rows`` and a member of the array ``columns``."""
+    kinds = dict(cells.dtypes)
+    marks = rows.select(row_key).distinct().select(
+        row_key,
+        F.explode(columns.cast(f"array<{kinds[col_key]}>")).alias(col_key),
+        F.lit(None).cast(kinds[value]).alias(value),
+        F.lit(1).alias("_cell"),
+    )
+    both = cells.select(row_key, col_key, value, F.lit(0).alias("_cell")).unionByName(marks)
+    grid = both.groupBy(row_key, col_key).agg(F.max(value).cast("double").alias(value), F.max("_cell").alias("_cell"))
+    grid = grid.where(F.col("_cell") == 1).drop("_cell")
+    return grid.where(F.col(value).isNotNull()) if fill is None else grid.fillna({value: float(fill)})
 
 
-def grid_long(wide: DataFrame, row_key: str, col_key: str, value: str) -> DataFrame:
-    """Unpivot a wide grid into ``row_key, col_key, value``."""
-    cols = [c for c in wide.columns if c != row_key]
-    if not cols:
-        return wide.select(row_key, F.lit(None).cast("string").alias(col_key), F.lit(None).cast("double").alias(value)).limit(0)
-    return wide.unpivot([row_key], [F.col(_quoted(c)) for c in cols], col_key, value)
+def member_array(df: DataFrame, column: str, given: list | None = None) -> Column:
+    """The distinct members of ``column`` (or the ``given`` ones) as one array: a scalar subquery, no job of its own."""
+    if given is not None:
+        return F.array(*[F.lit(m) for m in given]).cast(f"array<{dict(df.dtypes)[column]}>")
+    return df.agg(F.collect_set(column)).scalar()
 
 
 # ---- region x period ---------------------------------------------------------
@@ -109,8 +127,9 @@ def rate_matrix(
     """
     level = level or roles.regional
     name = roles.level_column(level)
-    long = grid_long(rate_matrix_wide(df, roles, fill, level, periods), name, roles.period, roles.rate)
-    return long.where(F.col(roles.rate).isNotNull()) if fill is None else long
+    cells = rate_cells(df, roles, level)
+    columns = member_array(df.where(F.col(roles.level) == roles.national), roles.period, periods)
+    return long_grid(cells, name, roles.period, roles.rate, columns, fill, cells)
 
 
 # ---- category x region -------------------------------------------------------
@@ -130,30 +149,39 @@ def rate_by_type_region(df: DataFrame, period: str | list[str], roles: Roles = D
     )
 
 
+def _type_cells(df: DataFrame, period: str, roles: Roles) -> DataFrame:
+    return df.where(
+        (F.col(roles.period) == period)
+        & (F.col(roles.level) == roles.regional)
+        & (F.col(roles.category) != roles.total)
+    ).select(roles.region, roles.rate, roles.category)
+
+
+def _type_rows(df: DataFrame, roles: Roles, categories: list[str] | None) -> DataFrame:
+    """The unit-level categories (O5), or the given ones: then no unit row is read."""
+    if categories is not None:
+        return df.sparkSession.createDataFrame([(c,) for c in categories], f"`{roles.category}` string")
+    return df.where((F.col(roles.category) != roles.total) & (F.col(roles.level) == roles.unit_level)).select(roles.category)
+
+
 def type_region_matrix_wide(
     df: DataFrame,
     period: str,
     roles: Roles = DEFAULT,
     fill: float | None = 0.0,
     regions: list[str] | None = None,
+    categories: list[str] | None = None,
 ) -> DataFrame:
     """Category x region grid of the rate in a period (O42, wide).
 
     Rows are the unit-level categories (O5), columns the regions of the
     period's regional rows (O8); a category found only regionally is dropped.
+    ``categories`` and ``regions`` (both in ``menus`` or kept by the caller) save reading them.
     """
-    cells = df.where(
-        (F.col(roles.period) == period)
-        & (F.col(roles.level) == roles.regional)
-        & (F.col(roles.category) != roles.total)
-    ).select(roles.region, roles.rate, roles.category)
+    cells = _type_cells(df, period, roles)
     regions = collect_members(cells, roles.region) if regions is None else regions
-    rows = df.where(
-        (F.col(roles.category) != roles.total) & (F.col(roles.level) == roles.unit_level)
-    ).select(roles.category)
-    return pivot_grid(cells, roles.category, roles.region, roles.rate, regions, fill, rows=rows).orderBy(
-        roles.category
-    )
+    rows = _type_rows(df, roles, categories)
+    return pivot_grid(cells, roles.category, roles.region, roles.rate, regions, fill, rows=rows, ordered=True)
 
 
 def type_region_matrix(
@@ -162,8 +190,9 @@ def type_region_matrix(
     roles: Roles = DEFAULT,
     fill: float | None = 0.0,
     regions: list[str] | None = None,
+    categories: list[str] | None = None,
 ) -> DataFrame:
     """O42 in long form: ``category, region, rate`` for every cell."""
-    wide = type_region_matrix_wide(df, period, roles, fill, regions)
-    long = grid_long(wide, roles.category, roles.region, roles.rate)
-    return long.where(F.col(roles.rate).isNotNull()) if fill is None else long
+    cells = _type_cells(df, period, roles)
+    columns = member_array(cells, roles.region, regions)
+    return long_grid(cells, roles.category, roles.region, roles.rate, columns, fill, _type_rows(df, roles, categories))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstat.functions.ordering import global_row_number
-from tierstat.operators.matrix import rate_matrix
+from tierstat.operators.matrix import national_periods, pivot_grid, rate_matrix
 from tierstat.roles import DEFAULT, Roles
 
 RANKING_COLUMN = "rank (best -> worst)"  # fixed value: the source's column title
@@ -45,6 +45,21 @@ def rank_matrix(
     return rank_cells(rate_matrix(df, roles, fill, level, periods), name, roles.period, roles.rate)
 
 
+def rank_matrix_wide(
+    df: DataFrame,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    level: str | None = None,
+    periods: list[str] | None = None,
+) -> DataFrame:
+    """The ranks as a grid, one column per national period (O38, wide): the heat map's table."""
+    level = level or roles.regional
+    name = roles.level_column(level)
+    periods = national_periods(df, roles) if periods is None else periods
+    ranks = rank_matrix(df, roles, fill, level, periods)
+    return pivot_grid(ranks, name, roles.period, "rank", periods, None, kind="bigint")
+
+
 def mean_rank(
     df: DataFrame,
     roles: Roles = DEFAULT,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstat.functions.columns import percent
@@ -17,6 +17,18 @@ from tierstat.operators.compare import (
 from tierstat.roles import AUTH_PREFIX, AUTH_TOTAL, DEFAULT, UNAUTH_TOTAL, Roles
 
 
+# The older interface's shares of possible sessions.
+SESSION_SHARES = ("sess_possible_pa_10_exact", "sess_authorised")
+
+
+def session_parts() -> dict[str, Column]:
+    """Attended sessions, and absences of those who are not persistent absentees."""
+    return {
+        "sess_normal": F.col("sess_possible") - F.col("sess_overall"),
+        "sess_overall_exc_pa": F.col("sess_overall") - F.col("sess_overall_pa_10_exact"),
+    }
+
+
 def percent_of(df: DataFrame, numer: str, denom: str, digits: int = 3) -> DataFrame:
     """Add ``<numer>_percent`` = round(numer / denom * 100, 3); null on a zero denominator."""
     return df.withColumn(f"{numer}_percent", percent(numer, denom, digits))
@@ -62,12 +74,7 @@ def school_type_share(df: DataFrame, areas: str | list[str], period: str, roles:
 
 def session_split(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Attended, absent (not persistent) and persistent-absent shares of possible sessions."""
-    sess = compare_sessions(df, areas, period, roles).withColumns(
-        {
-            "sess_normal": F.col("sess_possible") - F.col("sess_overall"),
-            "sess_overall_exc_pa": F.col("sess_overall") - F.col("sess_overall_pa_10_exact"),
-        }
-    )
+    sess = compare_sessions(df, areas, period, roles).withColumns(session_parts())
     sess = percents_of(sess, ["sess_normal", "sess_overall_exc_pa", "sess_overall_pa_10_exact"], "sess_possible")
     return percent_table(sess, roles, keep=("side", roles.area))
 
@@ -75,7 +82,7 @@ def session_split(df: DataFrame, areas: str | list[str], period: str, roles: Rol
 def session_percents_wide(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:
     """Older interface: persistent-absentee and authorised shares of possible sessions."""
     sess = compare_sessions_wide(df, areas, period, roles)
-    return percents_of(sess, ["sess_possible_pa_10_exact", "sess_authorised"], "sess_possible")
+    return percents_of(sess, list(SESSION_SHARES), "sess_possible")
 
 
 def percent_name(column: str, prefix: str = AUTH_PREFIX) -> str:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tierstat.operators.matrix import grid_long, rate_by_type_region, type_region_matrix_wide
+from tierstat.operators.matrix import rate_by_type_region, type_region_matrix, type_region_matrix_wide
 from tierstat.operators.members import members_school_type
 from tierstat.roles import DEFAULT, Roles
 
@@ -16,15 +17,26 @@ class AbsenceLocation(NamedTuple):
     cells: DataFrame  # region, rate, category (O41)
     grid: DataFrame  # category, one column per region (O42, wide)
     long: DataFrame  # category, region, rate (O42, long)
+    table: DataFrame  # category, region, rate, known: the long grid with the cells that the data has marked
 
 
 def absence_location_school(
-    df: DataFrame, period: str, roles: Roles = DEFAULT, fill: float | None = 0.0
+    df: DataFrame,
+    period: str,
+    roles: Roles = DEFAULT,
+    fill: float | None = 0.0,
+    regions: list[str] | None = None,
+    categories: list[str] | None = None,
 ) -> AbsenceLocation:
-    wide = type_region_matrix_wide(df, period, roles, fill)
+    long = type_region_matrix(df, period, roles, fill, regions, categories)
+    seen = type_region_matrix(df, period, roles, None, regions, categories)
+    seen = seen.select(F.col(roles.category).alias("_c"), F.col(roles.region).alias("_r"))
+    same = F.col(roles.category).eqNullSafe(F.col("_c")) & F.col(roles.region).eqNullSafe(F.col("_r"))
+    known = F.col("_r").isNotNull().cast("int").alias("known")
     return AbsenceLocation(
         members_school_type(df, roles),
         rate_by_type_region(df, period, roles),
-        wide,
-        grid_long(wide, roles.category, roles.region, roles.rate),
+        type_region_matrix_wide(df, period, roles, fill, regions, categories),
+        long,
+        long.join(seen, same, "left").select(roles.category, roles.region, roles.rate, known),
     )

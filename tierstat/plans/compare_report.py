@@ -6,23 +6,25 @@ Output ``section, side, la_name, metric, value, percent``:
 * ``school_type``: schools per category with their share of the area's schools
 * ``sessions``: possible sessions; attended, absent excluding persistent
   absentees, and persistent-absentee sessions, each with its share of possible
+* ``session_shares``: persistent absentees' possible sessions and authorised
+  absence, each with its share of possible (O33)
 * ``authorised`` / ``unauthorised``: each reason and the total, with the
   reason's share of the total
 
-One filtered scan, one shuffle: the rows of the two areas are partitioned
-by (side, area), summed per category, and the area totals are window sums
-over the same partitions; ``inline`` turns each category row into its
-metrics, and the first category row of each side also carries the area's
-sections.  The filtered rows are the areas' category rows for one period,
-so a partition holds at most one side's categories.
+One filtered scan.  The rows of the two areas are summed per side and
+category in each task, then across tasks; the area totals are window sums over these few
+rows; ``inline`` turns each category row into its metrics, and the first
+category row of each side also carries the area's sections.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierstat.functions.columns import percent
 from tierstat.operators.compare import with_sides
+from tierstat.operators.ratios import SESSION_SHARES, session_parts
 from tierstat.roles import (
     AUTH_REASONS,
     AUTH_TOTAL,
@@ -32,12 +34,13 @@ from tierstat.roles import (
     Roles,
 )
 
-SECTIONS = ("enrolment", "school_type", "sessions", "authorised", "unauthorised")
+SECTIONS = ("enrolment", "school_type", "sessions", "session_shares", "authorised", "unauthorised")
 _MEASURES = [
     "num_schools",
     "enrolments",
     "enrolments_pa_10_exact",
     "sess_possible",
+    *SESSION_SHARES,
     "sess_overall",
     "sess_overall_pa_10_exact",
     *AUTH_REASONS,
@@ -47,52 +50,38 @@ _MEASURES = [
 ]
 
 
-def _pct_sql(numer: str, denom: str) -> str:
-    """SQL text of :func:`tierstat.functions.percent`."""
-    return f"round(try_divide({numer}, {denom}) * 100, 3)"
-
-
-def _entry_sql(section: str, metric: str, value: str, pct: str | None) -> str:
-    return (
-        f"named_struct('section', '{section}', 'metric', '{metric}', "
-        f"'value', CAST({value} AS BIGINT), 'percent', CAST({pct or 'NULL'} AS DOUBLE))"
+def _entry(section: str, metric: Column, value: Column, denom: Column | None) -> Column:
+    """One row of the report; ``percent`` is the value's share of ``denom``."""
+    share = F.lit(None) if denom is None else percent(value, denom)
+    return F.struct(
+        F.lit(section).alias("section"), metric.alias("metric"), value.cast("bigint").alias("value"), share.cast("double").alias("percent")
     )
 
 
-def _area_entries_sql() -> str:
-    """The area sections as one SQL array (a single expression for the JVM to parse)."""
-    normal = "(sess_possible - sess_overall)"
-    exc_pa = "(sess_overall - sess_overall_pa_10_exact)"
-    entries = [
-        _entry_sql("enrolment", "enrolments", "enrolments", None),
-        _entry_sql(
-            "enrolment", "enrolments_pa_10_exact", "enrolments_pa_10_exact",
-            _pct_sql("enrolments_pa_10_exact", "enrolments"),
-        ),
-        _entry_sql("sessions", "sess_possible", "sess_possible", None),
-        _entry_sql("sessions", "sess_normal", normal, _pct_sql(normal, "sess_possible")),
-        _entry_sql("sessions", "sess_overall_exc_pa", exc_pa, _pct_sql(exc_pa, "sess_possible")),
-        _entry_sql(
-            "sessions", "sess_overall_pa_10_exact", "sess_overall_pa_10_exact",
-            _pct_sql("sess_overall_pa_10_exact", "sess_possible"),
-        ),
+def _area_entries() -> list[Column]:
+    """The sections that an area has once."""
+    out = [
+        _entry("enrolment", F.lit("enrolments"), F.col("enrolments"), None),
+        _entry("enrolment", F.lit("enrolments_pa_10_exact"), F.col("enrolments_pa_10_exact"), F.col("enrolments")),
+        _entry("sessions", F.lit("sess_possible"), F.col("sess_possible"), None),
     ]
-    entries += [_entry_sql("authorised", r, r, _pct_sql(r, AUTH_TOTAL)) for r in AUTH_REASONS]
-    entries.append(_entry_sql("authorised", AUTH_TOTAL, AUTH_TOTAL, None))
-    entries += [_entry_sql("unauthorised", r, r, _pct_sql(r, UNAUTH_TOTAL)) for r in UNAUTH_REASONS]
-    entries.append(_entry_sql("unauthorised", UNAUTH_TOTAL, UNAUTH_TOTAL, None))
-    return "array(" + ", ".join(entries) + ")"
+    parts = {**session_parts(), "sess_overall_pa_10_exact": F.col("sess_overall_pa_10_exact")}
+    out += [_entry("sessions", F.lit(name), value, F.col("sess_possible")) for name, value in parts.items()]
+    out += [_entry("session_shares", F.lit(m), F.col(m), F.col("sess_possible")) for m in SESSION_SHARES]
+    for section, reasons, total in (("authorised", AUTH_REASONS, AUTH_TOTAL), ("unauthorised", UNAUTH_REASONS, UNAUTH_TOTAL)):
+        out += [_entry(section, F.lit(r), F.col(r), F.col(total)) for r in reasons]
+        out.append(_entry(section, F.lit(total), F.col(total), None))
+    return out
 
 
 def compare_report(
     df: DataFrame, first: str, second: str, period: str, roles: Roles = DEFAULT
 ) -> DataFrame:
-    """Compare two areas in ``period`` (the same area twice gives two equal sides)."""
-    tagged = with_sides(df, [first, second], period, roles)
-    # One shuffle: partitioned by side and area, the rows serve both the
-    # per-category aggregate and the per-area window without moving again.
+    """Compare two areas in ``period``, the first area first (the same area twice gives two equal sides)."""
+    # Summed per category in each task before the shuffle; the window and the
+    # order below see one row per side and category.
     per_type = (
-        tagged.repartition("side", roles.area)
+        with_sides(df, [first, second], period, roles)
         .groupBy("side", roles.area, roles.category)
         .agg(*[F.sum(m).alias(m) for m in _MEASURES])
     )
@@ -105,16 +94,11 @@ def compare_report(
         F.col("num_schools").alias("_type_schools"),
         F.row_number().over(area.orderBy(roles.category)).alias("_first"),
     )
-    category = "`" + roles.category.replace("`", "``") + "`"
-    type_entry = (
-        f"named_struct('section', 'school_type', 'metric', {category}, "
-        f"'value', CAST(_type_schools AS BIGINT), "
-        f"'percent', CAST({_pct_sql('_type_schools', 'num_schools')} AS DOUBLE))"
-    )
-    entries = F.expr(
-        f"CASE WHEN _first = 1 THEN concat(array({type_entry}), {_area_entries_sql()}) "
-        f"ELSE array({type_entry}) END"
-    )
-    return area_totals.select("side", roles.area, F.inline(entries)).select(
-        "section", "side", roles.area, "metric", "value", "percent"
+    schools = F.array(_entry("school_type", F.col(roles.category), F.col("_type_schools"), F.col("num_schools")))
+    entries = F.when(F.col("_first") == 1, F.concat(schools, F.array(*_area_entries()))).otherwise(schools)
+    section = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section"))
+    return (
+        area_totals.select("side", roles.area, F.inline(entries))
+        .select("section", "side", roles.area, "metric", "value", "percent")
+        .orderBy("side", section, "metric")
     )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tierstat.functions.columns import col_of, lenient_double, lenient_long
 from tierstat.roles import COUNT_MEASURES, DEFAULT, RATE_MEASURES, Roles
@@ -53,9 +53,11 @@ def load_table(
     """Read a CSV with a header, every column as text, then cast measures (O1).
 
     No schema inference (one pass over the data, names taken from the
-    header); the period code is relabelled with :func:`period_label`.
+    header); the period code is relabelled with :func:`period_label`.  A file
+    whose header has other names, or the same in another order, stops the
+    query instead of filling the wrong columns.
     """
-    raw = spark.read.option("header", "true").csv(path)
+    raw = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
     if relabel:
         raw = raw.withColumn(roles.period, period_label(roles.period, sep))
     return typed(raw, counts, rates, roles)
@@ -82,8 +84,12 @@ def write_partitioned(
     statistics.
 
     With ``dynamic``, an overwrite replaces only the folders present in
-    ``df`` (new or restated periods) and keeps every other folder.
+    ``df`` (new or restated periods) and keeps every other folder.  A table
+    that a streaming ingest writes takes no batch writes: its readers follow
+    the stream's log and would not see them.
     """
+    if is_streamed(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a streaming ingest; load new files through it")
     parts = partition_columns(df, roles)
     order = parts + [c for c in (roles.region, roles.area, roles.category, roles.unit) if c in df.columns]
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
@@ -97,24 +103,45 @@ def write_partitioned(
     return path
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished table is at ``path``: its commit marker is there (no job runs)."""
-    marker = path.rstrip("/") + "/_SUCCESS"
-    if "://" not in marker or marker.startswith("file://"):
-        # A local folder: ask the file system directly.
-        local = marker[len("file://"):] if marker.startswith("file://") else marker
-        return os.path.exists(local.removeprefix("file:"))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, by Spark's own file access (any store, no job).
+
+    Only "not found" means no; any other error, say a refused read, is raised.
+    """
     try:
-        spark.read.format("text").load(marker)  # shared storage: Spark's own file system access
+        spark.read.format("binaryFile").load(path)
         return True
-    except Exception:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(bytes, files, time of the last change) of a file or folder, from its file system; no job."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = store.getContentSummary(jvm_path)
+    return summary.getLength(), summary.getFileCount(), store.getFileStatus(jvm_path).getModificationTime()
+
+
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming ingest writes the table at ``path``."""
+    return path_exists(spark, path.rstrip("/") + "/_spark_metadata")
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is at ``path``: a batch's commit marker or a stream's log is there."""
+    return path_exists(spark, path.rstrip("/") + "/_SUCCESS") or is_streamed(spark, path)
 
 
 def read_partitioned(spark: SparkSession, path: str, roles: Roles = DEFAULT) -> DataFrame:
-    """Read a table stored by :func:`write_partitioned`, its folder columns first as in the source."""
-    df = spark.read.parquet(path)
-    first = [c for c in (roles.period, roles.level) if c in df.columns]
+    """Read a table stored by :func:`write_partitioned`, its folder columns first and as text."""
+    found = spark.read.parquet(path).schema
+    first = [c for c in (roles.period, roles.level) if c in found.names]
+    # Folder names would otherwise be read as numbers or dates where they look like them.
+    fixed = StructType([StructField(f.name, StringType() if f.name in first else f.dataType) for f in found])
+    df = spark.read.schema(fixed).parquet(path)
     return df.select(*first, *[c for c in df.columns if c not in first])
 
 

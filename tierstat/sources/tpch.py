@@ -27,19 +27,31 @@ the join (one shuffle of lineitem, already map-side combined), joined to
 orders on the order key, aggregated to one row per (customer, year), and
 only then joined to the customer and the two tiny dimension tables.  Each
 customer appears once per year, so those rows are the School level as they
-are, and every level above is a plain sum of School rows: the six coarser
-levels come out of one GROUPING SETS aggregate, with no distinct aggregate
+are, and every level above is a plain sum of School rows: these are summed once per
+period, region, area and category, and the six coarser levels come out of one
+GROUPING SETS aggregate over that small result, with no distinct aggregate
 anywhere.
 """
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstat.roles import AUTH_REASONS, DEFAULT, UNAUTH_REASONS, Roles
 from tierstat.session import app_id, scratch_path
-from tierstat.sources.table import period_label, read_partitioned, table_exists, write_partitioned
+from tierstat.sources.table import (
+    path_exists,
+    path_state,
+    period_label,
+    read_partitioned,
+    table_exists,
+    write_partitioned,
+)
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region")
 
@@ -95,7 +107,12 @@ def school_rows(
     first and lineitem is reduced to their lines by a semi-join, so a yearly
     refresh does not aggregate the whole history.
     """
-    orders = tables["orders"].select(
+    orders = tables["orders"]
+    if years is not None:  # ranges of the raw date reach the scan
+        day = F.col("o_orderdate")
+        spans = [(day >= F.lit(f"{y}-01-01").cast("date")) & (day < F.lit(f"{y + 1}-01-01").cast("date")) for y in years]
+        orders = orders.where(reduce(or_, spans, F.lit(False)))
+    orders = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_custkey",
         F.year("o_orderdate").alias("_year"),
@@ -103,7 +120,6 @@ def school_rows(
     )
     lineitem = tables["lineitem"]
     if years is not None:
-        orders = orders.where(F.col("_year").isin(list(years)))
         lineitem = lineitem.join(orders.select("l_orderkey"), "l_orderkey", "left_semi")
     per_order = lineitem.groupBy("l_orderkey").agg(*_line_measures(lineitem))
     per_customer_year = (
@@ -187,8 +203,11 @@ def multi_level(
     p, r, a, t = roles.period, roles.region, roles.area, roles.category
     sets = [[p], [p, t], [p, r], [p, r, t], [p, r, a], [p, r, a, t]]
     sums = [F.sum(m).alias(m) for m in ["enrolments", "enrolments_pa_10_exact", *_LINE_MEASURES]]
-    cube = schools.groupingSets(sets, p, r, a, t).agg(
-        F.count(F.lit(1)).alias("num_schools"),
+    # First to one row per area and category: the grouping sets, which copy each
+    # row six times, then see that small result instead of every School row.
+    finest = schools.groupBy(p, r, a, t).agg(F.count(F.lit(1)).alias("num_schools"), *sums)
+    cube = finest.groupingSets(sets, p, r, a, t).agg(
+        F.sum("num_schools").alias("num_schools"),
         *sums,
         F.grouping(r).alias("_g_r"),
         F.grouping(a).alias("_g_a"),
@@ -216,8 +235,28 @@ def multi_level(
     return coarse.unionByName(units)
 
 
-# (application, tables folder and roles) -> (stored path, stored table)
-_MATERIALISED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+# (application, tables folder and roles, given path) -> (mark of the inputs, stored path, stored table)
+_MATERIALISED: dict[tuple[str, str, str], tuple[str, str, DataFrame]] = {}
+
+
+def inputs_mark(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT) -> str:
+    """Names the state of the input tables: folder, roles, and each table's bytes, files and time (no job)."""
+    state = [(t, *path_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")) for t in TABLES]
+    return hashlib.sha256(repr((sf_dir.rstrip("/"), repr(roles), state)).encode()).hexdigest()
+
+
+def _mark_path(path: str) -> str:
+    return path.rstrip("/") + "/_inputs"
+
+
+def _stored_mark(spark: SparkSession, path: str) -> str | None:
+    if not path_exists(spark, _mark_path(path)):
+        return None
+    return spark.read.schema("value string").text(_mark_path(path) + "/mark").first()[0]
+
+
+def _store_mark(spark: SparkSession, path: str, mark: str) -> None:
+    spark.createDataFrame([(mark,)], "value string").coalesce(1).write.mode("overwrite").text(_mark_path(path) + "/mark")
 
 
 def store_stats(
@@ -228,18 +267,20 @@ def store_stats(
     ``path`` names a shared location to keep it across applications; by
     default a fresh folder under the shared checkpoint folder is used.  The
     stored copy (Parquet partitioned by period and level) becomes the one
-    :func:`stats_table` returns for ``sf_dir`` in this application.
+    :func:`stats_table` returns for ``sf_dir`` and ``path`` in this application.
     """
+    mark = inputs_mark(spark, sf_dir, roles)
     stats = multi_level(read_tables(spark, sf_dir), roles)
-    path = write_partitioned(stats, path or scratch_path(spark, "stats"), roles)
+    out = write_partitioned(stats, path or scratch_path(spark, "stats"), roles)
+    _store_mark(spark, out, mark)
     # Reusing one DataFrame keeps its file listing: later queries skip it.
-    stored = read_partitioned(spark, path, roles).select(*stats.columns)
-    _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
+    stored = read_partitioned(spark, out, roles).select(*stats.columns)
+    _MATERIALISED[_key(spark, sf_dir, roles, path)] = (mark, out, stored)
     return stored
 
 
-def _key(spark: SparkSession, sf_dir: str, roles: Roles) -> tuple[str, str]:
-    return (app_id(spark), sf_dir.rstrip("/") + "|" + repr(roles))
+def _key(spark: SparkSession, sf_dir: str, roles: Roles, path: str | None) -> tuple[str, str, str]:
+    return (app_id(spark), sf_dir.rstrip("/") + "|" + repr(roles), path or "")
 
 
 def stats_table(
@@ -254,23 +295,28 @@ def stats_table(
     With ``materialise`` (default) it is computed once per application and
     stored (see :func:`store_stats`): later queries prune by period and push
     level and name filters into the scan, and the lineage to the raw tables
-    is cut.  With ``path``, a table already stored there (by an earlier
-    application) is read instead of built.  Without ``materialise``, the
-    lazy plan over the raw tables is returned.
+    is cut.  A stored copy is used as long as the input files are those it
+    was made from, and built again when they have changed.  With ``path``, the copy is kept there, also for
+    later applications; a table there that was made from another folder, or not by
+    this function, is an error and is not overwritten.  Without
+    ``materialise``, the lazy plan over the raw tables is returned.
     """
     if not materialise:
         return multi_level(read_tables(spark, sf_dir), roles)
-    known = _MATERIALISED.get(_key(spark, sf_dir, roles))
-    if known is not None and table_exists(spark, known[0]):  # still there (not cleaned up since)
-        return known[1]
+    mark = inputs_mark(spark, sf_dir, roles)
+    known = _MATERIALISED.get(_key(spark, sf_dir, roles, path))
+    if known is not None and known[0] == mark and table_exists(spark, known[1]):  # still there (not cleaned up since)
+        return known[2]
     if path is not None and table_exists(spark, path):
-        stored = read_partitioned(spark, path, roles)
-        _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
-        return stored
+        if _stored_mark(spark, path) == mark:
+            stored = read_partitioned(spark, path, roles)
+            _MATERIALISED[_key(spark, sf_dir, roles, path)] = (mark, path, stored)
+            return stored
+        if known is None:
+            raise ValueError(f"{path} holds a table of other inputs; store_stats() there replaces it")
     return store_stats(spark, sf_dir, roles, path)
 
 
-
 def refresh_periods(
     spark: SparkSession, sf_dir: str, path: str, years: list[int], roles: Roles = DEFAULT
 ) -> DataFrame:
@@ -279,10 +325,29 @@ def refresh_periods(
     A period's rows depend only on that year's orders and their lines, so
     the new rows are built from those alone and written with dynamic
     partition overwrite: the folders of these periods are replaced, every
-    other period's files stay as they are.
+    other period's files stay as they are.  If a (period, level) has lost all
+    its rows, its folder must go, which a dynamic overwrite cannot do: the whole
+    table is then written anew, from the kept periods and the new rows.
     """
+    mark = inputs_mark(spark, sf_dir, roles)
     fresh = multi_level(read_tables(spark, sf_dir), roles, years)
-    write_partitioned(fresh, path, roles, dynamic=True)
+    old = read_partitioned(spark, path, roles)
+    periods = [_period_name(y) for y in years]
+    folders = [roles.period, roles.level]
+    stale = old.where(F.col(roles.period).isin(periods)).select(*folders).distinct()
+    emptied = stale.join(fresh.select(*folders).distinct(), folders, "left_anti")
+    if emptied.limit(1).count():
+        kept = old.where(~F.col(roles.period).isin(periods)).select(*fresh.columns)
+        aside = write_partitioned(kept.unionByName(fresh), scratch_path(spark, "refreshed"), roles)
+        write_partitioned(read_partitioned(spark, aside, roles).select(*fresh.columns), path, roles)
+    else:
+        write_partitioned(fresh, path, roles, dynamic=True)
+    _store_mark(spark, path, mark)
     stored = read_partitioned(spark, path, roles)
-    _MATERIALISED[_key(spark, sf_dir, roles)] = (path, stored)
+    _MATERIALISED[_key(spark, sf_dir, roles, path)] = (mark, path, stored)
     return stored
+
+
+def _period_name(year: int) -> str:
+    """1999 -> '1999/00'."""
+    return f"{year}/{(year + 1) % 100:02d}"

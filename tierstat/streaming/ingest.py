@@ -15,8 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierstat.roles import DEFAULT, Roles
-from tierstat.session import scratch_path
-from tierstat.sources.table import period_label, typed
+from tierstat.sources.table import is_streamed, period_label, table_exists, typed
 
 
 def text_schema(columns: list[str]) -> StructType:
@@ -33,7 +32,7 @@ def stream_table(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """A streaming DataFrame over the CSV files of ``input_dir``, typed like the batch load."""
-    reader = spark.readStream.option("header", "true").schema(text_schema(columns))
+    reader = spark.readStream.option("header", "true").option("enforceSchema", "false").schema(text_schema(columns))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(input_dir)
@@ -54,9 +53,13 @@ def start_ingest(
 
     ``available_now`` processes what is there and stops (a scheduled job);
     otherwise the query polls every ``processing_time``.  The checkpoint
-    folder defaults to one under the session's shared checkpoint folder.
+    folder is by default ``_checkpoint`` inside the table (readers skip it), so
+    that every start for the same table goes on where the last one ended.  A table that
+    batch writes made is refused.
     """
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    if not is_streamed(spark, output_path) and table_exists(spark, output_path):
+        raise ValueError(f"{output_path} holds a table written in batch; ingest into a path of its own")
+    checkpoint = checkpoint or output_path.rstrip("/") + "/_checkpoint"
     writer = (
         stream_table(spark, input_dir, columns, roles)
         .writeStream.format("parquet")
