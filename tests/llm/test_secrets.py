@@ -1,0 +1,62 @@
+"""Secret scan against plain Python, with nulls, empty and long texts, repeats and clashing columns."""
+
+import random
+import re
+
+import pytest
+from conftest import SF01
+from pyspark.sql import functions as F
+
+from tierstat.llm import secrets
+from tierstat.llm.common import read
+
+HEX = "0123456789abcdef"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = random.Random(8)
+    token = lambda: "".join(rng.choice(HEX) for _ in range(40))
+    rows = [(i, f'some words here token = "{token()}" and more', "p") for i in range(40)]
+    rows += [(100 + i, f"number {rng.randint(10**15, 10**16 - 1)} mail reader{i}.name@post{i}.example.com end", "q") for i in range(40)]
+    rows += [(200, f"left {token()} alone", None), (201, "a word such as somewordshere99words in it words here some", "r")]
+    rows += [(300, None, None), (301, "", ""), (None, 'api_key="A1b2C3d4E5f6G7h8I9j0"', "s"), (302, "x " * 100_000 + 'secret: "' + token() + '"', "t")]
+    rows += [rows[0], rows[0]]
+    return spark.createDataFrame(rows, "doc_id long, text string, value string").withColumn("score", F.lit(1)).repartition(4).cache()
+
+
+def test_candidates_against_plain_python(docs):
+    got = sorted((r.doc_id or -1, r.position, r.value) for r in secrets.candidates(docs).collect())
+    want = []
+    for d in docs.collect():
+        for at, word in enumerate(re.findall(r"[^\x20\x09-\x0D]+", d.text or "")):
+            want += [(d.doc_id or -1, at, v) for v in re.findall(secrets.RUN, word) if re.search("[0-9]", v)]
+    assert got == sorted(want)
+
+
+def test_secrets_are_told_from_the_rest(docs):
+    got = secrets.secret_findings(docs).collect()
+    found = {r.doc_id for r in got if r.predicted}
+    assert found == {*range(40), 200, 302, None}  # also the one that no name or sign stands before
+    assert len([r for r in got if r.doc_id == 0]) == 3 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_own_labels_decide(docs, spark):
+    rows = secrets.candidates(docs).select("value").distinct().collect()
+    labels = [(r.value, int(r.value.isdigit())) for r in rows]  # the caller is after numbers
+    own = spark.createDataFrame(labels, "value string, label int")
+    found = {r.doc_id for r in secrets.secret_findings(docs, findings=own).collect() if r.predicted}
+    assert found == set(range(100, 140))
+
+
+def test_edges(docs):
+    assert secrets.secret_findings(docs.limit(0)).count() == 0
+    one = secrets.secret_findings(docs.where("doc_id = 200")).collect()  # nothing to learn from
+    assert [(r.score, r.predicted) for r in one] == [(0.0, 0)]
+    assert secrets.secret_findings(docs.where("text is null or text = ''")).count() == 0
+
+
+def test_table_tokens_are_found(spark):
+    table = read(spark, SF01, "documents")
+    want = {r.doc_id for r in table.collect() if re.search(r'(?i)token = "[0-9a-f]{40}"', r.text or "")}
+    assert {r.doc_id for r in secrets.secret_findings(table).collect() if r.predicted} == want

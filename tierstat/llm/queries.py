@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstat.llm import decontaminate, html_text, mix, neighbours, quality, shard, simhash, urls, warc
+from tierstat.llm import decontaminate, html_text, mix, neighbours, quality, secrets, shard, simhash, urls, warc
 from tierstat.llm.common import read
 
 
@@ -42,6 +42,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate with its score; the value itself is not passed on, only its digest."""
+    found = secrets.secret_findings(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "position", F.length("value").cast("long").alias("length"), F.sha2(F.col("value"), 256).alias("value_sha256"), "score", "predicted"
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -61,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_learned_partitions": op4_learned_partitions,
     "op5_link_propagation": op5_link_propagation,
     "op6_simhash": op6_simhash,
+    "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_main_text": op10_main_text,
