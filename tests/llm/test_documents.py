@@ -164,7 +164,11 @@ def test_mix_against_its_rules(docs, empty):
     again = Counter((r.doc_id, r.text, r.copies) for r in mix.with_copies(docs.repartition(3)).collect())
     assert again == Counter((r.doc_id, r.text, r.copies) for r in rows)
     mixed = mix.mixed(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in rows)
+    assert mixed.columns == docs.columns
+    own = [c for c in docs.columns if c not in ("doc_id", "text")]  # also those that the plan uses names of
+    want = Counter((r.doc_id, r.text, r.source) for r in rows for _ in range(r.copies))
+    assert Counter((r.doc_id, r.text, r.source) for r in mixed.collect()) == want
+    assert {r[3:] for r in map(tuple, mixed.select("doc_id", "text", "source", *own).collect())} <= {tuple(r) for r in docs.select(*own).collect()}
     assert mix.with_copies(empty).count() == 0 and mix.mixed(empty).count() == 0
 
 
@@ -260,6 +264,26 @@ def test_queries_are_registered():
     assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d", n)} >= {f"op{n}" for n in range(1, 11)}
 
 
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_pipeline_stages_on_odd_rows(docs, empty, items, spark, tmp_path, rows):
+    """Every stage keeps rows whole, whatever other columns are called, and an empty table passes through."""
+    import corpus_pipeline
+
+    from tierstat.llm.common import written
+
+    (docs if rows == "odd" else empty).write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    marks = [(i, int(i % 4 > 0), 0) for i in range(60)] + [(None, 1, None), (3, None, 0), (5, 1, 0)]
+    spark.createDataFrame(marks if rows == "odd" else [], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    at = common.read(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {tuple(r) for r in at.collect()}
+        at = written(stage(spark, at, str(tmp_path)), name)
+        assert at.columns == docs.columns and {tuple(r) for r in at.collect()} <= before
+    last = corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path))
+    assert last.count() == at.count() and (last.count() > 0) == (rows == "odd")
+
+
 def test_pipeline_against_plain_python(spark):
     import corpus_pipeline
 

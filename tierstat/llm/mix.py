@@ -177,13 +177,18 @@ def with_copies(
     return (
         ranked.join(planned, key)
         .withColumns({"copies": each, "size": F.col(name["_size"]), "source_size": F.col(name["_total"]), "target": F.col(name["_target"])})
-        .select(*base.columns, "size", "source_size", "target", "copies")
+        .select(*[F.col(f"`{c}`") for c in base.columns], "size", "source_size", "target", "copies")
     )
 
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
-    """``documents`` as the mix has them: each row as many times as it has copies, same columns."""
-    planned = with_copies(documents, **options)
-    return planned.where("copies > 0").withColumn(
-        "copies", F.explode(F.array_repeat(F.lit(1), F.col("copies")))
-    ).select(*documents.columns)
+    """``documents`` as the mix has them: each row as many times as it has copies, all columns with their own values."""
+    # Columns that with_copies would replace keep their values under other names meanwhile.
+    added = {"size", "source_size", "target", "copies"}
+    used = {options.get(k, k) for k in ("doc_id", "text", "source")}
+    taken = [*documents.columns, *added]
+    aside = {c: fresh(taken, f"_{c}") for c in documents.columns if c.lower() in added and c not in used}
+    planned = with_copies(documents.withColumnsRenamed(aside), **options)
+    repeats = F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias(fresh([*planned.columns, *documents.columns], "_repeat"))
+    back = [F.col(f"`{aside.get(c, c)}`").alias(c) for c in documents.columns]
+    return planned.where("copies > 0").select(*back, repeats).select(*[F.col(f"`{c}`") for c in documents.columns])
