@@ -111,8 +111,12 @@ def clear_cases(rows: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame):
     """A forest from rows with features and ``label``; None unless both labels are there."""
-    sample = labelled.where("label is not null").orderBy(F.xxhash64("value", "doc_id", "position"), "value").limit(TRAINING)
-    blank = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    # Hashes in place of the values: however long a value, a row of the sample has the same few bytes.
+    narrow = labelled.where("label is not null").select(
+        *SHAPE, *AROUND, "label", F.xxhash64("value").alias("h"), F.xxhash64("value", "doc_id", "position").alias("place")
+    )
+    sample = narrow.orderBy("place", "h").limit(TRAINING)
+    blank = F.pmod("h", F.lit(2)) == 0
     sample = written(sample.withColumns({c: F.when(blank, 0.0).otherwise(F.col(c)) for c in AROUND}), "training")
     if sample.select("label").distinct().count() < 2:
         return None
