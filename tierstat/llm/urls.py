@@ -104,7 +104,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
     restart = seeds.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
     for step in range(1, steps + 1):
         moved = steps_out.join(scores, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("p") * damping).alias("score"))
-        scores = restart.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        # Decimal sums do not depend on the order of their terms: reruns agree, and so do equal scores.
+        exact = F.sum(F.col("score").cast("decimal(38,30)")).cast("double")
+        scores = restart.unionByName(moved).groupBy("kind", "host").agg(exact.alias("score"))
         if step % 4 == 0 or step == steps:  # keep the plan short
             scores = written(scores, "scores")
     return scores
