@@ -108,6 +108,10 @@ def test_damaged_payload_is_noticed(pages, spark):
     damaged.write.parquet(path)
     with pytest.raises(Exception, match="damaged or missing payload"):
         warc.read_archive(spark, warc.Archive(archive.headers, path)).collect()
+    fewer = archive.payloads + "-fewer"
+    spark.read.parquet(archive.payloads).where(F.length("payload") == 0).write.parquet(fewer)
+    with pytest.raises(Exception, match="damaged or missing payload"):
+        warc.read_archive(spark, warc.Archive(archive.headers, fewer)).collect()
 
 
 def test_main_text_of_the_table(spark):
