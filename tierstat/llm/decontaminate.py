@@ -109,14 +109,16 @@ def contained_items(
     found = written(found, "candidates")
     keys = small(found.select(F.col("doc_id").alias("k"), F.col("digest").alias("kd")).distinct())
     candidates = base.join(keys, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("kd")), "left_semi")
-    rows = _shingles(candidates, width, "doc_id", "digest").distinct()
+    known = small(shingles)
+    # What is in no item goes before the distinct, so that only item shingles are shuffled.
+    rows = _shingles(candidates, width, "doc_id", "digest").join(known, "shingle", "left_semi").distinct()
     pair = found.select(F.col("doc_id").alias("k"), F.col("digest").alias("kd"), F.col("item_id").alias("ki"), F.col("item").alias("kt"))
     same = (
         F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("kd"))
         & F.col("item_id").eqNullSafe(F.col("ki")) & (F.col("item") == F.col("kt"))
     )
     return (
-        rows.join(small(shingles), "shingle")
+        rows.join(known, "shingle")
         .join(pair, same, "left_semi")
         .groupBy("doc_id", "digest", "item_id", "item")
         .agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("item_shingles"))
