@@ -1,22 +1,26 @@
 """Secret scan: candidates by shape, a random forest against false positives.
 
-A candidate is a run of 16 or more letters, digits and ``_+/=.-`` that holds a
-digit and a letter, or only digits, inside a word of the whole text.  Its
+A candidate is a run of 16 or more letters, digits and ``_+/.-`` (``=`` at its
+end) with a digit, inside a word of the whole text; or, of any length and any
+characters, what a name such as ``password`` is assigned (``NAME=value``, ``NAME: value``,
+``NAME = "value"``; of a value with white space its first word).  A name before ``=`` is no part of the value.  Its
 features are length, character transitions and classes, dictionary coverage (letters in
-pieces that occur as whole words of the corpus), signs of a path, and the words
+pieces that occur as whole words of the corpus besides this value), signs of a path, and the words
 around it.  The forest (Spark ML) learns from labelled findings and scores
 every candidate.
 
 Without labelled findings of the caller's own, findings are labelled by
 clear cases: a value assigned to a name such as ``token``, or one with a provider's prefix, is a secret; an
-address, a path, a number or a value made of dictionary pieces is none; the rest stays
-unlabelled and is only scored.  For half of the training findings the words around are blanked, so that
+address, a path, a number or a value made of dictionary pieces is none (also one that a name is
+assigned, if it has no digit); the rest stays unlabelled and is only scored.  For half of the training findings the words around are blanked, so that
 the forest also learns the shape of a secret.  At most ``TRAINING`` findings
 are learned from.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,10 +32,21 @@ from tierstat.llm.common import WORD, small, text_or_empty, written
 TRAINING = 20_000
 TREES = 30
 DEPTH = 6
-RUN = r"[A-Za-z0-9][A-Za-z0-9_+/=.\-]{14,}[A-Za-z0-9=]"
+_BODY = r"[A-Za-z0-9_+/.\-]"
+# Padding ends a value; what goes on after it, or in an opening quote, shows that a name stood before the sign.
+_PAD_END = r"""(?![A-Za-z0-9]|["'`][^\s,;)\]}>&:])"""
+RUN = rf"[A-Za-z0-9](?:{_BODY}{{14,}}={{1,2}}{_PAD_END}|{_BODY}{{13}}=={_PAD_END}|{_BODY}{{14,}}[A-Za-z0-9])"
 # Names that secrets are assigned to, and prefixes that providers give them.
-NAMES = r"(?i)(token|secret|passw|pwd|api.?key|auth|credential|bearer|private|access.?key)"
+NAMES = r"(?i)(token|secret|passw|passphrase|pwd|api.?key|auth(?!or(?!i))|credential|bearer|private|access.?key)"
 PREFIX = r"^(AKIA|ASIA|gh[pousr]_|github_pat_|sk-|sk_live_|xox[abprs]-|AIza|glpat-|eyJ)"
+_NAME = rf"(?:{NAMES.replace('(?i)(', '(?i:', 1)})[\w.\-]{{0,64}}[\"'`\])]{{0,3}}"
+_SIGN = r"(?:={1,3}>?|:=|:(?!:))"
+_ASSIGN = rf"(?<![\w.\-])(?<!//)[\w.\-]{{0,64}}?{_NAME}{_SIGN}[\"'`]?"
+_PLAIN = r"""[^"'`&<>]+(?:&(?![\w.\-]+=)[^"'`&<>]+){0,50}"""
+_GIVEN = rf"""(?<=")[^"]+|(?<=')[^']+|(?<=`)[^`]+|(?<!["'`]){_PLAIN}"""
+# Groups: 1 what stands before, 2 the assigning name, 3 its value, 4 another name, 5 a run, 6 the next character.
+FIND = rf"(?s)(.*?)(?:({_ASSIGN})(?!{_ASSIGN[len(r'(?<![\w.\-])(?<!//)'):]})({_GIVEN})|((?<![\w.\-])[A-Za-z_][\w.\-]{{0,200}}=[\"'`]?)?({RUN}))(?=(.?))"
+WHOLE = r"(?<![\p{L}\p{N}_])[a-z]{3,}(?![\p{L}\p{N}_])"
 SHAPE = [
     "length", "digits", "upper", "letter_digit", "case_change", "variety", "vowels", "hex", "only_digits", "dictionary", "slashes", "dots", "address",
 ]
@@ -39,18 +54,39 @@ AROUND = ["named", "assigned", "quoted"]
 
 
 def candidates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, position, before2, before, word, value): position is the word's place in its text."""
-    words = documents.select(F.col(doc_id).alias("doc_id"), F.regexp_extract_all(text_or_empty(text), F.lit(WORD), F.lit(0)).alias("words"))
-    each = words.select("doc_id", "words", F.posexplode("words").alias("position", "word"))
-    long = each.where((F.length("word") >= 16) & F.col("word").rlike(RUN))
-    near = long.select(
-        "doc_id", "position", "word",
-        F.when(F.col("position") > 1, F.get("words", F.col("position") - 2)).alias("before2"),
-        F.when(F.col("position") > 0, F.get("words", F.col("position") - 1)).alias("before"),
-        F.explode(F.regexp_extract_all("word", F.lit(RUN), F.lit(0))).alias("value"),
+    """Rows (doc_id, position, before2, before, word, head, value, span): position is the word's place in its text.
+
+    ``head`` is what stands before the value in its word, from the value before on; ``span`` is the value with its neighbouring characters.
+    """
+    kept = documents.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("t"))
+    words = kept.select("doc_id", F.regexp_extract_all("t", F.lit(WORD), F.lit(0)).alias("words"), F.col("t").rlike(NAMES).alias("names"))
+    each = words.select("doc_id", "words", "names", F.posexplode("words").alias("position", "word"))
+    before2 = F.when(F.col("position") > 1, F.get("words", F.col("position") - 2))
+    before = F.when(F.col("position") > 0, F.get("words", F.col("position") - 1))
+    prior = F.concat_ws(" ", before2, before)
+    ends = reduce(lambda c, sign: c | F.endswith(F.coalesce(before, F.lit("")), F.lit(sign)), "=:>\"'`", F.lit(False))
+    starts = F.col("word").startswith("=") | F.col("word").startswith(":")
+    assigned = ends & prior.rlike(rf"{_NAME}\s?{_SIGN}[\"'`]?$")
+    signed = starts & prior.rlike(rf"{_NAME}$")
+    run = (F.length("word") >= 16) & F.col("word").rlike(RUN)
+    kept = each.where(run | (F.col("names") & (F.col("word").rlike(_ASSIGN) | assigned | signed)))
+    # A name that stands in a word before is put at the front, and taken off the head again.
+    front = F.when(assigned, F.lit("password=")).when(signed, F.lit("password")).otherwise(F.lit(""))
+    near = kept.select("doc_id", "position", "word", before2.alias("before2"), before.alias("before"), front.alias("front"))
+    marked = F.concat("front", "word")
+    parts = F.arrays_zip(*[F.regexp_extract_all(marked, F.lit(FIND), F.lit(g)).alias(n) for g, n in ((1, "gap"), (2, "name"), (3, "given"), (4, "other"), (5, "run"), (6, "next"))])
+    near = near.select("*", F.posexplode(parts).alias("turn", "part"))
+    near = near.select(
+        "*", F.concat("part.gap", "part.name", "part.other").alias("lead"),
+        F.when(F.col("part.name").rlike("[\"'`]$"), F.col("part.given")).otherwise(F.regexp_replace("part.given", r"[,;.)\]}]+$", "")).alias("assigned"),
     )
-    # What is only letters is a word, or not to be told from one.
-    return near.where(F.col("value").rlike("[0-9]"))
+    value = F.when(F.col("part.given") != "", F.col("assigned")).otherwise(F.col("part.run"))
+    head = F.when(F.col("turn") == 0, F.expr("substring(lead, length(front) + 1)")).otherwise(F.col("lead"))
+    # A run of only letters is a word, or not to be told from one; one before "=" is a name.
+    name = (F.col("part.next") == "=") & F.col("part.run").rlike(r"^[A-Za-z][\w.\-]*$")
+    valid = F.when(F.col("part.given") != "", F.col("assigned").rlike(r"[\p{L}\p{N}]")).otherwise(F.col("part.run").rlike("[0-9]") & ~name)
+    span = F.concat(F.expr("right(lead, 1)"), "part.given", "part.run", "part.next")
+    return near.where(valid).select("doc_id", "position", "word", "before2", "before", head.alias("head"), value.alias("value"), span.alias("span"))
 
 
 def _pieces(value):
@@ -58,10 +94,10 @@ def _pieces(value):
 
 
 def dictionary(documents: DataFrame, found: DataFrame, text: str) -> DataFrame:
-    """Rows (piece): letter runs of candidates that are whole words somewhere in the corpus."""
+    """Rows (piece, times): letter runs of candidates that are whole words somewhere in the corpus, and how often."""
     pieces = written(found.select(F.explode(_pieces(F.col("value"))).alias("piece")).distinct(), "pieces")
-    words = documents.select(F.explode(F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(r"(?<![\p{L}\p{N}_])[a-z]{3,}(?![\p{L}\p{N}_])"), F.lit(0))).alias("piece"))
-    return words.join(small(pieces), "piece", "left_semi").distinct()
+    words = documents.select(F.explode(F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(WHOLE), F.lit(0))).alias("piece"))
+    return words.join(small(pieces), "piece", "left_semi").groupBy("piece").agg(F.count(F.lit(1)).alias("times"))
 
 
 def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -69,9 +105,14 @@ def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = written(candidates(documents, doc_id, text), "candidates")
     known = written(dictionary(documents, found, text), "dictionary")
     values = found.select("value").distinct()
+    # A value's own places do not make its pieces words.
+    own = found.select("value", F.explode(F.regexp_extract_all(F.lower("span"), F.lit(WHOLE), F.lit(0))).alias("piece"))
+    own = own.groupBy("value", "piece").agg(F.count(F.lit(1)).alias("own"))
     covered = (
         values.select("value", F.explode(_pieces(F.col("value"))).alias("piece"))
         .join(small(known), "piece")
+        .join(own, ["value", "piece"], "left")
+        .where(F.col("times") > F.coalesce("own", F.lit(0)))
         .groupBy("value")
         .agg(F.sum(F.length("piece")).alias("letters"))
     )
@@ -81,7 +122,7 @@ def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
         return F.regexp_count(v, F.lit(pattern)) / n
 
     rows = found.join(covered, "value", "left")
-    head = F.expr("left(word, instr(word, value) - 1)")  # what stands before the value in its own word
+    head = F.col("head")
     context = F.concat_ws(" ", "before2", "before", head)
     return written(
         rows.withColumns(
@@ -92,9 +133,9 @@ def described(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 "variety": F.size(F.array_distinct(F.split("value", ""))) / n, "vowels": share("[aeiouAEIOU]"),
                 "hex": v.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double"), "only_digits": v.rlike("^[0-9]+$").cast("double"),
                 "dictionary": F.coalesce("letters", F.lit(0)) / n, "slashes": share("/"), "dots": share("[.]"),
-                "address": F.col("word").rlike("@|://").cast("double"),
+                "address": F.col("word").rlike(r"@[\w\-]+\.|://").cast("double"),
                 "named": context.rlike(NAMES).cast("double"),
-                "assigned": F.concat_ws(" ", "before", head).rlike(r"[=:]\s*[\"']?\s*$").cast("double"),
+                "assigned": F.concat_ws(" ", "before", head).rlike(r"[=:]>?\s*[\"'`]?\s*$").cast("double"),
                 "quoted": head.rlike("[\"'`]$").cast("double"),
             }
         ),
@@ -106,7 +147,12 @@ def clear_cases(rows: DataFrame) -> DataFrame:
     """``rows`` with ``label``: 1 secret, 0 none, null unclear."""
     secret = ((F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("only_digits") == 0)) | F.col("value").rlike(PREFIX)
     none = (F.col("address") == 1) | (F.col("only_digits") == 1) | (F.col("dictionary") >= 0.5) | (F.col("slashes") >= 0.1)
-    return rows.withColumn("label", F.when(secret & (F.col("dictionary") < 0.5), 1).when(none & (F.col("named") == 0), 0))
+    # What a name is assigned without a digit is no clear secret ("author: Smith"), but clearly none if it is made of words.
+    word = F.col("digits") == 0
+    secret = secret & (~word | F.col("value").rlike(PREFIX))
+    return rows.withColumn(
+        "label", F.when(secret & (F.col("dictionary") < 0.5), 1).when((none & (F.col("named") == 0)) | (word & (F.col("dictionary") >= 0.5)), 0)
+    )
 
 
 def train(labelled: DataFrame):
