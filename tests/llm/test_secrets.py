@@ -91,3 +91,11 @@ def test_assigned_values_are_found(docs, spark):
     more = docs.select("doc_id", "text", "value").union(spark.createDataFrame(rows, "doc_id long, text string, value string"))
     found = {r.doc_id for r in secrets.secret_findings(more).collect() if r.predicted}
     assert found & set(range(900, 910)) == {900, 901, 902, 903}
+
+
+def test_a_rare_label_is_learned_from(docs, monkeypatch):
+    few = docs.where("doc_id between 100 and 139 or doc_id in (1, 200)")  # one clear secret, 40 and more that are none
+    monkeypatch.setattr(secrets, "TRAINING", 4)
+    labelled = secrets.clear_cases(secrets.described(few))
+    assert labelled.where("label = 1").count() == 1 and labelled.where("label = 0").count() > 40
+    assert secrets.train(labelled) is not None

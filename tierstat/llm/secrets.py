@@ -14,7 +14,7 @@ clear cases: a value assigned to a name such as ``token``, or one with a provide
 address, a path, a number or a value made of dictionary pieces is none (also one that a name is
 assigned, if it has no digit); the rest stays unlabelled and is only scored.  For half of the training findings the words around are blanked, so that
 the forest also learns the shape of a secret.  At most ``TRAINING`` findings
-are learned from.
+are learned from, at most half of them of each label.
 """
 
 from __future__ import annotations
@@ -156,12 +156,14 @@ def clear_cases(rows: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame):
-    """A forest from rows with features and ``label``; None unless both labels are there."""
+    """A forest from rows with features and ``label`` (1, 0, null); None unless both labels are there."""
     # Hashes in place of the values: however long a value, a row of the sample has the same few bytes.
     narrow = labelled.where("label is not null").select(
         *SHAPE, *AROUND, "label", F.xxhash64("value").alias("h"), F.xxhash64("value", "doc_id", "position").alias("place")
     )
-    sample = narrow.orderBy("place", "h").limit(TRAINING)
+    # Half of the sample for each label: one that is rare in the corpus is not crowded out by the other.
+    first = lambda label: narrow.where(F.col("label") == label).orderBy("place", "h").limit(TRAINING // 2)
+    sample = first(1).unionByName(first(0))
     blank = F.pmod("h", F.lit(2)) == 0
     sample = written(sample.withColumns({c: F.when(blank, 0.0).otherwise(F.col(c)) for c in AROUND}), "training")
     if sample.select("label").distinct().count() < 2:
