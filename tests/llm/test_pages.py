@@ -75,6 +75,16 @@ def test_propagation_against_plain_loops(pages, spark):
         assert rows.keys() == score.keys() and all(abs(rows[h] - score[h]) < 1e-12 for h in rows)
 
 
+def test_propagation_goes_on_until_settled(spark):
+    chain = [(f"h{i}", f"h{i + 1}", 1) for i in range(20)]
+    frame = urls.propagate(
+        spark.createDataFrame(chain, "src string, dst string, n long"), spark.createDataFrame([("distrust", "h20", 1)], "kind string, host string, mass long")
+    )
+    rows = {r.host: r.score for r in frame.collect()}
+    assert rows.keys() == {f"h{i}" for i in range(21)}
+    assert all(abs(rows[f"h{i}"] - 0.15 * 0.85 ** (20 - i)) < 1e-9 for i in range(21))
+
+
 def test_archive_round_trip(pages, spark):
     back = warc.archived_pages(pages).collect()
     want, groups = [], defaultdict(list)

@@ -2,7 +2,7 @@
 
 Trust is a personalised PageRank from the hosts of pages that a rule allows;
 distrust is the same over reversed links from the hosts of pages that a rule
-blocks.  Both walk the host graph: links found in the pages, and a step
+blocks.  Both go on until the scores have settled.  Both walk the host graph: links found in the pages, and a step
 between a host and its parent domain where both are hosts of the tables.  A
 page that no rule fits is blocked if distrust has more than ``THRESHOLD`` of
 its host's trust and distrust, and allowed otherwise (also without either).
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tierstat.llm.common import lower_ascii, written
 
 DAMPING = 0.85
-STEPS = 12
+CHECKED = 4  # steps from one check of the scores to the next
+SETTLED = 1e-9  # largest summed change between two checks, of a mass of 1 each for trust and distrust
+MOST_STEPS = 10_000
 THRESHOLD = 0.5
 _PARTS = r"^(?s:.*?)://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)[\s"'](?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -85,9 +87,11 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     return links.unionByName(up).unionByName(down).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
-    """Rows (kind, host, score) after ``steps`` steps of personalised PageRank from ``seeds`` (kind, host, mass).
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int | None = None) -> DataFrame:
+    """Rows (kind, host, score) of personalised PageRank from ``seeds`` (kind, host, mass).
 
+    Steps go on until the scores and the set of reached hosts have settled (an error if they have not after
+    ``MOST_STEPS``), or for just ``steps`` steps.
     Kind "trust" follows the links, "distrust" runs against them.  A seed set's masses are made to
     sum to 1; what reaches a host without links leaves the walk.
     """
@@ -100,18 +104,31 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
     )
     mass = seeds.groupBy("kind").agg(F.sum("mass").alias("all"))
     seeds = written(seeds.join(mass, "kind").select("kind", "host", (F.col("mass") / F.col("all")).alias("score")), "seeds")
-    scores = seeds
+    scores, checked = seeds, None
     restart = seeds.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
-    for step in range(1, steps + 1):
+    for step in range(1, (MOST_STEPS if steps is None else steps) + 1):
         moved = steps_out.join(scores, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("p") * damping).alias("score"))
         # Decimal sums do not depend on the order of their terms: reruns agree, and so do equal scores.
         exact = F.sum(F.col("score").cast("decimal(38,30)")).cast("double")
         scores = restart.unionByName(moved).groupBy("kind", "host").agg(exact.alias("score"))
-        if step % 4 == 0 or step == steps:  # keep the plan short
+        if step % CHECKED == 0 or step == steps:  # keep the plan short
             scores = written(scores, "scores")
+            if steps is None and checked is not None and _settled(checked, scores):
+                return scores
+            checked = scores
+    if steps is None:
+        raise RuntimeError(f"link scores did not settle in {MOST_STEPS} steps")
     return scores
 
 
+def _settled(old: DataFrame, new: DataFrame) -> bool:
+    """The same hosts are reached (none is ever lost, so their number tells) and the scores hardly change."""
+    both = old.select("kind", "host", F.col("score").alias("old")).join(new, ["kind", "host"], "full")
+    change = F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
+    row = both.agg(F.count("old").alias("before"), F.count("score").alias("now"), change.alias("change")).first()
+    return row["before"] == row["now"] and (row["change"] or 0.0) <= SETTLED
+
+
 def judged_pages(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
     rules: tuple[Rule, ...] = RULES, threshold: float = THRESHOLD,
