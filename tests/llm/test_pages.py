@@ -124,6 +124,21 @@ def test_damaged_payload_is_noticed(pages, spark):
         warc.read_archive(spark, warc.Archive(archive.headers, fewer)).collect()
 
 
+@pytest.mark.parametrize("change", [("(?s)(\r\nContent-Length: )", "$11"), ("(WARC-Refers-To: <urn:uuid:)", "$1x")])
+def test_records_are_rebuilt_and_read(pages, monkeypatch, change):
+    write = warc.write_archive
+
+    def damaged(*args):
+        archive = write(*args)
+        headers = pages.sparkSession.read.parquet(archive.headers)
+        headers.withColumn("header", F.regexp_replace("header", *change)).write.parquet(archive.headers + "_damaged")
+        return warc.Archive(archive.headers + "_damaged", archive.payloads)
+
+    monkeypatch.setattr(warc, "write_archive", damaged)
+    with pytest.raises(Exception, match="damaged record|no response for the revisit"):
+        warc.archived_pages(pages).collect()
+
+
 def test_main_text_of_the_table(spark):
     table = read(spark, SF001, "pages")
     got = {r.page_id: r for r in html_text.main_texts(table).collect()}

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierstat.llm.common import written
 from tierstat.session import scratch_path
 
 LEAST_REVISIT = 1000  # payload bytes from which equal payloads are stored as revisits
@@ -115,7 +116,7 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     stored = payloads.select("address", sound.alias("payload"), F.lit(True).alias("stored"))
     joined = headers.join(stored, "address", "left")
     checked = F.when(F.col("stored"), F.col("payload")).otherwise(fault)
-    body = F.when(field("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    body = F.when(field("WARC-Type") == "revisit", F.lit(b"")).otherwise(checked)
     record = F.concat(F.encode("header", "UTF-8"), F.encode("http", "UTF-8"), body, F.lit(b"\r\n\r\n"))
     return joined.withColumn("payload", checked).select("header", "http", "payload", record.alias("record"))
 
@@ -123,14 +124,41 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
 def archived_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write ``pages`` to an archive, read it back: (page_id, payload_bytes, payload_digest, record_type, refers_to).
 
-    Figures come from the archive's own bytes and header lines.
+    Figures come from the archive's own header lines and from the payload that is cut out of each rebuilt
+    record by its lengths; a revisit has those of the response it names.  A record whose lengths or payload digest do not
+    fit its bytes stops the query, and so does a revisit of no response.
     """
     kind = pages.schema[page_id].dataType
     back = read_archive(pages.sparkSession, write_archive(pages, page_id, url, html))
-    return back.select(
-        field("WARC-Page-ID").cast(kind).alias("page_id"),
-        F.length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"),
-        field("WARC-Type").alias("record_type"),
-        field("WARC-Refers-To-Page-ID").cast(kind).alias("refers_to"),
+    revisit = field("WARC-Type") == "revisit"
+    block = field("Content-Length").cast("long")
+    size = F.when(revisit, 0).otherwise(F.regexp_extract("http", f"{EOL}Content-Length: ([0-9]+){EOL}", 1).cast("long"))
+    start = F.octet_length("header") + block - size + 1
+    cut = F.substring("record", start.cast("int"), size.cast("int"))
+    whole = (F.octet_length("record") == F.octet_length("header") + block + 4) & (block == F.octet_length("http") + size)
+    sound = whole & (revisit | (F.concat(F.lit("sha1:"), F.sha1(cut)) == field("WARC-Payload-Digest")))
+    fault = F.raise_error(F.concat(F.lit("damaged record "), F.coalesce(field("WARC-Record-ID"), F.lit("without id"))))
+    records = written(
+        back.select(
+            field("WARC-Page-ID").cast(kind).alias("page_id"),
+            F.when(revisit, None).when(sound, F.octet_length(cut)).otherwise(fault.cast("int")).cast("long").alias("payload_bytes"),
+            F.when(revisit & sound, None).when(sound, F.sha1(cut)).otherwise(fault.cast("string")).alias("payload_digest"),
+            field("WARC-Type").alias("record_type"),
+            field("WARC-Refers-To-Page-ID").cast(kind).alias("refers_to"),
+            field("WARC-Record-ID").alias("id"),
+            field("WARC-Refers-To").alias("named"),
+        ),
+        "records",
+    )
+    # Records that share an id have the same payload.
+    responses = records.where("record_type = 'response'").dropDuplicates(["id"])
+    responses = responses.select(F.col("id").alias("named"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("digest"))
+    lost = F.raise_error(F.concat(F.lit("no response for the revisit "), F.col("id")))
+    own = F.col("record_type") == "response"
+    return records.join(responses, "named", "left").select(
+        "page_id",
+        F.when(own, F.col("payload_bytes")).otherwise(F.coalesce("bytes", lost.cast("long"))).alias("payload_bytes"),
+        F.when(own, F.col("payload_digest")).otherwise(F.coalesce("digest", lost.cast("string"))).alias("payload_digest"),
+        "record_type",
+        "refers_to",
     )
