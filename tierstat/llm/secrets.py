@@ -163,7 +163,8 @@ def train(labelled: DataFrame):
     )
     # Half of the sample for each label: one that is rare in the corpus is not crowded out by the other.
     first = lambda label: narrow.where(F.col("label") == label).orderBy("place", "h").limit(TRAINING // 2)
-    sample = first(1).unionByName(first(0))
+    # One order for both: the forest depends on the order of its rows.
+    sample = first(1).unionByName(first(0)).orderBy("place", "h").limit(TRAINING)
     blank = F.pmod("h", F.lit(2)) == 0
     sample = written(sample.withColumns({c: F.when(blank, 0.0).otherwise(F.col(c)) for c in AROUND}), "training")
     if sample.select("label").distinct().count() < 2:
