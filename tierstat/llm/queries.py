@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstat.llm import decontaminate, html_text, mix, neighbours, quality, secrets, shard, simhash, urls, warc
+from tierstat.llm import (
+    decontaminate, hard_negatives, html_text, mix, neighbours, quality, repeats, secrets, shard, simhash, spelling, urls, warc,
+)
 from tierstat.llm.common import read
 
 
@@ -62,6 +64,30 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(read(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every 7th row has its label moved on first."""
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")))
+
+
+def slipped(doc_id: Column, run: Column) -> Column:
+    """``run`` without one character where 31 divides the checksum of id and run."""
+    check = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = (check % F.length(run)).cast("int")
+    return F.when(check % 31 == 0, F.concat(F.substr(run, F.lit(1), at), F.substr(run, at + 2))).otherwise(run)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.corpus_words(read(spark, sf_dir, "documents"), change=slipped)
+    return spelling.spelling_forms(words)
+
+
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_hash_tree_sharding": op2_hash_tree_sharding,
@@ -73,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_main_text": op10_main_text,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_repeated_passages": op13_repeated_passages,
 }
 
 ORACLE: dict[str, str] = {
@@ -98,5 +127,84 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_dig
        CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN original <> page_id THEN original END AS refers_to
 FROM o
+""",
+    "op11_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+  FROM r a JOIN r c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+  SELECT anchor_id, vec_id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), checked AS (
+  SELECT run, n, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(doc_id || ':' || run)), 1),
+        lambda i: ('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i + 1, 2))::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS c
+  FROM counted
+), slipped AS (
+  SELECT CASE WHEN xor(c, 4294967295) % 31 = 0
+              THEN substr(run, 1, xor(c, 4294967295) % length(run)) || substr(run, xor(c, 4294967295) % length(run) + 2)
+              ELSE run END AS word, n
+  FROM checked
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS most, min(struct_pack(m := -n, w := encode(near))).w AS first FROM near GROUP BY 1
+), forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.most >= 10 * w.n THEN decode(b.first) END AS form, CASE WHEN b.most >= 10 * w.n THEN b.most END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), chain AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.next
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.next IS NULL
+""",
+    "op13_repeated_passages": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), x AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS piece FROM (
+    SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)
+), y AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY piece) AS first FROM x
+), gone AS (
+  SELECT doc_id, list(DISTINCT g) AS g FROM (SELECT doc_id, unnest(range(i, i + 50)) AS g FROM y WHERE first < doc_id) GROUP BY 1
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, len(coalesce(g, []))::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN g IS NULL THEN words
+         ELSE list_transform(list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(g, i)), lambda i: words[i]) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
 """,
 }
