@@ -18,7 +18,7 @@ def _copy(tmp_path, name="raw"):
     raw = tmp_path / name
     raw.mkdir()
     for t in tpch.TABLES:
-        shutil.copy(f"{SF001}/{t}.parquet", raw / f"{t}.parquet")
+        shutil.copyfile(f"{SF001}/{t}.parquet", raw / f"{t}.parquet")
     return raw
 
 
@@ -69,7 +69,7 @@ def test_changed_inputs_are_built_again(spark, tmp_path):
     few = spark.read.parquet(f"{SF001}/orders.parquet").where(F.year("o_orderdate") < 1997)
     few.coalesce(1).write.parquet(str(tmp_path / "few"))
     part = next((tmp_path / "few").glob("part-*.parquet"))
-    shutil.copy(part, raw / "orders.parquet")
+    shutil.copyfile(part, raw / "orders.parquet")
     after = stats_table(spark, str(raw))
     assert after.count() < before and after.agg(F.max("time_period")).first()[0] == "1996/97"
 
@@ -88,7 +88,7 @@ def test_refresh_drops_emptied_folders(spark, tmp_path):
     tpch.store_stats(spark, str(raw), path=path)
     rest = spark.read.parquet(f"{SF001}/orders.parquet").where(F.year("o_orderdate") != 1997)
     rest.coalesce(1).write.parquet(str(tmp_path / "rest"))
-    shutil.copy(next((tmp_path / "rest").glob("part-*.parquet")), raw / "orders.parquet")
+    shutil.copyfile(next((tmp_path / "rest").glob("part-*.parquet")), raw / "orders.parquet")
     done = tpch.refresh_periods(spark, str(raw), path, years=[1997])
     assert done.where("time_period = '1997/98'").count() == 0
     whole = tpch.multi_level(tpch.read_tables(spark, str(raw)))
@@ -137,3 +137,103 @@ def test_report_has_the_first_area_first(spark):
 
 def test_new_keys_have_oracles():
     assert "rank_matrix_wide" in QUERIES and "rank_matrix_wide" in ORACLE
+
+
+def _without(spark, tmp_path, raw, name, rows):
+    """Replace the table ``name`` in ``raw`` by ``rows``."""
+    folder = tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"
+    rows.coalesce(1).write.parquet(str(folder))
+    shutil.copyfile(next(folder.glob("part-*.parquet")), raw / f"{name}.parquet")
+
+
+def _same(spark, raw, table):
+    whole = tpch.multi_level(tpch.read_tables(spark, str(raw)))
+    return sorted(map(repr, table.select(*whole.columns).collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_years_that_were_not_refreshed_are_found(spark, tmp_path, monkeypatch):
+    raw, path = _copy(tmp_path), str(tmp_path / "stats")
+    tpch.store_stats(spark, str(raw), path=path)
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    _without(spark, tmp_path, raw, "orders", orders.where("year(o_orderdate) not in (1994, 1996) or o_orderkey % 3 = 0"))
+    tpch.refresh_periods(spark, str(raw), path, years=[1994])
+    built = []
+    rebuild = tpch._rebuild
+    monkeypatch.setattr(tpch, "_rebuild", lambda spark, sf_dir, path, years, roles: (built.extend(years), rebuild(spark, sf_dir, path, years, roles)))
+    assert _same(spark, raw, stats_table(spark, str(raw), path=path)) and built == [1996]
+    stats_table(spark, str(raw), path=path)
+    tpch._MATERIALISED.clear()  # as in another application
+    assert _same(spark, raw, stats_table(spark, str(raw), path=path)) and built == [1996]
+    lines = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    _without(spark, tmp_path, raw, "lineitem", lines.withColumn("l_quantity", F.when(F.col("l_orderkey") == lines.first().l_orderkey, 1).otherwise(F.col("l_quantity")).cast(lines.schema["l_quantity"].dataType)))
+    assert _same(spark, raw, stats_table(spark, str(raw), path=path)) and len(built) == 2  # one order's lines: one year
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path, monkeypatch):
+    raw, path = _copy(tmp_path), str(tmp_path / "stats")
+    before = sorted(map(repr, tpch.store_stats(spark, str(raw), path=path).collect()))
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    _without(spark, tmp_path, raw, "orders", orders.where("year(o_orderdate) <> 1997"))
+    write = tpch.write_partitioned
+    broken = F.raise_error(F.lit("disk gone")).cast("bigint")
+
+    def fails(df, to, roles, **kw):
+        return write(df.withColumn("num_schools", broken) if to == path else df, to, roles, **kw)
+
+    monkeypatch.setattr(tpch, "write_partitioned", fails)
+    for attempt in (lambda: tpch.refresh_periods(spark, str(raw), path, years=[1997, 1995]), lambda: tpch.store_stats(spark, str(raw), path=path)):
+        with pytest.raises(Exception, match="disk gone"):
+            attempt()
+        assert sorted(map(repr, read_partitioned(spark, path).collect())) == before
+    monkeypatch.undo()
+    tpch._MATERIALISED.clear()
+    assert _same(spark, raw, stats_table(spark, str(raw), path=path))  # not taken for current
+
+
+def test_ranks_of_many_members_are_spread(spark, capsys):
+    n = 300_000
+    rows = spark.range(n).selectExpr(
+        "if(id < 200, '1999/00', '2000/01') as time_period", "'Local authority' as geographic_level", "concat('a', id) as la_name",
+        "'Total' as school_type", "cast(if(id % 3 = 0, 5.0, id * 7919 % 100003 / 10.0) as double) as sess_overall_percent",
+    )
+    columns = "time_period string, geographic_level string, la_name string, school_type string, sess_overall_percent double"
+    national = spark.createDataFrame([(p, "National", None, "Total", 1.0) for p in ("1999/00", "2000/01")], columns)
+    ranked = op.rank_cells(rows, "la_name", "time_period", "sess_overall_percent")
+    ranked.explain("formatted")
+    window = capsys.readouterr().out
+    assert "row_number" not in window  # no window over the members; sums of counts only
+    got = ranked.select("time_period", "la_name", "rank").collect()
+    members = sorted((r.time_period, r.sess_overall_percent, r.la_name) for r in rows.collect())
+    want, last = {}, None
+    for period, _, name in members:
+        last = (period, last[1] + 1) if last and last[0] == period else (period, 1)
+        want[period, name] = last[1]
+    assert {(r.time_period, r.la_name): r.rank for r in got} == want and len(got) == n
+    whole = rows.where("cast(substr(la_name, 2) as int) < 400").unionByName(national)
+    ranks = op.rank_matrix(whole, level="Local authority").collect()
+    assert len(ranks) == 800 and {r["rank"] for r in ranks} == set(range(1, 401))
+
+
+def test_partitions_of_the_grouped_order_are_even(spark):
+    from tierstat.functions.ordering import _sorted_places
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(200_000).selectExpr("if(id % 10 = 0, 'p1', 'p2') as p", "id * 7919 % 1000003 as v")
+        sizes = sorted(r["count"] for r in _sorted_places(rows, ["p", "v"]).groupBy("_ts_part").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_a_grid_of_many_periods(spark, capsys):
+    n = 200_000
+    columns = "time_period string, geographic_level string, region_name string, school_type string, sess_overall_percent double"
+    national = spark.range(n).selectExpr("concat('p', id) as time_period", "'National' as geographic_level", "cast(null as string) as region_name", "'Total' as school_type", "1.0D as sess_overall_percent")
+    regional = spark.createDataFrame([("p7", "Regional", "a", "Total", 2.5), ("p9", "Regional", "b", "Total", 3.5), ("q", "Regional", "b", "Total", 9.0)], columns)
+    grid = op.rate_matrix(national.unionByName(regional))
+    grid.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "collect_set" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    row = grid.agg(F.count(F.lit(1)), F.sum("sess_overall_percent"), F.count_distinct("time_period")).first()
+    assert tuple(row) == (2 * n, 6.0, n)

@@ -53,6 +53,19 @@ def with_sides(df: DataFrame, areas: list[str], period: str, roles: Roles = DEFA
     return rows.select(F.explode(side_numbers(areas, roles)).alias("side"), *df.columns)
 
 
+def side_sums(
+    df: DataFrame, measures: list[str], areas: str | list[str], period: str, by: str | list[str] | None = None, roles: Roles = DEFAULT
+) -> tuple[DataFrame, list[str]]:
+    """The sums of :func:`compare_sum` in no order, and their key columns."""
+    areas = _as_list(areas)
+    keys = [roles.area] if by is None else _as_list(by)
+    if roles.area not in keys:
+        keys = [roles.area, *keys]
+    # Summed in each task before the shuffle: what moves is one row per task, side and key.
+    sums = with_sides(df, areas, period, roles).groupBy("side", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return sums, ["side", *keys]
+
+
 def compare_sum(
     df: DataFrame,
     measures: list[str],
@@ -66,17 +79,8 @@ def compare_sum(
     ``by`` defaults to the area column; ``school_type`` gives one row per
     category.  Output: ``side, <by...>, <measures...>`` ordered by side.
     """
-    areas = _as_list(areas)
-    keys = [roles.area] if by is None else _as_list(by)
-    if roles.area not in keys:
-        keys = [roles.area, *keys]
-    # Summed in each task before the shuffle: what moves is one row per task, side and key.
-    return (
-        with_sides(df, areas, period, roles)
-        .groupBy("side", *keys)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .orderBy("side", *keys)
-    )
+    sums, keys = side_sums(df, measures, areas, period, by, roles)
+    return sums.orderBy(*keys)
 
 
 def compare_enrolment(df: DataFrame, areas: str | list[str], period: str, roles: Roles = DEFAULT) -> DataFrame:

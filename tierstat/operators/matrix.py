@@ -1,9 +1,9 @@
 """Dense grids: region x period rates (O37) and category x region rates.
 
 A grid cell missing from the data is filled (0 by default, as in the source
-application).  The long form stays lazy and has no bound: the column members
-are one array from a scalar subquery, each distinct row key is exploded over
-it into marker rows, and markers and cells meet in one aggregate (no join).
+application).  The long form stays lazy and has no bound: the distinct row keys
+meet the distinct column members, which stay a table, by an equality join on a block number,
+and these marker rows and the cells meet in one aggregate.
 The wide form needs its column names when the query is built: a member list
 brought to the driver under the ``pivotMaxValues`` bound.  Of two cells for
 one key the larger value is taken.
@@ -11,7 +11,7 @@ one key the larger value is taken.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierstat.operators.members import collect_members
@@ -65,28 +65,39 @@ def pivot_grid(
     return wide.select(row_key, *[v.cast(kind).alias(str(n)) for v, n in zip(values, columns)])
 
 
-def long_grid(
-    cells: DataFrame, row_key: str, col_key: str, value: str, columns: Column, fill: float | None, rows: DataFrame
-) -> DataFrame:
-    """``row_key, col_key, value`` for every pair of a row of ``rows`` and a member of the array ``columns``."""
+BLOCKS = 16  # that column members are dealt over in the long grid
+
+
+def grid_cells(cells: DataFrame, row_key: str, col_key: str, value: str, columns: DataFrame, rows: DataFrame) -> DataFrame:
+    """``row_key, col_key, value`` for every pair of a row of ``rows`` and a member of ``columns``; null where no cell is.
+
+    Row keys are copied to every block, a column member is in one.  Spark broadcasts the members only
+    if their table is known to be small; otherwise both sides are shuffled by block, and AQE splits blocks that grow large.
+    """
     kinds = dict(cells.dtypes)
-    marks = rows.select(row_key).distinct().select(
-        row_key,
-        F.explode(columns.cast(f"array<{kinds[col_key]}>")).alias(col_key),
-        F.lit(None).cast(kinds[value]).alias(value),
-        F.lit(1).alias("_cell"),
-    )
+    member = columns.select(F.col(columns.columns[0]).cast(kinds[col_key]).alias(col_key)).where(F.col(col_key).isNotNull()).distinct()
+    member = member.withColumn("_block", F.pmod(F.xxhash64(col_key), F.lit(BLOCKS)))
+    keys = rows.select(row_key).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(BLOCKS - 1).cast("bigint"))))
+    marks = keys.join(member, "_block").select(row_key, col_key, F.lit(None).cast(kinds[value]).alias(value), F.lit(1).alias("_cell"))
     both = cells.select(row_key, col_key, value, F.lit(0).alias("_cell")).unionByName(marks)
     grid = both.groupBy(row_key, col_key).agg(F.max(value).cast("double").alias(value), F.max("_cell").alias("_cell"))
-    grid = grid.where(F.col("_cell") == 1).drop("_cell")
+    return grid.where(F.col("_cell") == 1).drop("_cell")
+
+
+def long_grid(
+    cells: DataFrame, row_key: str, col_key: str, value: str, columns: DataFrame, fill: float | None, rows: DataFrame
+) -> DataFrame:
+    """:func:`grid_cells` with missing cells filled (``None``: left out)."""
+    grid = grid_cells(cells, row_key, col_key, value, columns, rows)
     return grid.where(F.col(value).isNotNull()) if fill is None else grid.fillna({value: float(fill)})
 
 
-def member_array(df: DataFrame, column: str, given: list | None = None) -> Column:
-    """The distinct members of ``column`` (or the ``given`` ones) as one array: a scalar subquery, no job of its own."""
+def member_table(df: DataFrame, column: str, given: list | None = None) -> DataFrame:
+    """The members of ``column`` (or the ``given`` ones) as a table of one column, repeats included."""
     if given is not None:
-        return F.array(*[F.lit(m) for m in given]).cast(f"array<{dict(df.dtypes)[column]}>")
-    return df.agg(F.collect_set(column)).scalar()
+        kind = df.schema[column].dataType.simpleString()
+        return df.sparkSession.createDataFrame([(m,) for m in given], f"`{column}` {kind}")
+    return df.select(column)
 
 
 # ---- region x period ---------------------------------------------------------
@@ -128,7 +139,7 @@ def rate_matrix(
     level = level or roles.regional
     name = roles.level_column(level)
     cells = rate_cells(df, roles, level)
-    columns = member_array(df.where(F.col(roles.level) == roles.national), roles.period, periods)
+    columns = member_table(df.where(F.col(roles.level) == roles.national), roles.period, periods)
     return long_grid(cells, name, roles.period, roles.rate, columns, fill, cells)
 
 
@@ -184,6 +195,15 @@ def type_region_matrix_wide(
     return pivot_grid(cells, roles.category, roles.region, roles.rate, regions, fill, rows=rows, ordered=True)
 
 
+def type_region_cells(
+    df: DataFrame, period: str, roles: Roles = DEFAULT, regions: list[str] | None = None, categories: list[str] | None = None
+) -> DataFrame:
+    """``category, region, rate`` for every cell of O42's grid, null where the data has none."""
+    cells = _type_cells(df, period, roles)
+    columns = member_table(cells, roles.region, regions)
+    return grid_cells(cells, roles.category, roles.region, roles.rate, columns, _type_rows(df, roles, categories))
+
+
 def type_region_matrix(
     df: DataFrame,
     period: str,
@@ -193,6 +213,5 @@ def type_region_matrix(
     categories: list[str] | None = None,
 ) -> DataFrame:
     """O42 in long form: ``category, region, rate`` for every cell."""
-    cells = _type_cells(df, period, roles)
-    columns = member_array(cells, roles.region, regions)
-    return long_grid(cells, roles.category, roles.region, roles.rate, columns, fill, _type_rows(df, roles, categories))
+    grid = type_region_cells(df, period, roles, regions, categories)
+    return grid.where(F.col(roles.rate).isNotNull()) if fill is None else grid.fillna({roles.rate: float(fill)})

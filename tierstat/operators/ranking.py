@@ -1,9 +1,8 @@
 """Ranks per period and the final ranking by mean rank.
 
 Ranks are numeric (the lowest rate ranks 1), with no shared ranks: ties go
-to the name in ascending order.  Ranking a period touches only that period's
-cells (one per member), and the final order is computed on one row per
-member without sending the rows to a single task.
+to the name in ascending order.  Regions, a handful, are ranked by a window per period; members of
+any other level, and the final order, are ranked by range partitions, so that no task holds all of them.
 """
 
 from __future__ import annotations
@@ -11,22 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierstat.functions.ordering import global_row_number
+from tierstat.functions.ordering import global_row_number, grouped_row_number
 from tierstat.operators.matrix import national_periods, pivot_grid, rate_matrix
 from tierstat.roles import DEFAULT, Roles
 
 RANKING_COLUMN = "rank (best -> worst)"  # fixed value: the source's column title
 
 
-def rank_cells(grid: DataFrame, name: str, period: str, value: str, rank: str = "rank") -> DataFrame:
+def rank_cells(grid: DataFrame, name: str, period: str, value: str, rank: str = "rank", many: bool = True) -> DataFrame:
     """Rank ``name`` within each ``period`` by ``value`` ascending, ties by name.
 
-    The window holds one grid cell per member for one period, so its size is
-    the member count of the ranked level (regions, areas), whatever the
-    volume of the underlying data.
+    ``many``: the members of a period are spread over tasks (:func:`grouped_row_number`, which checkpoints the
+    grid), whatever their number.  Without it a window holds all members of a period in one task; for levels of few members.
     """
-    order = Window.partitionBy(period).orderBy(F.col(value).asc(), F.col(name).asc())
-    return grid.where(F.col(value).isNotNull()).withColumn(rank, F.row_number().over(order).cast("bigint"))
+    known = grid.where(F.col(value).isNotNull())
+    order = [F.col(value).asc(), F.col(name).asc()]
+    if many:
+        return grouped_row_number(known, [period], order, rank)
+    return known.withColumn(rank, F.row_number().over(Window.partitionBy(period).orderBy(*order)).cast("bigint"))
 
 
 def rank_matrix(
@@ -42,7 +43,8 @@ def rank_matrix(
     """
     level = level or roles.regional
     name = roles.level_column(level)
-    return rank_cells(rate_matrix(df, roles, fill, level, periods), name, roles.period, roles.rate)
+    grid = rate_matrix(df, roles, fill, level, periods)
+    return rank_cells(grid, name, roles.period, roles.rate, many=level != roles.regional)
 
 
 def rank_matrix_wide(

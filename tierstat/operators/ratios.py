@@ -9,12 +9,12 @@ from tierstat.functions.columns import percent
 from tierstat.operators.compare import (
     compare_authorised,
     compare_enrolment,
-    compare_school_types,
     compare_sessions,
     compare_sessions_wide,
     compare_unauthorised,
+    side_sums,
 )
-from tierstat.roles import AUTH_PREFIX, AUTH_TOTAL, DEFAULT, UNAUTH_TOTAL, Roles
+from tierstat.roles import AUTH_PREFIX, AUTH_TOTAL, DEFAULT, SCHOOL_MEASURES, UNAUTH_TOTAL, Roles
 
 
 # The older interface's shares of possible sessions.
@@ -65,7 +65,7 @@ def school_type_share(df: DataFrame, areas: str | list[str], period: str, roles:
     The area total is a window sum over the side's few category rows, so
     nothing goes to the driver and back.
     """
-    per_type = compare_school_types(df, areas, period, roles)
+    per_type, _ = side_sums(df, SCHOOL_MEASURES, areas, period, roles.category, roles)
     area_total = F.sum("num_schools").over(Window.partitionBy("side", roles.area))
     return per_type.withColumn("num_schools_percent", percent(F.col("num_schools"), area_total)).orderBy(
         "side", roles.area, roles.category

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstat.operators.matrix import rate_by_type_region, type_region_matrix, type_region_matrix_wide
+from tierstat.operators.matrix import rate_by_type_region, type_region_cells, type_region_matrix_wide
 from tierstat.operators.members import members_school_type
 from tierstat.roles import DEFAULT, Roles
 
@@ -28,15 +28,17 @@ def absence_location_school(
     regions: list[str] | None = None,
     categories: list[str] | None = None,
 ) -> AbsenceLocation:
-    long = type_region_matrix(df, period, roles, fill, regions, categories)
-    seen = type_region_matrix(df, period, roles, None, regions, categories)
-    seen = seen.select(F.col(roles.category).alias("_c"), F.col(roles.region).alias("_r"))
-    same = F.col(roles.category).eqNullSafe(F.col("_c")) & F.col(roles.region).eqNullSafe(F.col("_r"))
-    known = F.col("_r").isNotNull().cast("int").alias("known")
+    # One aggregate gives the filled grid and which of its cells the data has.
+    cells = type_region_cells(df, period, roles, regions, categories)
+    rate = F.col(roles.rate)
+    filled = rate if fill is None else F.coalesce(rate, F.lit(float(fill)))
+    table = cells.select(roles.category, roles.region, filled.alias(roles.rate), rate.isNotNull().cast("int").alias("known"))
+    if fill is None:
+        table = table.where("known = 1")
     return AbsenceLocation(
         members_school_type(df, roles),
         rate_by_type_region(df, period, roles),
         type_region_matrix_wide(df, period, roles, fill, regions, categories),
-        long,
-        long.join(seen, same, "left").select(roles.category, roles.region, roles.rate, known),
+        table.drop("known"),
+        table,
     )

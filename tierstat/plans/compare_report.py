@@ -12,19 +12,18 @@ Output ``section, side, la_name, metric, value, percent``:
   reason's share of the total
 
 One filtered scan.  The rows of the two areas are summed per side and
-category in each task, then across tasks; the area totals are window sums over these few
-rows; ``inline`` turns each category row into its metrics, and the first
-category row of each side also carries the area's sections.
+category and per side in one grouping-sets aggregate, in each task and then across tasks;
+``inline`` turns the side's row into its sections and each category row into its share of the schools.  Expressions are
+given as SQL text, parsed at once: building the query takes less time than from single columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstat.functions.columns import percent
 from tierstat.operators.compare import with_sides
-from tierstat.operators.ratios import SESSION_SHARES, session_parts
+from tierstat.operators.ratios import SESSION_SHARES
 from tierstat.roles import (
     AUTH_REASONS,
     AUTH_TOTAL,
@@ -50,27 +49,30 @@ _MEASURES = [
 ]
 
 
-def _entry(section: str, metric: Column, value: Column, denom: Column | None) -> Column:
-    """One row of the report; ``percent`` is the value's share of ``denom``."""
-    share = F.lit(None) if denom is None else percent(value, denom)
-    return F.struct(
-        F.lit(section).alias("section"), metric.alias("metric"), value.cast("bigint").alias("value"), share.cast("double").alias("percent")
-    )
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
+def _entry(section: str, metric: str, value: str, denom: str | None) -> str:
+    """One row of the report as SQL text; ``percent`` is the value's share of ``denom``."""
+    share = "cast(null as double)" if denom is None else f"cast(round(try_divide({value}, {denom}) * 100, 3) as double)"
+    return f"named_struct('section', '{section}', 'metric', {metric}, 'value', cast({value} as bigint), 'percent', {share})"
 
-def _area_entries() -> list[Column]:
+
+def _area_entries() -> list[str]:
     """The sections that an area has once."""
     out = [
-        _entry("enrolment", F.lit("enrolments"), F.col("enrolments"), None),
-        _entry("enrolment", F.lit("enrolments_pa_10_exact"), F.col("enrolments_pa_10_exact"), F.col("enrolments")),
-        _entry("sessions", F.lit("sess_possible"), F.col("sess_possible"), None),
+        _entry("enrolment", "'enrolments'", "enrolments", None),
+        _entry("enrolment", "'enrolments_pa_10_exact'", "enrolments_pa_10_exact", "enrolments"),
+        _entry("sessions", "'sess_possible'", "sess_possible", None),
+        _entry("sessions", "'sess_normal'", "(sess_possible - sess_overall)", "sess_possible"),
+        _entry("sessions", "'sess_overall_exc_pa'", "(sess_overall - sess_overall_pa_10_exact)", "sess_possible"),
+        _entry("sessions", "'sess_overall_pa_10_exact'", "sess_overall_pa_10_exact", "sess_possible"),
     ]
-    parts = {**session_parts(), "sess_overall_pa_10_exact": F.col("sess_overall_pa_10_exact")}
-    out += [_entry("sessions", F.lit(name), value, F.col("sess_possible")) for name, value in parts.items()]
-    out += [_entry("session_shares", F.lit(m), F.col(m), F.col("sess_possible")) for m in SESSION_SHARES]
+    out += [_entry("session_shares", f"'{m}'", m, "sess_possible") for m in SESSION_SHARES]
     for section, reasons, total in (("authorised", AUTH_REASONS, AUTH_TOTAL), ("unauthorised", UNAUTH_REASONS, UNAUTH_TOTAL)):
-        out += [_entry(section, F.lit(r), F.col(r), F.col(total)) for r in reasons]
-        out.append(_entry(section, F.lit(total), F.col(total), None))
+        out += [_entry(section, f"'{r}'", r, total) for r in reasons]
+        out.append(_entry(section, f"'{total}'", total, None))
     return out
 
 
@@ -78,27 +80,17 @@ def compare_report(
     df: DataFrame, first: str, second: str, period: str, roles: Roles = DEFAULT
 ) -> DataFrame:
     """Compare two areas in ``period``, the first area first (the same area twice gives two equal sides)."""
-    # Summed per category in each task before the shuffle; the window and the
-    # order below see one row per side and category.
-    per_type = (
-        with_sides(df, [first, second], period, roles)
-        .groupBy("side", roles.area, roles.category)
-        .agg(*[F.sum(m).alias(m) for m in _MEASURES])
-    )
-    area = Window.partitionBy("side", roles.area)
-    area_totals = per_type.select(
-        "side",
-        roles.area,
-        roles.category,
-        *[F.sum(m).over(area).alias(m) for m in _MEASURES],
-        F.col("num_schools").alias("_type_schools"),
-        F.row_number().over(area.orderBy(roles.category)).alias("_first"),
+    area, category = _quoted(roles.area), _quoted(roles.category)
+    # Sums per category and per area in one aggregate, partial in each task before the shuffle.
+    sums = with_sides(df, [first, second], period, roles).groupingSets(
+        [["side", roles.area], ["side", roles.area, roles.category]], "side", roles.area, roles.category
     )
-    schools = F.array(_entry("school_type", F.col(roles.category), F.col("_type_schools"), F.col("num_schools")))
-    entries = F.when(F.col("_first") == 1, F.concat(schools, F.array(*_area_entries()))).otherwise(schools)
-    section = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section"))
-    return (
-        area_totals.select("side", roles.area, F.inline(entries))
-        .select("section", "side", roles.area, "metric", "value", "percent")
-        .orderBy("side", section, "metric")
+    sums = sums.agg(*[F.expr(f"sum({m}) as {m}") for m in _MEASURES], F.expr(f"grouping({category}) as _whole"))
+    schools = f"max(if(_whole = 1, num_schools, null)) over (partition by side, {area}) as _schools"
+    entries = (
+        f"inline(if(_whole = 1, array({', '.join(_area_entries())}), "
+        f"array({_entry('school_type', category, 'num_schools', '_schools')})))"
     )
+    section = f"array_position(array({', '.join(repr(s) for s in SECTIONS)}), section)"
+    report = sums.selectExpr("*", schools).selectExpr("side", area, entries)
+    return report.selectExpr("section", "side", area, "metric", "value", "percent").orderBy("side", F.expr(section), "metric")

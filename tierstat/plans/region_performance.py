@@ -42,7 +42,8 @@ class RegionPerformance:
         """
         checkpoint_root(self._df.sparkSession)
         grid = rate_matrix(self._df, self._roles, self._fill, self._level, self._periods)
-        return rank_cells(grid, self.name, self._roles.period, self._roles.rate).checkpoint(eager=True)
+        many = self._level != self._roles.regional
+        return rank_cells(grid, self.name, self._roles.period, self._roles.rate, many=many).checkpoint(eager=True)
 
     @cached_property
     def ranking(self) -> DataFrame:

@@ -125,6 +125,13 @@ def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     return summary.getLength(), summary.getFileCount(), store.getFileStatus(jvm_path).getModificationTime()
 
 
+def drop_folder(spark: SparkSession, path: str, values: dict[str, str]) -> None:
+    """Delete the folder ``column=value/...`` of a table partitioned by the columns of ``values``, with its files."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}={escape(v)}" for c, v in values.items()]]))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def is_streamed(spark: SparkSession, path: str) -> bool:
     """Whether a streaming ingest writes the table at ``path``."""
     return path_exists(spark, path.rstrip("/") + "/_spark_metadata")
@@ -135,9 +142,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS") or is_streamed(spark, path)
 
 
-def read_partitioned(spark: SparkSession, path: str, roles: Roles = DEFAULT) -> DataFrame:
-    """Read a table stored by :func:`write_partitioned`, its folder columns first and as text."""
-    found = spark.read.parquet(path).schema
+def read_partitioned(spark: SparkSession, path: str, roles: Roles = DEFAULT, schema: StructType | None = None) -> DataFrame:
+    """Read a table stored by :func:`write_partitioned`, its folder columns first and as text (``schema``: if it may be empty)."""
+    found = schema or spark.read.parquet(path).schema
     first = [c for c in (roles.period, roles.level) if c in found.names]
     # Folder names would otherwise be read as numbers or dates where they look like them.
     fixed = StructType([StructField(f.name, StringType() if f.name in first else f.dataType) for f in found])

@@ -36,6 +36,7 @@ anywhere.
 from __future__ import annotations
 
 import hashlib
+import json
 from functools import reduce
 from operator import or_
 
@@ -45,6 +46,7 @@ from pyspark.sql import functions as F
 from tierstat.roles import AUTH_REASONS, DEFAULT, UNAUTH_REASONS, Roles
 from tierstat.session import app_id, scratch_path
 from tierstat.sources.table import (
+    drop_folder,
     path_exists,
     path_state,
     period_label,
@@ -98,6 +100,19 @@ def _line_measures(lineitem: DataFrame) -> list[Column]:
     return [F.sum(out[m]).alias(m) for m in _LINE_MEASURES]
 
 
+# The columns that the line measures read.
+_LINE_COLUMNS = ["l_quantity", "l_discount", "l_returnflag", "l_partkey", "l_suppkey"]
+
+
+def _orders_of(orders: DataFrame, years: list[int] | None) -> DataFrame:
+    """The orders of ``years`` (None: all); ranges of the raw date reach the scan."""
+    if years is None:
+        return orders
+    day = F.col("o_orderdate")
+    spans = [(day >= F.lit(f"{y}-01-01").cast("date")) & (day < F.lit(f"{y + 1}-01-01").cast("date")) for y in years]
+    return orders.where(reduce(or_, spans, F.lit(False)))
+
+
 def school_rows(
     tables: dict[str, DataFrame], roles: Roles = DEFAULT, years: list[int] | None = None
 ) -> DataFrame:
@@ -107,12 +122,7 @@ def school_rows(
     first and lineitem is reduced to their lines by a semi-join, so a yearly
     refresh does not aggregate the whole history.
     """
-    orders = tables["orders"]
-    if years is not None:  # ranges of the raw date reach the scan
-        day = F.col("o_orderdate")
-        spans = [(day >= F.lit(f"{y}-01-01").cast("date")) & (day < F.lit(f"{y + 1}-01-01").cast("date")) for y in years]
-        orders = orders.where(reduce(or_, spans, F.lit(False)))
-    orders = orders.select(
+    orders = _orders_of(tables["orders"], years).select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_custkey",
         F.year("o_orderdate").alias("_year"),
@@ -245,18 +255,47 @@ def inputs_mark(spark: SparkSession, sf_dir: str, roles: Roles = DEFAULT) -> str
     return hashlib.sha256(repr((sf_dir.rstrip("/"), repr(roles), state)).encode()).hexdigest()
 
 
-def _mark_path(path: str) -> str:
-    return path.rstrip("/") + "/_inputs"
+def year_marks(tables: dict[str, DataFrame], years: list[int] | None = None) -> dict[int, str]:
+    """For each order year (or those of ``years``), counts and hash sums of its orders and lines and of the dimension tables.
+
+    Equal marks mean that the year's rows of the stored table are still right.  One row per year comes to the driver.
+    """
+
+    def summed(df: DataFrame, columns: list[str]) -> list[Column]:
+        return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("h")]
+
+    dimensions = [tuple(tables[t].agg(*summed(tables[t], sorted(tables[t].columns))).first()) for t in ("customer", "nation", "region")]
+    orders = _orders_of(tables["orders"], years).withColumn("_year", F.year("o_orderdate"))
+    lines = tables["lineitem"]
+    if years is not None:
+        lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    lines = lines.groupBy("l_orderkey").agg(*summed(lines, _LINE_COLUMNS))
+    own = F.xxhash64("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus").cast("decimal(38,0)")
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("_year").agg(
+        F.count(F.lit(1)), F.sum(own), F.sum("n"), F.sum("h")
+    )
+    return {r[0]: hashlib.sha256(repr((dimensions, tuple(r)[1:])).encode()).hexdigest() for r in rows.collect() if r[0] is not None}
+
+
+def _state_path(path: str) -> str:
+    return path.rstrip("/") + "/_inputs/state"
+
 
+def _stored_state(spark: SparkSession, path: str) -> dict:
+    """What the table at ``path`` was made from: source, mark of all inputs, mark of each year; empty if unknown."""
+    if not path_exists(spark, _state_path(path)):
+        return {}
+    line = spark.read.schema("value string").text(_state_path(path)).first()
+    return json.loads(line[0]) if line else {}
 
-def _stored_mark(spark: SparkSession, path: str) -> str | None:
-    if not path_exists(spark, _mark_path(path)):
-        return None
-    return spark.read.schema("value string").text(_mark_path(path) + "/mark").first()[0]
 
+def _store_state(spark: SparkSession, path: str, source: str, mark: str | None, years: dict[int, str]) -> None:
+    state = json.dumps({"source": source, "mark": mark, "years": {str(y): m for y, m in sorted(years.items())}})
+    spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(_state_path(path))
 
-def _store_mark(spark: SparkSession, path: str, mark: str) -> None:
-    spark.createDataFrame([(mark,)], "value string").coalesce(1).write.mode("overwrite").text(_mark_path(path) + "/mark")
+
+def _source(sf_dir: str, roles: Roles) -> str:
+    return hashlib.sha256(repr((sf_dir.rstrip("/"), repr(roles))).encode()).hexdigest()
 
 
 def store_stats(
@@ -265,16 +304,50 @@ def store_stats(
     """Build the multi-level table, write it, read it back.
 
     ``path`` names a shared location to keep it across applications; by
-    default a fresh folder under the shared checkpoint folder is used.  The
+    default a fresh folder under the shared checkpoint folder is used.  A table that is at ``path`` already
+    stays readable until the new one is complete, and stays as it was if the build fails.  The
     stored copy (Parquet partitioned by period and level) becomes the one
     :func:`stats_table` returns for ``sf_dir`` and ``path`` in this application.
     """
     mark = inputs_mark(spark, sf_dir, roles)
-    stats = multi_level(read_tables(spark, sf_dir), roles)
-    out = write_partitioned(stats, path or scratch_path(spark, "stats"), roles)
-    _store_mark(spark, out, mark)
+    tables = read_tables(spark, sf_dir)
+    if path is None:
+        out = write_partitioned(multi_level(tables, roles), scratch_path(spark, "stats"), roles)
+    else:
+        out, years = path, year_marks(tables)
+        stats = multi_level(tables, roles)
+        aside = write_partitioned(stats, scratch_path(spark, "stats"), roles)
+        _publish(spark, read_partitioned(spark, aside, roles, stats.schema), out, roles, None)
+        _store_state(spark, out, _source(sf_dir, roles), mark, years)
+    return _remember(spark, sf_dir, roles, path, mark, out)
+
+
+def _publish(spark: SparkSession, fresh: DataFrame, path: str, roles: Roles, periods: list[str] | None) -> None:
+    """Replace the folders of ``periods`` (None: all) at ``path`` by those of the finished table ``fresh``.
+
+    Spark moves new folders to their places only after all of them are written; folders of which the new
+    table has none go last, one by one.  What the state says of the inputs is taken back first, so a
+    table left half-way is never taken for a current one.
+    """
+    folders = [roles.period, roles.level]
+    gone: list[tuple[str, str]] = []
+    there = table_exists(spark, path)
+    if there:
+        state = _stored_state(spark, path)
+        kept = {int(y): m for y, m in state.get("years", {}).items() if periods is not None and _period_name(int(y)) not in periods}
+        _store_state(spark, path, state.get("source", ""), None, kept)
+        old = read_partitioned(spark, path, roles)
+        old = old if periods is None else old.where(F.col(roles.period).isin(periods))
+        stale = old.select(*folders).distinct().join(fresh.select(*folders).distinct(), folders, "left_anti")
+        gone = [tuple(r) for r in stale.collect()]  # folder names only
+    write_partitioned(fresh, path, roles, dynamic=there)
+    for period, level in gone:
+        drop_folder(spark, path, {roles.period: period, roles.level: level})
+
+
+def _remember(spark: SparkSession, sf_dir: str, roles: Roles, path: str | None, mark: str, out: str) -> DataFrame:
     # Reusing one DataFrame keeps its file listing: later queries skip it.
-    stored = read_partitioned(spark, out, roles).select(*stats.columns)
+    stored = read_partitioned(spark, out, roles)
     _MATERIALISED[_key(spark, sf_dir, roles, path)] = (mark, out, stored)
     return stored
 
@@ -297,7 +370,8 @@ def stats_table(
     level and name filters into the scan, and the lineage to the raw tables
     is cut.  A stored copy is used as long as the input files are those it
     was made from, and built again when they have changed.  With ``path``, the copy is kept there, also for
-    later applications; a table there that was made from another folder, or not by
+    later applications, and when files of the same folder have changed only the years whose orders, lines or
+    dimensions differ are built again.  A table there that was made from another folder, or not by
     this function, is an error and is not overwritten.  Without
     ``materialise``, the lazy plan over the raw tables is returned.
     """
@@ -307,14 +381,26 @@ def stats_table(
     known = _MATERIALISED.get(_key(spark, sf_dir, roles, path))
     if known is not None and known[0] == mark and table_exists(spark, known[1]):  # still there (not cleaned up since)
         return known[2]
-    if path is not None and table_exists(spark, path):
-        if _stored_mark(spark, path) == mark:
-            stored = read_partitioned(spark, path, roles)
-            _MATERIALISED[_key(spark, sf_dir, roles, path)] = (mark, path, stored)
-            return stored
-        if known is None:
-            raise ValueError(f"{path} holds a table of other inputs; store_stats() there replaces it")
-    return store_stats(spark, sf_dir, roles, path)
+    if path is None or not table_exists(spark, path):
+        return store_stats(spark, sf_dir, roles, path)
+    state = _stored_state(spark, path)
+    if state.get("source") != _source(sf_dir, roles):
+        raise ValueError(f"{path} holds a table of other inputs; store_stats() there replaces it")
+    if state["mark"] != mark:
+        now, then = year_marks(read_tables(spark, sf_dir)), {int(y): m for y, m in state["years"].items()}
+        changed = sorted(y for y in {*now, *then} if now.get(y) != then.get(y))
+        held = read_partitioned(spark, path, roles).select(roles.period).distinct().collect()  # folder names only
+        changed = sorted({*changed, *[int(r[0][:4]) for r in held if int(r[0][:4]) not in now]})
+        if changed:
+            _rebuild(spark, sf_dir, path, changed, roles)
+        _store_state(spark, path, _source(sf_dir, roles), mark, now)
+    return _remember(spark, sf_dir, roles, path, mark, path)
+
+
+def _rebuild(spark: SparkSession, sf_dir: str, path: str, years: list[int], roles: Roles) -> None:
+    fresh = multi_level(read_tables(spark, sf_dir), roles, years)
+    aside = write_partitioned(fresh, scratch_path(spark, "refreshed"), roles)  # built once; its folders are known from their names
+    _publish(spark, read_partitioned(spark, aside, roles, fresh.schema), path, roles, [_period_name(y) for y in years])
 
 
 def refresh_periods(
@@ -323,29 +409,17 @@ def refresh_periods(
     """Rebuild only the periods of ``years`` in the table stored at ``path``.
 
     A period's rows depend only on that year's orders and their lines, so
-    the new rows are built from those alone and written with dynamic
-    partition overwrite: the folders of these periods are replaced, every
-    other period's files stay as they are.  If a (period, level) has lost all
-    its rows, its folder must go, which a dynamic overwrite cannot do: the whole
-    table is then written anew, from the kept periods and the new rows.
+    the new rows are built from those alone and replace the folders of these periods; every
+    other period's files stay as they are, and a (period, level) that has lost all
+    its rows loses its folder.  Only the marks of ``years`` are renewed: if the
+    inputs changed in other years too, the next :func:`stats_table` finds and rebuilds these.
     """
-    mark = inputs_mark(spark, sf_dir, roles)
-    fresh = multi_level(read_tables(spark, sf_dir), roles, years)
-    old = read_partitioned(spark, path, roles)
-    periods = [_period_name(y) for y in years]
-    folders = [roles.period, roles.level]
-    stale = old.where(F.col(roles.period).isin(periods)).select(*folders).distinct()
-    emptied = stale.join(fresh.select(*folders).distinct(), folders, "left_anti")
-    if emptied.limit(1).count():
-        kept = old.where(~F.col(roles.period).isin(periods)).select(*fresh.columns)
-        aside = write_partitioned(kept.unionByName(fresh), scratch_path(spark, "refreshed"), roles)
-        write_partitioned(read_partitioned(spark, aside, roles).select(*fresh.columns), path, roles)
-    else:
-        write_partitioned(fresh, path, roles, dynamic=True)
-    _store_mark(spark, path, mark)
-    stored = read_partitioned(spark, path, roles)
-    _MATERIALISED[_key(spark, sf_dir, roles, path)] = (mark, path, stored)
-    return stored
+    marks = year_marks(read_tables(spark, sf_dir), years)
+    _rebuild(spark, sf_dir, path, years, roles)
+    then = {int(y): m for y, m in _stored_state(spark, path)["years"].items()}
+    _store_state(spark, path, _source(sf_dir, roles), None, {**then, **marks})
+    _MATERIALISED.pop(_key(spark, sf_dir, roles, path), None)
+    return read_partitioned(spark, path, roles)
 
 
 def _period_name(year: int) -> str:
