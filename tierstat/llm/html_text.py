@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import html as html_module
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,35 +40,45 @@ ship(__name__)
 # Element names of the HTML standard, by the role they have here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset(
-    "head title script style noscript template iframe object svg math canvas audio video map "
+    "head title script style noscript template iframe object svg canvas audio video map "
     "select option optgroup datalist textarea button input nav menu aside footer form dialog".split()
 )
 RAW = frozenset("script style textarea title noscript iframe template".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
-)
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split()
 )
+# What begins and ends a block of text; every other element, an unknown one too, stands in the line.
+BLOCKS = CLOSES_P | frozenset(
+    "html head body title li dt dd tr td th thead tbody tfoot caption legend summary hgroup search dialog center dir option optgroup".split()
+)
+DEEPEST = 512  # levels of the tree; what is nested deeper is put there, as browsers do
 TAGS = (
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tr td th "
     "blockquote pre figure figcaption header footer nav aside form a b strong em i span br img hr code address details".split()
 )
 _TAG_ID = {t: i + 1 for i, t in enumerate(TAGS)}
 # Words of class and id attributes.
-GOOD_WORDS = frozenset("article body content entry main post story text".split())
+GOOD_WORDS = frozenset("article body caption content entry main post story text".split())
 BAD_WORDS = frozenset(
-    "ad ads adv advert advertisement banner bar breadcrumb breadcrumbs byline comment comments consent cookie "
+    "ad ads alert adv advert advertisement banner bar breadcrumb breadcrumbs byline comment comments consent cookie "
     "cookies disqus dropdown foot footer form gdpr head header legal login masthead menu meta modal nav "
     "navbar navigation newsletter notice notices pager pagination popup promo promoted related reply replies search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar tracking widget".split()
 )
+# Of these, words that long running text may have too: they tell nothing then.
+WEAK_WORDS = frozenset("bar byline foot head header legal meta related share sharing skip social tags toolbar tracking widget".split())
+RUNNING = 80  # characters of an element's own text from which it is running text
 _BAD_LIST = sorted(BAD_WORDS)
 _WORD = re.compile(r"[a-z]+")
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# Attributes as the standard reads them: a quote opens a value only after "=", one that is not closed ends with the page.
+_VALUE = r"""(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>"'][^\s>]*+))?+)?+"""
+_ATTR = re.compile(rf"(=?[^\s/>=]++|=){_VALUE}")
+_NO_GROUPS = re.sub(r"(?<!\\)\((?!\?)", "(?:", _VALUE)
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|(?:=?[^\s/>=]++|=){_NO_GROUPS})*+)(?:>|\Z)", re.S
+)
+_SLASH = re.compile(r"(?:^|[\s\"'])/\s*$")
 
 # Features of an element, each one of a few values; the potential is the sum of their weights.
 WIDTHS = (len(TAGS) + 2, 4, 5, 4, 4, 3)
@@ -83,24 +94,33 @@ class Page:
     tags: list[str] = field(default_factory=lambda: ["#root"])
     parents: list[int] = field(default_factory=lambda: [-1])
     depths: list[int] = field(default_factory=lambda: [0])
-    hints: list[int] = field(default_factory=lambda: [0])
+    hints: list[int] = field(default_factory=lambda: [0])  # by :func:`_hint`
     never: list[bool] = field(default_factory=lambda: [False])
     # (element, text); element -1: a block ends, -2: a line break inside a block.
     pieces: list[tuple[int, str]] = field(default_factory=list)
 
 
-def _hint(attributes: str) -> int:
-    """0: nothing told, 1: good word, 2: bad word, 3: both."""
+def _hint(attributes: str) -> tuple[int, bool]:
+    """0: nothing told, 1: good word, 2: bad word, 3: both; and whether all bad words are weak."""
     words: set[str] = set()
-    for _, a, b, c in _ATTR.findall(attributes):
-        words.update(_WORD.findall((a or b or c).lower()))
-    return (1 if words & GOOD_WORDS else 0) + (2 if words & BAD_WORDS else 0)
+    for name, a, b, c in _ATTR.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            words.update(_WORD.findall((a or b or c).lower()))
+    bad = words & BAD_WORDS
+    return (1 if words & GOOD_WORDS else 0) + (2 if bad else 0), bad <= WEAK_WORDS
 
 
 def parse(source: str) -> Page:
     """Elements and text of ``source``; unclosed and stray tags are taken as browsers mostly do."""
     page, stack, at, n = Page(), [0], 0, len(source)
-    tags, pieces = page.tags, page.pieces
+    tags, pieces, opened = page.tags, page.pieces, Counter()
+    weak: list[int] = []
+
+    def close(depth: int) -> None:
+        for x in stack[depth:]:
+            opened[tags[x]] -= 1
+        del stack[depth:]
+
     while at < n:
         m = _TOKEN.search(source, at)
         if m is None:
@@ -113,52 +133,95 @@ def parse(source: str) -> Page:
             continue
         tag = m[2].lower()
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == tag:
-                    if any(tags[x] not in INLINE for x in stack[depth:]):
-                        pieces.append((-1, ""))
-                    del stack[depth:]
-                    break
+            if opened[tag] > 0:
+                depth = len(stack) - 1
+                while tags[stack[depth]] != tag:
+                    depth -= 1
+                if any(tags[x] in BLOCKS for x in stack[depth:]):
+                    pieces.append((-1, ""))
+                close(depth)
             continue
-        if tag not in INLINE:
+        if tag in BLOCKS:
             pieces.append((-1, ""))
-            _close_implied(tags, stack, tag)
+            _close_implied(tags, stack, tag, opened, close)
         elif tag == "br":
             pieces.append((-2, ""))
         parent = stack[-1]
+        if page.depths[parent] >= DEEPEST:
+            parent = page.parents[parent]
         own = len(tags)
         tags.append(tag)
         page.parents.append(parent)
         page.depths.append(page.depths[parent] + 1)
-        page.hints.append(_hint(m[3]) if "=" in m[3] else 0)
-        page.never.append(page.never[parent] or tag in NEVER)
+        hint, soft = _hint(m[3]) if "=" in m[3] else (0, False)
+        page.hints.append(hint)
+        if hint >= 2 and soft:
+            weak.append(own)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = end.end() if end else n
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+        elif tag not in VOID and not _SLASH.search(m[3]):
             stack.append(own)
+            opened[tag] += 1
     pieces.append((-1, ""))
+    _settle(page, weak)
     return page
 
 
-def _close_implied(tags: list[str], stack: list[int], tag: str) -> None:
+def _settle(page: Page, weak: list[int]) -> None:
+    """What the finished tree tells: which elements are never text, and which weak words stand at running text.
+
+    A form that holds the main element or most of the text is the page's frame, and only its labels and controls
+    go; the footer of a quotation names its source.
+    """
+    n, parents, tags = len(page.tags), page.parents, page.tags
+    own = [0] * n
+    for e, text in page.pieces:
+        if e >= 0:
+            own[e] += len(text.strip())
+    # Text of an element with the elements in its lines, and with everything inside it.
+    line, total, holds = own[:], own[:], [t in ("article", "main") for t in tags]
+    hidden = [t in NEVER and t != "form" for t in tags]
+    for e in range(1, n):
+        hidden[e] = hidden[e] or hidden[parents[e]]
+    for e in range(n - 1, 0, -1):
+        if hidden[e]:
+            continue
+        if tags[e] not in BLOCKS:
+            line[parents[e]] += line[e]
+        total[parents[e]] += total[e]
+        holds[parents[e]] = holds[parents[e]] or holds[e]
+    for e in weak:
+        if line[e] >= RUNNING:
+            page.hints[e] -= 2
+    frame, quoted, never = [False] * n, [False] * n, [False] * n
+    for e in range(1, n):
+        p, tag = parents[e], tags[e]
+        frame[e] = frame[p] or (tag == "form" and (holds[e] or total[e] * 2 > total[0]))
+        quoted[e] = quoted[p] or tag == "blockquote"
+        own_never = tag in NEVER and not (tag == "form" and frame[e]) and not (tag == "footer" and quoted[e])
+        never[e] = never[p] or own_never or (frame[e] and tag == "label")
+    page.never[:] = never
+
+
+def _close_implied(tags: list[str], stack: list[int], tag: str, opened: Counter, close: Callable[[int], None]) -> None:
     """Close what the start of block ``tag`` ends by itself."""
     ends = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
             "option": ("option",), "body": ("head",)}.get(tag, ())
     walls = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}.get(tag, ())
-    if tag in CLOSES_P:
+    if tag in CLOSES_P and opened["p"] > 0:
         for depth in range(len(stack) - 1, 0, -1):
             if tags[stack[depth]] == "p":
-                del stack[depth:]
+                close(depth)
                 break
-            if tags[stack[depth]] not in INLINE:
+            if tags[stack[depth]] in BLOCKS:
                 break
-    if ends:
+    if any(opened[x] > 0 for x in ends):
         for depth in range(len(stack) - 1, 0, -1):
             if tags[stack[depth]] in walls:
                 break
             if tags[stack[depth]] in ends:
-                del stack[depth:]
+                close(depth)
                 if tag != "tr":
                     break
 
@@ -401,14 +464,26 @@ def extract(sources: list[str], weights: Weights) -> list[str]:
     return texts
 
 
+def _portions(sources: list[str], pages: int = 64, characters: int = 1 << 20) -> Iterator[list[str]]:
+    """``sources`` in order, at most ``pages`` and, but for single long ones, ``characters`` at once."""
+    some: list[str] = []
+    for source in sources:
+        if some and (len(some) == pages or sum(map(len, some)) + len(source) > characters):
+            yield some
+            some = []
+        some.append(source)
+    if some:
+        yield some
+
+
 def _extractor(weights: Weights):
     @F.pandas_udf("string")
     def main_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for sources in batches:
             whole = [s or "" for s in sources]
             texts: list[str] = []
-            for at in range(0, len(whole), 64):  # few trees at once keep memory small
-                texts += extract(whole[at : at + 64], weights)
+            for some in _portions(whole):  # few trees at once keep memory small
+                texts += extract(some, weights)
             yield pd.Series(texts, dtype="object")
 
     return main_text
@@ -430,7 +505,7 @@ def main_texts(
     """Rows (page_id, url, text, n_chars), one per row of ``pages``; null html gives an empty text.
 
     Menus, sidebars, footers, forms, scripts and styles (by their own tags) are never
-    part of the text; everything else is decided by the model, learned from
+    part of the text, but for a form around most of the page and a quotation's footer; everything else is decided by the model, learned from
     ``pages`` unless ``weights`` are given.
     """
     model = weights or train(labelled_sample(pages, html))
