@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tierstat.llm.common import written
 from tierstat.session import scratch_path
 
+MOST_NAMES = 4096  # names joined by broadcast, at most
 LEAST_REVISIT = 1000  # payload bytes from which equal payloads are stored as revisits
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -153,12 +154,26 @@ def archived_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     # Records that share an id have the same payload.
     responses = records.where("record_type = 'response'").dropDuplicates(["id"])
     responses = responses.select(F.col("id").alias("named"), F.col("payload_bytes").alias("bytes"), F.col("payload_digest").alias("digest"))
+    return _named_figures(records, responses)
+
+
+def _named_figures(records: DataFrame, responses: DataFrame) -> DataFrame:
+    """``records`` with each revisit's figures taken from the response it names (``responses``: named, bytes, digest).
+
+    Names that hold more than a 4096th part of all revisits, which can be 4096 at most, are joined by broadcast, the others by
+    a shuffle in which no name is large: revisits of one payload never meet in one task.
+    """
+    own = records.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    revisits = records.where("record_type <> 'response'").select("page_id", "record_type", "refers_to", "id", "named")
+    counts = written(revisits.groupBy("named").agg(F.count(F.lit(1)).alias("n")), "named")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.where(F.col("n") * MOST_NAMES > total).select("named")
+    known = F.broadcast(often.join(responses, "named", "left"))
     lost = F.raise_error(F.concat(F.lit("no response for the revisit "), F.col("id")))
-    own = F.col("record_type") == "response"
-    return records.join(responses, "named", "left").select(
-        "page_id",
-        F.when(own, F.col("payload_bytes")).otherwise(F.coalesce("bytes", lost.cast("long"))).alias("payload_bytes"),
-        F.when(own, F.col("payload_digest")).otherwise(F.coalesce("digest", lost.cast("string"))).alias("payload_digest"),
-        "record_type",
-        "refers_to",
-    )
+    parts = [revisits.join(known, "named"), revisits.join(F.broadcast(often), "named", "left_anti").join(responses, "named", "left")]
+    for part in parts:
+        own = own.unionByName(part.select(
+            "page_id", F.coalesce("bytes", lost.cast("long")).alias("payload_bytes"),
+            F.coalesce("digest", lost.cast("string")).alias("payload_digest"), "record_type", "refers_to",
+        ))
+    return own
