@@ -110,14 +110,16 @@ WITH w AS (
   SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS words FROM documents
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') FROM benchmark
+), widths AS (
+  SELECT DISTINCT least(len(words), 5) AS width FROM w WHERE kind = 'i' AND len(words) > 0
 ), s AS (
-  SELECT DISTINCT kind, id,
-    unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
-  FROM w WHERE len(words) > 0
+  SELECT DISTINCT kind, id, width,
+    unnest(list_transform(range(1, len(words) - width + 2), lambda i: array_to_string(words[i:i + width - 1], ' '))) AS shingle
+  FROM w JOIN widths ON len(words) >= width AND (kind = 'd' OR width = least(len(words), 5))
 ), n AS (SELECT id AS item_id, count(*) AS n FROM s WHERE kind = 'i' GROUP BY 1)
 SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, any_value(n.n) AS item_shingles,
        count(*)::DOUBLE / any_value(n.n) AS containment
-FROM s d JOIN s i ON d.shingle = i.shingle AND d.kind = 'd' AND i.kind = 'i' JOIN n ON n.item_id = i.id
+FROM s d JOIN s i ON d.shingle = i.shingle AND d.width = i.width AND d.kind = 'd' AND i.kind = 'i' JOIN n ON n.item_id = i.id
 GROUP BY 1, 2 HAVING count(*) >= ceil(round(any_value(n.n) * 0.8, 6))
 """,
     "op9_warc": """
