@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstat.functions.ordering import global_row_number
-from tierstat.llm.common import fresh, gapless_rank, text_or_empty, word_count, written
+from tierstat.llm.common import fresh, small, text_or_empty, word_count, written
 
 WEIGHTS = (3.0, 1.0, 2.0)  # by place of the source in code point order, repeating
 SHARE = 1.5  # words taken, as a part of all words
 CAP = 2  # copies at most
 STEPS = 40
+BUCKET = 10_000  # documents of a cell that are numbered together
 SETTLED = 1e-9
 
 
@@ -103,9 +104,9 @@ def multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFra
         state = written(step.select(F.col("src").alias("source"), "mean", "goal", "lam", "lo", "hi", "off"), "multipliers")
         worst = state.agg(F.max("off")).first()[0]
         if worst is None or worst <= SETTLED:
-            break
+            return state.select("source", "mean", "lam")
         state = state.drop("off")
-    return state.select("source", "mean", "lam")
+    raise RuntimeError(f"the multipliers did not settle in {STEPS} steps; the worst source is off by {worst:.3g} of its target")
 
 
 def copies_per_cell(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
@@ -142,7 +143,7 @@ def copies_per_cell(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> Dat
 
 def with_copies(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, buckets: int = 64,
+    weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, bucket: int = BUCKET,
 ) -> DataFrame:
     """Every row of ``documents`` with ``copies`` (0, 1 or ... ``cap``), ``size``, ``source_size`` and ``target``.
 
@@ -155,7 +156,7 @@ def with_copies(
     added = {"size", "source_size", "target", "copies"}
     base = documents.drop(*[c for c in documents.columns if c.lower() in added and c not in (doc_id, text, source)])
     crc = F.crc32(text_or_empty(text).cast("binary"))
-    name = {k: fresh(base.columns, k) for k in ("_source", "_none", "_size", "_n", "_m", "_target", "_total", "_rank", "_crc")}
+    name = {k: fresh(base.columns, k) for k in ("_source", "_none", "_size", "_n", "_m", "_target", "_total", "_rank", "_crc", "_bucket", "_offset", "_parts")}
     rows = base.withColumns({name["_size"]: word_count(text), name["_crc"]: crc})
     rows = rows.withColumns({name["_source"]: F.coalesce(F.col(source), F.lit("")), name["_none"]: F.col(source).isNull()})
     key = [name["_source"], name["_none"], name["_size"]]
@@ -171,11 +172,26 @@ def with_copies(
         F.col("target").alias(name["_target"]), F.col("source_size").alias(name["_total"]),
     )
     order = [F.xxhash64(F.col(doc_id)), F.col(doc_id), F.col(name["_crc"])]
-    ranked = gapless_rank(rows, key, [F.col(doc_id)], order, name["_rank"], buckets)
-    n, m = F.col(name["_n"]), F.col(name["_m"])
-    each = F.floor(m / n).cast("int") + F.when(F.col(name["_rank"]) < m % n, 1).otherwise(0)
+    n, m, part = F.col(name["_n"]), F.col(name["_m"]), name["_bucket"]
+    # A cell's documents are numbered in buckets of about ``bucket``; only cells of several need the buckets' offsets.
+    parts = planned.where(n > bucket).select(*key, F.ceil(n / bucket).alias(name["_parts"]))
+    several = not parts.isEmpty()
+    dealt = rows.join(small(parts), key, "left") if several else rows.withColumn(name["_parts"], F.lit(None).cast("long"))
+    place = F.pmod(F.xxhash64(F.col(doc_id), F.col(name["_crc"])), F.col(name["_parts"]))
+    dealt = dealt.withColumn(part, F.coalesce(place, F.lit(0)).cast("int"))
+    ranked = dealt.withColumn(name["_rank"], F.row_number().over(Window.partitionBy(*key, part).orderBy(*order)) - 1)
+    offset = F.lit(0)
+    if several:
+        counts = dealt.where(F.col(name["_parts"]).isNotNull()).groupBy(*key, part).agg(F.count(F.lit(1)).alias("count"))
+        before = Window.partitionBy(*key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*key, part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(name["_offset"]))
+        ranked = ranked.join(small(written(offsets, "offsets")), [*key, part], "left")
+        offset = F.coalesce(F.col(name["_offset"]), F.lit(0))
+    ranked = ranked.join(planned, key)
+    place = F.col(name["_rank"]) + offset
+    each = F.floor(m / n).cast("int") + F.when(place < m % n, 1).otherwise(0)
     return (
-        ranked.join(planned, key)
+        ranked
         .withColumns({"copies": each, "size": F.col(name["_size"]), "source_size": F.col(name["_total"]), "target": F.col(name["_target"])})
         .select(*[F.col(f"`{c}`") for c in base.columns], "size", "source_size", "target", "copies")
     )
