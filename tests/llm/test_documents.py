@@ -66,7 +66,14 @@ def items(spark):
 
 def shingles(text, width=5):
     w = re.findall(r"[^\W_]+", (text or "").lower())
-    return {" ".join(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set()
+    return {" ".join(w[i : i + width]) for i in range(len(w) - width + 1)} if w else set()
+
+
+def held(doc, item):
+    """(shared, shingles of the item): an item of fewer than five words is one shingle of its own length."""
+    width = min(5, len(re.findall(r"[^\W_]+", (item or "").lower())))
+    b = shingles(item, width) if width else set()
+    return len(shingles(doc, width) & b) if b else 0, len(b)
 
 
 def test_decontamination_against_brute_force(docs, items):
@@ -74,13 +81,29 @@ def test_decontamination_against_brute_force(docs, items):
     want = set()
     for d in docs.select("doc_id", "text").collect():
         for i in set(items.collect()):
-            a, b = shingles(d.text), shingles(i.text)
-            if b and len(a & b) >= math.ceil(round(len(b) * 0.8, 6)):
-                want.add((d.doc_id, i.item_id, len(a & b), len(b)))
+            shared, n = held(d.text, i.text)
+            if n and shared >= math.ceil(round(n * 0.8, 6)):
+                want.add((d.doc_id, i.item_id, shared, n))
     assert got == want
     assert {(60, 0), (61, 0), (63, 0), (64, 1), (30, None)} <= {x[:2] for x in got} and 62 not in {x[0] for x in got}
 
 
+def test_short_items_inside_long_documents(docs, spark, monkeypatch):
+    texts = {0: "word1 Word4", 1: "epsilon", 2: "mu nu xi", 3: "kappa lambda mu nu", 4: "nu mu", 5: "straße", 6: ITEM, 7: "w37 w37", 8: "x" * 200_000}
+    items = spark.createDataFrame(list(texts.items()), "item_id int, text string")
+    want = set()
+    for d in docs.select("doc_id", "text").collect():
+        for i, t in texts.items():
+            shared, n = held(d.text, t)
+            if n and shared >= math.ceil(round(n * 0.8, 6)):
+                want.add((d.doc_id, i, shared, n))
+    for size in (decontaminate.SLICE, 3):  # also with the hashes in several slices
+        monkeypatch.setattr(decontaminate, "SLICE", size)
+        got = [(r.doc_id, r.item_id, r.shared, r.item_shingles) for r in decontaminate.contained_items(docs, items).collect()]
+        assert set(got) == want and len(got) == len(want)
+    assert {i for _, i, _, _ in want} >= {0, 1, 2, 3, 5, 6}
+
+
 def test_contaminated_documents_go(docs, items, empty):
     kept = decontaminate.drop_contaminated(docs, items)
     assert kept.columns == docs.columns
@@ -305,3 +328,24 @@ def test_pipeline_against_plain_python(spark):
     assert all(r.shard == placed[r.doc_id] and r.text == left[r.doc_id] for r in rows)
     for s in set(placed.values()):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
+def test_copies_of_large_cells_are_whole(spark):
+    """A cell of several buckets, repeated rows in it, gives the very number of copies that its plan says."""
+    rows = [(i % 700, "one two three", "a") for i in range(900)] + [(2000 + i, "w " * (i % 9), "a") for i in range(90)] + [(3000 + i, "x y", "b") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for bucket in (7, 100, 10_000):
+        got = mix.with_copies(df, bucket=bucket).collect()
+        assert len(got) == len(rows) and all(0 <= r.copies <= 2 for r in got)
+        taken = Counter()
+        for r in got:
+            taken[r.source] += r.size * r.copies
+        for r in got:
+            assert abs(taken[r.source] - r.target) <= 3
+
+
+def test_unsettled_multipliers_stop(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "w " * (1 + i % 13), f"s{i % 3}") for i in range(200)], "doc_id long, text string, source string")
+    monkeypatch.setattr(mix, "STEPS", 1)
+    with pytest.raises(RuntimeError, match="did not settle"):
+        mix.with_copies(df)

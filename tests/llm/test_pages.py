@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -264,3 +265,81 @@ def test_quality_edges(spark):
     assert quality.keep_quality(docs, labels).columns == docs.columns
     assert {r.score for r in quality.scored_documents(docs, labels.limit(0)).collect()} == {0.5}
     assert quality.scored_documents(docs.limit(0), labels).count() == 0
+
+
+RUN = "The river rose again in the night and the people of the town carried their things up the hill before it was light. "
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return html_text.train([r.html for r in read(spark, SF01, "pages").orderBy("page_id").limit(150).collect()])
+
+
+def _framed(inside, around="{}"):
+    body = f"<nav><a href='/'>Home page of the site</a></nav><article><h1>On the river</h1><p>{RUN * 2}</p>{inside}<p>{RUN * 3}</p></article>"
+    return "<html><body>" + around.format(body) + "<footer>All rights are with the site</footer></body></html>"
+
+
+HEAD, ONE, TWO = "On the river", (RUN * 2).strip(), (RUN * 3).strip()
+
+
+@pytest.mark.parametrize(
+    "inside, middle",
+    [
+        ("<p title=it's>" + RUN + "It's not the end's end.</p>", RUN + "It's not the end's end."),  # a quote inside an unquoted value
+        ("<p data-x=a\"b class='x'>" + RUN + "</p>", RUN),
+        ("<p>Let <math><mi>x</mi> <mo>=</mo> <mn>5</mn></math> be the height. " + RUN + "</p>", "Let x = 5 be the height. " + RUN),
+        ("<p>What <my-term>the town</my-term> calls <x-y>a flood</x-y> is one. " + RUN + "</p>", "What the town calls a flood is one. " + RUN),
+        ("<p>Before <script>var a = '<p>';</script>and after. " + RUN + "</p>", "Before and after. " + RUN),
+        ('<p class="share">' + RUN + "</p>", RUN),
+        ('<div class="header-image-caption meta">' + RUN + "</div>", RUN),
+        ("<blockquote><p>" + RUN + "</p><footer>Says the old man of the mill by the river, who saw it all</footer></blockquote>", RUN.strip() + "\nSays the old man of the mill by the river, who saw it all"),
+        ('<div class="alert">We use cookies on this site. Accept all cookies or set them.</div>', ""),
+        ("<p>1 &lt; 2 </ > and <!-- a > b -->3. " + RUN + "</p>", "1 < 2 and 3. " + RUN),
+    ],
+)
+def test_main_text_of_odd_markup(learned, inside, middle):
+    want = "\n".join(x for x in (HEAD, ONE, middle.strip(), TWO) if x)
+    assert html_text.extract([_framed(inside)], learned) == [want]
+
+
+def test_a_form_around_the_framed(learned):
+    around = "<form action=/x><label for=q>Search this site for words</label><input id=q><select><option>One</select>{}</form>"
+    assert html_text.extract([_framed("", around)], learned) == ["\n".join((HEAD, ONE, TWO))]
+    inside = "<form><p>Subscribe to our letter and get the news of the river every week by mail</p></form>"
+    assert html_text.extract([_framed(inside)], learned) == ["\n".join((HEAD, ONE, TWO))]
+
+
+def test_an_unclosed_value_ends_with_the_framed(learned):
+    for end in ('<a href="x>', "<a href='x>more", "<p title=", "<div"):
+        assert "<" not in html_text.extract([f"<article><h1>A</h1><p>{RUN * 3}</p>{end}"], learned)[0]
+    assert html_text.parse("<a href='x>y</a>").tags == ["#root", "a"]
+
+
+def test_deep_trees_take_time_in_proportion(learned):
+    source = "<div>" * 8000 + "</span></li></b>" * 8000 + f"<p>{RUN * 4}</p>" + "<li>" * 50 + "</div>" * 8000
+    began = time.monotonic()
+    text = html_text.extract([source], learned)[0]
+    assert time.monotonic() - began < 1.0 and text == (RUN * 4).strip()
+
+
+def test_portions_are_bounded_by_characters():
+    sources = ["x" * n for n in (10, 700_000, 400_000, 3_000_000, 5)] + ["y"] * 130
+    parts = list(html_text._portions(sources))
+    assert [s for part in parts for s in part] == sources
+    assert [len(part) for part in parts] == [2, 1, 1, 64, 64, 3]
+
+
+@pytest.mark.parametrize("most", [4096, 3])
+def test_revisits_of_one_payload_are_joined_apart(spark, monkeypatch, most):
+    """Half of the rows share one payload: by broadcast, and, with a bound that no name passes, by the shuffle."""
+    monkeypatch.setattr(warc, "MOST_NAMES", most)
+    rows = [(i, "u", "x" * 1200 if i % 2 else f"{i % 40}" * 700) for i in range(400)] + [(None, "u", "x" * 1200), (399, "u", "x" * 1200)]
+    got = warc.archived_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    last = {}
+    for i, _, h in rows:
+        last[h] = max(last.get(h, -1), -1 if i is None else i)
+    want = Counter(
+        (i, len(h), hashlib.sha1(h.encode()).hexdigest(), *(("revisit", last[h]) if i != last[h] else ("response", None))) for i, _, h in rows if len(h) >= 1000
+    ) + Counter((i, len(h), hashlib.sha1(h.encode()).hexdigest(), "response", None) for i, _, h in rows if len(h) < 1000)
+    assert Counter(map(tuple, got)) == want
