@@ -92,6 +92,7 @@ EAGER = {
     "period_label",
     "rate_matrix_wide", "rank_matrix_wide", "region_ranking", "region_ranking_la", "region_performance",
     "region_performance_la", "type_region_matrix_wide", "absence_location_school", "column_to_list", "report_sink", "load_table",
+    "rank_matrix_la", "mean_rank_la",  # their grids are checkpointed to be ranked over many tasks
 }
 
 
