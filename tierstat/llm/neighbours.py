@@ -24,6 +24,7 @@ from tierstat.llm.common import ship, written
 
 SAMPLE = 4096  # vectors that the partition is learned from, at most
 PARTS = 128  # parts, at most
+FEWEST = 8  # parts of a small table, as long as each can hold k + 1 vectors
 ROWS_PER_PART = 1024
 CALIBRATION = 200  # queries whose true neighbours set ``probes``
 RECALL = 0.95
@@ -297,7 +298,8 @@ def nearest(
     Rows with a null id or a vector that is null, empty, zero, not finite or
     not of the most common length take no part.  Repeated rows count once.  Of
     equal vectors those with the ``k + 1`` smallest ids are indexed: no other
-    can be among a query's ``k`` nearest, ties going to smaller ids.
+    can be among a query's ``k`` nearest, ties going to smaller ids.  Fewer than
+    two times ``k + 1`` vectors are one part: two could not both be left unsearched.
     """
     rows = usable(vectors, vec_id, embedding)
     same = Window.partitionBy("v").orderBy("id")
@@ -305,9 +307,9 @@ def nearest(
     indexed = written(rows.distinct().withColumn("place", place).where(F.col("place") <= k + 1).select("id", "v"), "vectors")
     queries = written(rows.where(F.pmod("id", F.lit(every)) == 0).distinct(), "queries")
     n = indexed.count()
-    parts = min(PARTS, _blocks(n, rows_per_part))
+    parts = min(PARTS, max(1, _blocks(n, rows_per_part), min(FEWEST, n // (k + 1))))
     router, probes = None, 1
-    if parts > 1:
+    if n:
         sample = indexed.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()  # bounded by SAMPLE
         router = learn(np.stack(sample["v"].to_numpy()).astype(np.float64), parts)
     row = f"id long, v {indexed.schema['v'].dataType.simpleString()}"
