@@ -230,6 +230,23 @@ def test_neighbours_recall_with_parts(spark):
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
 
 
+@pytest.mark.parametrize("n", [1, 20, 41, 42, 130, 500])
+def test_small_tables_are_searched_by_parts(spark, monkeypatch, n):
+    """From twice k + 1 vectors on there is a learned partition; recall holds at every size."""
+    learned = []
+    monkeypatch.setattr(neighbours, "learn", lambda x, parts, learn=neighbours.learn: learned.append(parts) or learn(x, parts))
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(5, 12))
+    rows = [(i, (centres[i % 5] + 0.1 * rng.normal(size=12)).tolist()) for i in range(n)]
+    got = defaultdict(set)
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=5).collect():
+        got[r.query_id].add(r.vec_id)
+    want = _exact(dict(rows), 20, 5)
+    assert all(len(got[q]) == min(20, n - 1) for q in want)
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * sum(len(x) for x in want.values())
+    assert learned == ([1] if n < 42 else [min(8, n // 21)])
+
+
 def test_parts_are_balanced():
     x = np.random.default_rng(3).normal(size=(1000, 16))
     sizes = np.bincount(neighbours.balanced_parts(x, neighbours.neighbour_graph(x), 7), minlength=7)
@@ -256,6 +273,60 @@ def test_prior_from_mixtures():
         assert abs(quality.estimate_prior(rng.normal(2, 1, 2000), unlabelled) - share) < 0.08
 
 
+def test_slopes_are_those_of_the_risk():
+    """Against differences of the risk written out as the method states it."""
+    rng = np.random.default_rng(6)
+    for prior, shift in ((0.4, 0.0), (0.9, 3.0), (0.9, -6.0), (None, 1.0)):
+        gp, gu = rng.normal(1, 1, 7), rng.normal(0, 1, 11) + shift
+
+        def loss(z):
+            return np.mean(np.log1p(np.exp(-z)))
+
+        def risk(g):
+            p, u = g[:7], g[7:]
+            if prior is None:
+                return loss(p) + loss(-u)
+            negative = loss(-u) - prior * loss(-p)
+            return prior * loss(p) + negative if part else -negative
+
+        part = prior is None or loss(-gu) - prior * loss(-gp) >= 0
+        assert part == (shift != -6.0)
+        g = np.concatenate([gp, gu])
+        for i, slope in enumerate(quality.slopes(gp, gu, prior)):
+            step = np.eye(len(g))[i] * 1e-5
+            assert abs((risk(g + step) - risk(g - step)) / 2e-5 - slope) < 1e-7
+
+
+def test_grams_are_those_of_the_words():
+    """Equal sequences, words and pairs, in any place and case, have equal bins; others nearly always differ."""
+    text = "The hill, the  mill\nand THE HILL, é " + " ".join(f"w{i} x{i * 7}" for i in range(300)) + " " + "z" * 300 + " " + "z" * 299
+    data = text.encode()
+    octets = np.frombuffer(data, np.uint8)
+    kinds = quality._CLASS[octets]
+    low = data.translate(bytes(quality._LOWER))
+    words = low.split()
+    plain = [[low[i : i + 4] for i in range(len(low) - 3)], words, list(zip(words[:-1], words[1:], strict=True))]
+    for want, got in zip(plain, quality.grams(octets, quality._words(kinds)[1], kinds), strict=True):
+        assert len(want) == len(got) and got.max() < quality.BINS
+        bins = {}
+        assert all(bins.setdefault(w, g) == g for w, g in zip(want, got.tolist(), strict=True))
+        assert len(set(bins.values())) > 0.97 * len(bins)
+
+
+def test_familiarity_of_counts():
+    known = quality.familiarity(np.array([[0.0, 0, 0, 0], [6, 1, 1, 0]]))
+    assert np.allclose(known, np.log([[1, 1, 1, 1], [7 / 3, 2 / 3, 2 / 3, 1 / 3]]), atol=1e-6)
+
+
+def test_a_script_that_no_positive_has_is_unfamiliar(spark):
+    docs, labels = read(spark, SF01, "documents"), read(spark, SF01, "labels")
+    known = quality.train(docs, labels).known
+    good = docs.join(labels.where("quality = 1"), "doc_id").where(quality.fold("doc_id") == 1).collect()
+    least = np.min([quality.describe(r.text, known)[quality.SHAPE :] for r in good if len(r.text) > 200], axis=0)
+    for text in ("这是一个很好的文章。" * 20, "水が夜にまた上がり、町の人々は丘へ荷物を運んだ。 " * 9):
+        assert (np.array(quality.describe(text, known)[quality.SHAPE :]) < least)[:2].all()
+
+
 def test_quality_edges(spark):
     rows = [(1, None, "a"), (2, "", "b"), (None, "x " * 200_000, None), (3, "some plain words.", "c"), (3, "some plain words.", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
