@@ -322,9 +322,10 @@ def test_a_script_that_no_positive_has_is_unfamiliar(spark):
     docs, labels = read(spark, SF01, "documents"), read(spark, SF01, "labels")
     known = quality.train(docs, labels).known
     good = docs.join(labels.where("quality = 1"), "doc_id").where(quality.fold("doc_id") == 1).collect()
-    least = np.min([quality.describe(r.text, known)[quality.SHAPE :] for r in good if len(r.text) > 200], axis=0)
+    sequences = quality.SHAPE  # the first of the familiar kinds: sequences of four bytes
+    least = min(quality.describe(r.text, known)[sequences] for r in good if len(r.text) > 200)
     for text in ("这是一个很好的文章。" * 20, "水が夜にまた上がり、町の人々は丘へ荷物を運んだ。 " * 9):
-        assert (np.array(quality.describe(text, known)[quality.SHAPE :]) < least)[:2].all()
+        assert quality.describe(text, known)[sequences] < least - 1
 
 
 def test_quality_edges(spark):
