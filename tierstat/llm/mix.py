@@ -180,15 +180,18 @@ def with_copies(
     place = F.pmod(F.xxhash64(F.col(doc_id), F.col(name["_crc"])), F.col(name["_parts"]))
     dealt = dealt.withColumn(part, F.coalesce(place, F.lit(0)).cast("int"))
     ranked = dealt.withColumn(name["_rank"], F.row_number().over(Window.partitionBy(*key, part).orderBy(*order)) - 1)
-    offset = F.lit(0)
+    # A cell's plan, once for each of its buckets, meets the rows where they were numbered: they do not move again.
+    each_part = F.sequence(F.lit(0), F.greatest(F.ceil(n / bucket), F.lit(1)).cast("int") - 1)
+    planned = planned.withColumn(part, F.explode(each_part))
     if several:
         counts = dealt.where(F.col(name["_parts"]).isNotNull()).groupBy(*key, part).agg(F.count(F.lit(1)).alias("count"))
         before = Window.partitionBy(*key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select(*key, part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(name["_offset"]))
-        ranked = ranked.join(small(written(offsets, "offsets")), [*key, part], "left")
-        offset = F.coalesce(F.col(name["_offset"]), F.lit(0))
-    ranked = ranked.join(planned, key)
-    place = F.col(name["_rank"]) + offset
+        planned = planned.join(written(offsets, "offsets"), [*key, part], "left")
+    else:
+        planned = planned.withColumn(name["_offset"], F.lit(0))
+    ranked = ranked.join(planned.hint("merge"), [*key, part])
+    place = F.col(name["_rank"]) + F.coalesce(F.col(name["_offset"]), F.lit(0))
     each = F.floor(m / n).cast("int") + F.when(place < m % n, 1).otherwise(0)
     return (
         ranked
