@@ -65,7 +65,7 @@ def gapless_rank(
 ) -> DataFrame:
     """Append ``out`` = 0, 1, 2, ... inside each group, without one task per group.
 
-    A group's rows are dealt over ``buckets`` by a hash of ``spread``; each
+    A group's rows are dealt over ``buckets`` by the MD5 of ``spread`` (nulls left out); each
     (group, bucket) is numbered by itself and shifted by the sizes of the
     buckets before it, so only counts of a group meet in one task (``buckets``
     rows).  ``groups`` must hold no nulls.  Rows equal in ``order`` and
@@ -73,7 +73,8 @@ def gapless_rank(
     """
     bucket = fresh([*df.columns, out], "_bucket")
     offset, n = fresh([*df.columns, out, bucket], "_offset"), fresh([*df.columns, out, bucket], "_n")
-    dealt = df.withColumn(bucket, F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int"))
+    place = F.conv(F.substr(F.md5(F.concat_ws(":", *[c.cast("string") for c in spread])), F.lit(1), F.lit(8)), 16, 10)
+    dealt = df.withColumn(bucket, F.pmod(place.cast("long"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         dealt.groupBy(*groups, bucket)

@@ -121,6 +121,35 @@ SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, any_value(n.n) AS it
        count(*)::DOUBLE / any_value(n.n) AS containment
 FROM s d JOIN s i ON d.shingle = i.shingle AND d.width = i.width AND d.kind = 'd' AND i.kind = 'i' JOIN n ON n.item_id = i.id
 GROUP BY 1, 2 HAVING count(*) >= ceil(round(any_value(n.n) * 0.8, 6))
+""",
+    "op2_hash_tree_sharding": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, 'null key') AS key, coalesce(text, '') AS text FROM documents
+), sized AS (
+  SELECT r, doc_id, strlen(text)::BIGINT + 1 AS size, xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS text_crc32
+  FROM d
+), leaf AS (
+  SELECT s, 'region' || (s // 8) AS region, 'region' || (s // 8) || '/rack' || (s // 4) AS rack, 8 AS region_weight, 4 AS rack_weight FROM range(16) t(s)
+  UNION ALL
+  SELECT 16, 'region-of-16', 'region-of-16/rack-of-16', 1, 1
+), drawn AS (
+  SELECT r, s, struct_pack(
+      region := -ln((('0x' || substr(md5(key || '/' || region), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496::DOUBLE) / region_weight,
+      rack := -ln((('0x' || substr(md5(key || '/' || rack), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496::DOUBLE) / rack_weight,
+      leaf := -ln((('0x' || substr(md5(key || '/' || rack || '/' || s), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496::DOUBLE),
+      s := s) AS draw
+  FROM d, leaf
+), placed AS (
+  SELECT r, (min(draw) FILTER (s < 16)).s::INT AS shard, min(draw).s::INT AS grown_shard FROM drawn GROUP BY r
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (
+    PARTITION BY shard
+    ORDER BY ('0x' || substr(md5(concat_ws(':', doc_id, text_crc32)), 1, 8))::BIGINT % 256, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+  grown_shard
+FROM sized JOIN placed USING (r)
 """,
     "op9_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),

@@ -1,7 +1,7 @@
 """Sharding by a hierarchical weighted hash tree (region, rack, shard).
 
-At each level every child draws -ln(u)/weight, u a hash of the row's key and
-the child's name, and the smallest draw wins: a child is taken with a
+At each level every child draws -ln(u)/weight, u the MD5 of the row's key and
+the child's name as a number between 0 and 1 (so SQL can say the same), and the smallest draw wins: a child is taken with a
 probability in proportion to its weight.  A child's draw depends on nothing
 but the key, its name and its weight, so a changed weight moves rows only into or
 out of the subtree that holds it, and below a child whose own subtree is
@@ -37,8 +37,8 @@ def shard_tree(shards: int, base: int = 16, racks: int = 2, per_rack: int = 4) -
 
 
 def _draw(key: Column, name: str, weight: float) -> Column:
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(name)), 11)
-    return -F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 53))) / F.lit(float(weight))
+    bits = F.conv(F.substr(F.md5(F.concat(key, F.lit(f"/{name}"))), F.lit(1), F.lit(13)), 16, 10)  # 52 of them
+    return -F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 52))) / F.lit(float(weight))
 
 
 def _pick(key: Column, children: dict[str, tuple[object, float]]) -> Column:
@@ -84,7 +84,8 @@ def shard_documents(
     ("key": id and shard count alone decide), ``shard``, ``grown_shard`` (with
     one more shard) and ``slot`` are added, and replace input columns of these
     names.  Null text: size 1, checksum 0.  Null ids share one shard.  Repeated
-    rows share a shard and have slots of their own.
+    rows share a shard and have slots of their own; texts that share an id (or
+    have none) are still numbered in many buckets, by id and checksum.
     """
     added = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
     base = documents.drop(*[c for c in documents.columns if c.lower() in added and c not in (doc_id, text)])
@@ -98,4 +99,4 @@ def shard_documents(
     placed = with_shard(sized, F.col(doc_id), shard_tree(shards))
     placed = with_shard(placed, F.col(doc_id), shard_tree(shards + 1), "grown_shard")
     order = [F.col(doc_id).asc_nulls_first(), F.col("text_crc32"), F.col("size")]
-    return gapless_rank(placed, ["shard"], [F.col(doc_id)], order, "slot", buckets)
+    return gapless_rank(placed, ["shard"], [F.col(doc_id), F.col("text_crc32")], order, "slot", buckets)
