@@ -13,7 +13,8 @@ from conftest import ROOT, SF001
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tierstat.llm import common, decontaminate, mix, shard, simhash
+from oracle_compare import compare, duck
+from tierstat.llm import common, decontaminate, mix, queries, shard, simhash
 
 SCHEMA = StructType(
     [
@@ -137,6 +138,15 @@ def test_sharding_law(docs, empty):
     assert shard.shard_documents(empty).count() == 0
 
 
+def test_texts_without_an_id_are_numbered_in_many_buckets(spark):
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    placed = shard.shard_documents(df, buckets=8)
+    rows = placed.collect()
+    assert len({r.shard for r in rows}) == 1 and sorted(r.slot for r in rows) == list(range(4000))
+    checks = [r.text_crc32 for r in sorted(rows, key=lambda r: r.slot)]
+    assert sum(a > b for a, b in zip(checks, checks[1:], strict=False)) == 7  # eight buckets, each in order of the checksum
+
+
 def test_a_weight_moves_rows_only_in_its_subtree(spark):
     tree = {"a": {"a1": {0: 1.0, 1: 1.0}, "a2": {2: 2.0}}, "b": {"b1": {3: 1.0, 4: 3.0}}, "c": {"c1": {5: 0.0}}}
     lighter = {"a": {"a1": {0: 1.0, 1: 1.0}, "a2": {2: 1.0}}, "b": tree["b"], "c": tree["c"]}
@@ -284,7 +294,14 @@ def test_queries_are_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d", n)} >= {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d", n)} >= {f"op{n}" for n in range(1, 14)}
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLE))
+def test_queries_match_their_sql(spark, key):
+    sf = "/root/testdata/sf0.001"
+    ok, message = compare(queries.QUERIES[key](spark, sf), duck(sf), queries.ORACLE[key])
+    assert ok, message
 
 
 @pytest.mark.parametrize("rows", ["odd", "none"])
@@ -344,6 +361,16 @@ def test_copies_of_large_cells_are_whole(spark):
             assert abs(taken[r.source] - r.target) <= 3
 
 
+def test_rows_of_the_mix_move_once(spark):
+    """Rows are numbered and meet their cell's plan under one exchange, and no table of cells is broadcast."""
+    df = spark.range(300).selectExpr("id AS doc_id", "repeat('w ', int(id % 7)) AS text", "string(id % 3) AS source")
+    for bucket in (5, 10_000):
+        plan = mix.with_copies(df, bucket=bucket)._jdf.queryExecution().executedPlan().toString()
+        top = plan[plan.index("SortMergeJoin"):]
+        rows = top[: top.index("Range")]  # the branch of the documents
+        assert rows.count("Exchange hashpartitioning") == 1 and "Window" in rows
+
+
 def test_unsettled_multipliers_stop(spark, monkeypatch):
     df = spark.createDataFrame([(i, "w " * (1 + i % 13), f"s{i % 3}") for i in range(200)], "doc_id long, text string, source string")
     monkeypatch.setattr(mix, "STEPS", 1)
