@@ -4,8 +4,10 @@ import contextlib
 import io
 import re
 
+import pytest
 from conftest import SF01
 from golden import COLUMNS, ROWS, csv_text
+from pyspark.sql import functions as F
 from query_catalog import LA1, LA2, PERIOD, QUERIES
 from tierstat import operators as op
 from tierstat.plans import compare_report
@@ -133,6 +135,46 @@ def test_build_scans_lineitem_once(spark):
     assert final.count("lineitem.parquet") == 1
 
 
+def _build_input(spark, n):
+    """``n`` orders of two lines each by ``n // 10`` customers, spread over three years."""
+    from tierstat.sources.tpch import TABLES
+
+    order = spark.range(n)
+    tables = {
+        "lineitem": spark.range(2 * n).selectExpr(
+            "id % {0} as l_orderkey".format(n), "id % 11 as l_partkey", "id % 7 as l_suppkey", "cast(id % 50 as double) as l_quantity",
+            "0.01 * (id % 9) as l_discount", "array('A', 'R', 'N')[id % 3] as l_returnflag"),
+        "orders": order.selectExpr(
+            "id as o_orderkey", "id % {0} as o_custkey".format(n // 10), "date_add(date'1997-06-01', cast(365 * (id % 3) as int)) as o_orderdate",
+            "if(id % 2 = 0, 'F', 'O') as o_orderstatus"),
+        "customer": spark.range(n // 10).selectExpr("id as c_custkey", "id % 2 as c_nationkey", "'BUILDING' as c_mktsegment"),
+        "nation": spark.range(2).selectExpr("id as n_nationkey", "concat('N', id) as n_name", "0L as n_regionkey"),
+        "region": spark.range(1).selectExpr("id as r_regionkey", "'R' as r_name"),
+    }
+    assert set(tables) == set(TABLES)
+    return tables
+
+
+@pytest.mark.parametrize("years", [None, [1997, 1998, 1999]])
+def test_build_partitions_grow_with_the_tables(spark, monkeypatch, years):
+    """A task of the build gets no more rows of a larger table, whatever number of partitions the session sets."""
+    from tierstat.sources import multi_level, tpch
+
+    monkeypatch.setattr(tpch, "_ROWS_PER_TASK", 1000, raising=False)
+    n = 20_000
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = multi_level(_build_input(spark, n), years=years)
+        plan = plan_text(df)
+        dealt = {key: {int(p) for p in re.findall(rf"hashpartitioning\({key}#\d+L?, (\d+)\)", plan)} for key in ("l_orderkey", "o_custkey")}
+        assert dealt == {"l_orderkey": {2 * n // 1000}, "o_custkey": {n // 1000}}, dealt  # lines and orders; orders, and customers with them
+        top = df.where("geographic_level = 'National' and school_type = 'Total'").agg(F.sum("enrolments"), F.sum("sess_possible"), F.sum("sess_overall"))
+        assert tuple(top.first()) == (n, sum(i % 50 for i in range(2 * n)), sum(i % 50 for i in range(2 * n) if i % 3 < 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
