@@ -175,6 +175,20 @@ def test_build_partitions_grow_with_the_tables(spark, monkeypatch, years):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
 
 
+def test_medical_total_from_the_tables_uses_dealt_rows(spark, monkeypatch):
+    """The total over the build itself: the lines' shuffle grows with them, and the sums are those of plain loops."""
+    from tierstat.sources import multi_level, tpch
+
+    monkeypatch.setattr(tpch, "_ROWS_PER_TASK", 1000, raising=False)
+    n = 20_000
+    total = op.medical_absence_total(multi_level(_build_input(spark, n)), "BUILDING", "1998/99")
+    assert re.search(rf"hashpartitioning\(l_orderkey#\d+L?, {2 * n // 1000}\)", plan_text(total))
+    lines = [i for i in range(2 * n) if i % n % 3 == 1 and i % 3 == 0]  # orders of 1998, flag A
+    reasons = {r: tpch.AUTH_REASONS.index(r) for r in ("sess_auth_appointments", "sess_auth_illness")}
+    want = {r: sum(i % 50 for i in lines if i % 11 % 9 == k) for r, k in reasons.items()}
+    assert total.first().asDict() == {**want, "total": sum(want.values())} and all(want.values())
+
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
