@@ -189,6 +189,42 @@ def test_medical_total_from_the_tables_uses_dealt_rows(spark, monkeypatch):
     assert total.first().asDict() == {**want, "total": sum(want.values())} and all(want.values())
 
 
+def test_dealt_lines_are_narrow_and_keep_every_measure(spark):
+    """A row of the lines' shuffle is key, quantity and kind, and the sums over odd lines are those of plain loops."""
+    from tierstat.roles import AUTH_REASONS, UNAUTH_REASONS
+    from tierstat.sources import multi_level
+
+    n = 300
+    odd = "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_returnflag string"
+    keys = [None, -13, -9, -1, 0, *range(1, 24)]
+    lines = [
+        (i % n, keys[i % 28], keys[i % 27], [None, 0.0, 1.0, 7.0][i % 4], [None, 0.0, 0.05, 0.06, float("nan")][i % 5], [None, "A", "R", "N", "", "a", "R"][i % 7])
+        for i in range(6000)
+    ]
+    df = multi_level({**_build_input(spark, n), "lineitem": spark.createDataFrame(lines, odd)})
+    top = df.where("geographic_level = 'National' and school_type = 'Total'")
+    got = {r["time_period"]: r.asDict() for r in top.collect()}
+
+    def total(year, wanted):
+        found = [x[3] for x in lines if x[0] % 3 == year - 1997 and x[3] is not None and wanted(x)]
+        return int(sum(found)) if found else None
+
+    def rest(key, m):  # as in SQL, where a negative key has no positive remainder
+        return None if key is None or key < 0 and -(-key % m) else key % m
+
+    for year in (1997, 1998, 1999):
+        row = got[f"{year}/{(year + 1) % 100:02d}"]
+        pa = [x for x in lines if x[4] is not None and (x[4] > 0.05 or x[4] != x[4])]  # NaN is the largest double
+        flags = {"possible": (None, "A", "R", "N", "", "a"), "overall": ("A", "R"), "authorised": ("A",), "unauthorised": ("R",)}
+        want = {f"sess_{k}": total(year, lambda x, f=f: x[5] in f) for k, f in flags.items()}
+        want |= {f"sess_{k}_pa_10_exact": total(year, lambda x, f=f: x[5] in f and x in pa) for k, f in flags.items()}
+        want |= {r: total(year, lambda x, k=k: x[5] == "A" and rest(x[1], 9) == k) for k, r in enumerate(AUTH_REASONS)}
+        want |= {r: total(year, lambda x, k=k: x[5] == "R" and rest(x[2], 4) == k) for k, r in enumerate(UNAUTH_REASONS)}
+        assert {k: row[k] for k in want} == want
+    dealt = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(l_orderkey#\d+L?,", plan_text(df))
+    assert ["l_orderkey", "_quantity", "_kind"] in [re.findall(r"(\w+)#", columns) for columns in dealt], dealt
+
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
